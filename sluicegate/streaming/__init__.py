@@ -1,0 +1,6 @@
+"""Deliberately empty.
+
+A table may only be replaced once *all* of its chunks have been measured against the delivered
+expectations. A file stream sees chunks as they arrive and cannot hold that gate, so ingest is a
+batch job; nothing else in this library works on streams.
+"""
