@@ -34,6 +34,5 @@ def as_moment(value: Column, dtype: T.DataType) -> Column:
 
 def moment_text(moment: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss``, with six decimals only when there is a fraction."""
-    whole = F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
-    fraction = F.date_format(moment, "SSSSSS")
-    return F.when(fraction == "000000", whole).otherwise(F.concat(whole, F.lit("."), fraction))
+    text = moment.cast("string")
+    return F.when(text.contains("."), F.rpad(text, 26, "0")).otherwise(text)

@@ -44,7 +44,16 @@ REPORT_PASS = "[PASS]"
 REPORT_FAIL = "[FAIL]"
 
 EXPECTED_SCHEMA = pa.schema(
-    [("table_name", pa.string()), ("key", pa.string()), ("column", pa.string()), ("value", pa.string())]
+    [
+        ("table_name", pa.string()),
+        ("key", pa.string()),
+        ("position", pa.int32()),
+        ("check_name", pa.string()),
+        ("column_key", pa.string()),
+        ("column", pa.string()),
+        ("value", pa.string()),
+        ("template", pa.string()),
+    ]
 )
 
 
@@ -118,24 +127,25 @@ def measure(df: DataFrame, id_col: str | None = None, date_col: str | None = Non
 
 
 def expected_frame(spark: SparkSession, expectations: dict[str, dict[str, str | None]]) -> DataFrame:
-    """Triggered checks of several tables: ``table_name, key, column, value``, five rows each at most."""
+    """Triggered checks of several tables with what they expect, five rows per table at most."""
     rows = [
-        {"table_name": table, "key": check.key, "column": known.get(check.column_key), "value": known[check.key]}
+        {
+            "table_name": table,
+            "key": check.key,
+            "position": position,
+            "check_name": check.name,
+            "column_key": check.column_key,
+            "column": known.get(check.column_key),
+            "value": known[check.key],
+            "template": check.message,
+        }
         for table, known in expectations.items()
-        for check in CHECKS
+        for position, check in enumerate(CHECKS, start=1)
         if check.key in known and (check.key not in DATE_CHECKS or check.column_key in known)
     ]
     return spark.createDataFrame(pa.Table.from_pylist(rows, EXPECTED_SCHEMA))
 
 
-def _by_key(value_of) -> Column:
-    """A column that depends on the row's check."""
-    branches = F.when(F.col("key") == CHECKS[0].key, value_of(CHECKS[0]))
-    for check in CHECKS[1:]:
-        branches = branches.when(F.col("key") == check.key, value_of(check))
-    return branches
-
-
 def compare(measured: DataFrame, expected: DataFrame) -> DataFrame:
     """Check report: ``table_name, position, check_name, expected, actual, passed, message``.
 
@@ -150,21 +160,19 @@ def compare(measured: DataFrame, expected: DataFrame) -> DataFrame:
     same = F.when(is_date, F.col("actual_moment") == wanted_moment).otherwise(
         F.col("actual_count") == wanted_count
     )
-    column_key = _by_key(lambda check: F.lit(check.column_key))
     problem = (
-        F.when(column_key.isNotNull() & F.col("column").isNull(), F.format_string("%s is not given", column_key))
-        .when(F.col("actual").isNull(), F.format_string("column '%s' does not exist", F.col("column")))
-        .when(shown.isNull(), F.format_string("cannot read the expected value '%s'", F.col("value")))
+        F.when(
+            F.col("column_key").isNotNull() & F.col("column").isNull(),
+            F.format_string("%s is not given", "column_key"),
+        )
+        .when(F.col("actual").isNull(), F.format_string("column '%s' does not exist", "column"))
+        .when(shown.isNull(), F.format_string("cannot read the expected value '%s'", "value"))
     )
-    text = _by_key(lambda check: F.format_string(check.message, "expected", "actual", "column"))
+    keys = [c for c in ("table_name", "key") if c in measured.columns]
     return (
-        expected.join(measured, [c for c in ("table_name", "key") if c in measured.columns], "left")
-        .select(
-            "*",
-            _by_key(lambda check: F.lit(CHECKS.index(check) + 1)).alias("position"),
-            _by_key(lambda check: F.lit(check.name)).alias("check_name"),
-            F.coalesce(shown, F.col("value")).alias("expected"),
-            F.coalesce(same, F.lit(False)).alias("passed"),
+        expected.join(measured, keys, "left")
+        .withColumns(
+            {"expected": F.coalesce(shown, "value"), "passed": F.coalesce(same, F.lit(False)), "problem": problem}
         )
         .select(
             "table_name",
@@ -173,7 +181,7 @@ def compare(measured: DataFrame, expected: DataFrame) -> DataFrame:
             "expected",
             "actual",
             "passed",
-            F.coalesce(problem, text).alias("message"),
+            F.coalesce("problem", F.printf("template", "expected", "actual", "column")).alias("message"),
         )
     )
 

@@ -48,10 +48,10 @@ def work_for(landing: Landing, tables: list[str], archive_path: str, day: dt.dat
     """
     if not tables:
         return {}
-    files = landing.work_list(tables, archive_path, day).orderBy("src").collect()
+    files = landing.work_list(tables, archive_path, day).collect()
     work = {table: TableWork(table, known=known) for table, known in landing.expectations(tables).items()}
     metas = {}
-    for row in files:
+    for row in sorted(files):
         if row.kind == "meta":
             metas[row.table_name] = (row.src, row.dest)
         else:
@@ -160,9 +160,8 @@ class Ingest:
         """Measure in one job, log every check, and raise unless all passed."""
         table = work.table
         with self._step("read_chunks", f"read chunks of '{table}'"):
-            verdict = verdicts(check_table(df, table, work.known)).select(
-                "*", report_text(F.lit(table)).alias("text")
-            ).first()
+            verdict = verdicts(check_table(df, table, work.known))
+            [verdict] = verdict.select("*", report_text(F.lit(table)).alias("text")).collect()
         self.log.success("read_chunks", f"Read {len(work.paths)} chunks for '{table}'")
         for result in verdict.results:
             self.log.event(result.check_name, SUCCESS if result.passed else "failure", result.message)

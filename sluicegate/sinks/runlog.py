@@ -10,6 +10,7 @@ from functools import reduce
 from pathlib import Path
 from typing import Any
 
+import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,10 @@ STATUSES = ("success", "warning", "failure")
 UNKNOWN_USER = "unknown_user"
 UNKNOWN_SOURCE = "unknown_source"
 
+_ARROW_TYPES = [
+    pa.timestamp("us", "UTC") if isinstance(f.dataType, T.TimestampType) else pa.string() for f in LOG_SCHEMA
+]
+
 
 def session_user(spark: SparkSession) -> str:
     """The session's user, else the operating system's."""
@@ -93,7 +98,7 @@ class RunLog:
             raise ValueError("step and message must not be empty")
         if status not in STATUSES:
             raise ValueError(f"status must be one of {', '.join(STATUSES)}, not {status!r}")
-        now = dt.datetime.now()
+        now = dt.datetime.now().astimezone()
         row = (now.date().isoformat(), now, self.user, self.domain, self.process, step)
         with self._buffer_lock:
             self._events.append((*row, source or self.source, status, message))
@@ -117,7 +122,9 @@ class RunLog:
                 waiting = list(self._events)
             if not waiting:
                 return
-            self._append(self.spark.createDataFrame(waiting, LOG_SCHEMA).coalesce(1))
+            columns = [pa.array(values, kind) for values, kind in zip(zip(*waiting), _ARROW_TYPES)]
+            rows = pa.Table.from_arrays(columns, LOG_SCHEMA.fieldNames())
+            self._append(self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1))
             with self._buffer_lock:
                 del self._events[: len(waiting)]
 

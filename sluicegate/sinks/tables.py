@@ -10,12 +10,7 @@ from sluicegate.config import TableRef
 TRANSACTIONAL_FORMATS = frozenset({"delta", "iceberg", "hudi"})
 
 
-def replace_table(
-    df: DataFrame,
-    target: TableRef,
-    table_format: str = "parquet",
-    partition_by: tuple[str, ...] = (),
-) -> None:
+def replace_table(df: DataFrame, target: TableRef, table_format: str = "parquet") -> None:
     """Replace a table, schema included; if writing fails the old table is still there.
 
     Plain file formats drop the old table before they write. For them the rows go to a staging
@@ -26,12 +21,12 @@ def replace_table(
     """
     if table_format in TRANSACTIONAL_FORMATS:
         writer = df.write.format(table_format).option("overwriteSchema", True)
-        writer.mode("overwrite").partitionBy(*partition_by).saveAsTable(target.sql)
+        writer.mode("overwrite").saveAsTable(target.sql)
         return
     spark = df.sparkSession
     staging = target.sibling(f"staging__{target.name}")
     previous = target.sibling(f"previous__{target.name}")
-    df.write.format(table_format).mode("overwrite").partitionBy(*partition_by).saveAsTable(staging.sql)
+    df.write.format(table_format).mode("overwrite").saveAsTable(staging.sql)
     replaces = spark.catalog.tableExists(target.sql)
     if replaces:
         spark.sql(f"DROP TABLE IF EXISTS {previous.sql}")
