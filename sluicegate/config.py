@@ -72,6 +72,7 @@ class IngestSettings:
         bronze_schema: schema the tables are written to.
         table_format: format of bronze tables.
         file_format, file_schema, file_options, merge_schema: how landing files are read.
+        table_schemas: exact schemas of some tables; a delivery that differs fails before it is read.
         parallel_tables: tables worked on at the same time; each stays a separate Spark job.
         archive_day: day stamped on archived files, today when not given.
     """
@@ -85,6 +86,7 @@ class IngestSettings:
     file_schema: StructType | str | None = None
     file_options: dict[str, str] = field(default_factory=dict)
     merge_schema: bool = False
+    table_schemas: dict[str, StructType] = field(default_factory=dict)
     parallel_tables: int = 4
     archive_day: dt.date | None = None
 

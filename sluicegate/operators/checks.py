@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -61,34 +62,36 @@ def _resolve(df: DataFrame, column: str | None) -> tuple[Column, T.DataType] | N
     """Column and type for a name taken from a meta file, or None if the table has no such column."""
     if not column:
         return None
-    if any(name.lower() == column.lower() for name in df.columns):
-        found = F.col(quote(column))
-    elif "." in column:
-        found = F.col(column)  # a field of a struct column
-    else:
+    for f in df.schema.fields:
+        if f.name.lower() == column.lower():
+            return F.col(quote(column)), f.dataType
+    if "." not in column:
         return None
     try:
-        return found, df.select(found).schema[0].dataType
+        return F.col(column), df.select(column).schema[0].dataType  # a field of a struct column
     except AnalysisException:
         return None
 
 
-def _measurement(key: str, count: Column | None = None, moment: Column | None = None, text=None) -> Column:
+def _measurement(
+    table: str | None, key: str, count: Column | None = None, moment: Column | None = None, text=None
+) -> Column:
     number = F.lit(None).cast("bigint") if count is None else count.cast("bigint")
-    instant = F.lit(None).cast("timestamp_ntz") if moment is None else moment
     shown = number.cast("string") if text is None else text
+    label = [] if table is None else [F.lit(table).alias("table_name")]
     return F.struct(
+        *label,
         F.lit(key).alias("key"),
         number.alias("actual_count"),
-        instant.alias("actual_moment"),
+        (F.lit(None).cast("timestamp_ntz") if moment is None else moment).alias("actual_moment"),
         F.coalesce(shown, F.lit("None")).alias("actual"),
     )
 
 
-def _date_measurement(key: str, value: Column, dtype: T.DataType) -> Column:
+def _date_measurement(table: str | None, key: str, value: Column, dtype: T.DataType) -> Column:
     moment = as_moment(value, dtype)
     shown = F.coalesce(moment_text(moment), value.cast("string"))
-    return _measurement(key, moment=moment, text=shown)
+    return _measurement(table, key, moment=moment, text=shown)
 
 
 def distinct_count(df: DataFrame, column: Column) -> DataFrame:
@@ -100,8 +103,10 @@ def distinct_count(df: DataFrame, column: Column) -> DataFrame:
     return df.select(column).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
-def measure(df: DataFrame, id_col: str | None = None, date_col: str | None = None) -> DataFrame:
-    """Measure a table in one job: ``key, actual_count, actual_moment, actual``.
+def measure(
+    df: DataFrame, id_col: str | None = None, date_col: str | None = None, table: str | None = None
+) -> DataFrame:
+    """Measure a table in one job: ``[table_name,] key, actual_count, actual_moment, actual``.
 
     Row count and date range need no shuffle, distinct ids need one. Keeping them in separate
     branches lets each scan read only its own column and keeps the date range out of the rows that
@@ -111,17 +116,17 @@ def measure(df: DataFrame, id_col: str | None = None, date_col: str | None = Non
     dated, identified = _resolve(df, date_col), _resolve(df, id_col)
     totals = [F.count(F.lit(1)).alias("n_rows")]
     rows = [
-        _measurement("n_rows", F.col("n_rows")),
-        _measurement("n_mbrs", F.lit(len(df.columns))),
+        _measurement(table, "n_rows", F.col("n_rows")),
+        _measurement(table, "n_mbrs", F.lit(len(df.columns))),
     ]
     if dated:
         column, dtype = dated
         totals += [F.max(column).alias("max_date"), F.min(column).alias("min_date")]
-        rows += [_date_measurement(key, F.col(key), dtype) for key in DATE_CHECKS]
+        rows += [_date_measurement(table, key, F.col(key), dtype) for key in DATE_CHECKS]
     measured = df.agg(*totals).select(F.inline(F.array(*rows)))
     if identified:
-        ids = distinct_count(df, identified[0])
-        ids = ids.select(F.inline(F.array(_measurement("n_unique_id", F.col("n_distinct")))))
+        row = _measurement(table, "n_unique_id", F.col("n_distinct"))
+        ids = distinct_count(df, identified[0]).select(F.inline(F.array(row)))
         measured = measured.union(ids)
     return measured
 
@@ -186,10 +191,26 @@ def compare(measured: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
+def check_tables(
+    frames: dict[str, DataFrame], expectations: dict[str, dict[str, str | None]]
+) -> DataFrame:
+    """Report of every triggered check on every table, as one job.
+
+    Columns that no check asks for are not measured.
+    """
+    measured = []
+    for table, df in frames.items():
+        known = expectations[table]
+        id_col = known.get("id_col") if "n_unique_id" in known else None
+        date_col = known.get("date_col") if any(key in known for key in DATE_CHECKS) else None
+        measured.append(measure(df, id_col, date_col, table))
+    spark = next(iter(frames.values())).sparkSession
+    return compare(reduce(DataFrame.union, measured), expected_frame(spark, expectations))
+
+
 def check_table(df: DataFrame, table: str, known: dict[str, str | None]) -> DataFrame:
     """Report of every triggered check on one table."""
-    measured = measure(df, known.get("id_col"), known.get("date_col"))
-    return compare(measured, expected_frame(df.sparkSession, {table: known}))
+    return check_tables({table: df}, {table: known})
 
 
 def report_line() -> Column:

@@ -29,18 +29,19 @@ def _differences(actual: T.StructType, expected: T.StructType) -> list[dict[str,
     return rows
 
 
-def schema_report(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """``column, expected_type, actual_type, status, n_values`` for every column of either schema.
+def schema_report(df: DataFrame, expected: T.StructType, count_values: bool = False) -> DataFrame:
+    """``column, expected_type, actual_type, status`` for every column of either schema.
 
-    ``status`` is ok, missing, extra or type. ``n_values`` counts non-null values, so for chunks
-    read with a merged schema it shows how much of the data really has a drifted column. Column
-    names are compared without regard to case, as Spark resolves them. One scan, no shuffle.
+    ``status`` is ok, missing, extra or type. Column names are compared without regard to case, as
+    Spark resolves them. No data is read, unless ``count_values`` asks for ``n_values``, the number
+    of non-null values: for chunks read with a merged schema it shows how much of the data really
+    has a drifted column, at the price of one scan of every column, without a shuffle.
     """
     rows = _differences(df.schema, expected)
     fields = [(name, pa.string()) for name in ("column", "expected_type", "actual_type", "status")]
     report = df.sparkSession.createDataFrame(pa.Table.from_pylist(rows, pa.schema(fields)))
-    if not df.columns:
-        return report.withColumn("n_values", F.lit(0).cast("bigint"))
+    if not count_values:
+        return report
     counts = df.agg(*[F.count(F.col(quote(name))).alias(name) for name in df.columns])
     pairs = [
         F.struct(F.lit(name.lower()).alias("column_key"), F.col(quote(name)).alias("n_values"))

@@ -15,6 +15,7 @@ from sluicegate.config import IngestSettings
 from sluicegate.errors import GateFailure, LogWriteFailed, MetaUnreadable, NoDataFiles, StepFailed
 from sluicegate.functions import naming
 from sluicegate.operators.checks import CHECKS, check_table, report_text, verdicts
+from sluicegate.operators.schema import require_schema
 from sluicegate.sinks.runlog import RunLog
 from sluicegate.sinks.tables import replace_table
 from sluicegate.sources.files import run_each
@@ -134,6 +135,8 @@ class Ingest:
         self.log.success("read_meta", f"Read meta for '{table}': {len(work.known)} checks defined")
         with self._step("read_chunks", f"read {self.settings.file_format} chunks of '{table}'"):
             df = self._read(work.paths)
+            if table in self.settings.table_schemas:
+                require_schema(df, self.settings.table_schemas[table])
         self._gate(df, work)
         target = self.settings.bronze(table)
         with self._step("write_to_bronze", f"write '{table}' to {target}"):

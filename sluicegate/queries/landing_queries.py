@@ -14,7 +14,7 @@ from sluicegate.functions import naming
 from sluicegate.operators.checks import (
     CHECKS,
     DATE_CHECKS,
-    check_table,
+    check_tables,
     compare,
     distinct_count,
     expected_frame,
@@ -208,6 +208,13 @@ def chunk_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged_landing(spark, sf_dir).chunks("orders")
 
 
+@query("SELECT * FROM orders WHERE year(o_orderdate) BETWEEN 1997 AND 1999")
+def chunk_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the chunks whose names say that they overlap a range of days are read."""
+    landing = staged_landing(spark, sf_dir)
+    return landing.chunks("orders", since=dt.date(1997, 5, 1), until=dt.date(1999, 2, 28))
+
+
 def _drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders in chunks of which only those from 1999 on have a comment column."""
     orders = table(spark, sf_dir, "orders")
@@ -254,7 +261,7 @@ def chunk_union_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = T.StructType.fromDDL("o_orderkey bigint, o_custkey string, o_clerk string")
-    return schema_report(_drifted(spark, sf_dir), expected)
+    return schema_report(_drifted(spark, sf_dir), expected, count_values=True)
 
 
 # ---- checks ---------------------------------------------------------------------------------
@@ -263,13 +270,14 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _checked_twice(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     landing = staged_landing(spark, sf_dir)
     reports = []
-    for name, known in landing.expectations(["orders", "lineitem"]).items():
+    frames = landing.frames(["orders", "lineitem"])
+    for name, known in landing.expectations(list(frames)).items():
         columns = {key: known[key] for key in ("id_col", "date_col")}
         staged = columns | {key: known[key] for key in keys}
         moved = columns | {key: shifted(known[key], 1) for key in keys}
         dated = any(key in DATE_CHECKS for key in keys)
         measured = measure(
-            landing.chunks(name),
+            frames[name],
             id_col=columns["id_col"] if "n_unique_id" in keys else None,
             date_col=columns["date_col"] if dated else None,
         )
@@ -314,11 +322,7 @@ def check_unique_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report of every check on every staged table, in one job."""
     landing = staged_landing(spark, sf_dir)
-    reports = [
-        check_table(landing.chunks(name), name, known)
-        for name, known in landing.expectations(list(STAGED)).items()
-    ]
-    return reduce(DataFrame.union, reports)
+    return check_tables(landing.frames(list(STAGED)), landing.expectations(list(STAGED)))
 
 
 @query(REPORT_SQL)

@@ -32,7 +32,9 @@ def read_chunks(
     CSV chunks carry a header that must agree with the schema; give CSV and JSON a schema, or
     Spark reads every file once more to infer one.
     """
-    reader = spark.read.format(file_format)
+    # Whatever the session says, a file that is damaged or gone is an error, not fewer rows.
+    reader = spark.read.format(file_format).option("ignoreCorruptFiles", False)
+    reader = reader.option("ignoreMissingFiles", False)
     if file_format == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     if file_format == "parquet":
@@ -63,6 +65,7 @@ class Landing:
         Large files make one scan partition each, so the partitions are merged into one per core.
         """
         reader = self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        reader = reader.option("ignoreMissingFiles", True)  # a file taken away is not there
         if name_glob:
             reader = reader.option("pathGlobFilter", name_glob)
         path = F.col("path")
@@ -111,7 +114,7 @@ class Landing:
     def requested(self, tables: list[str]) -> DataFrame:
         """Requested names with their manifest row; ``found`` is false where there is none."""
         wanted = self.spark.createDataFrame(pa.table({"table_name": pa.array(tables, pa.string())}))
-        manifest = self.manifest().where(F.col("table_name").isin(tables))
+        manifest = self.manifest().where(F.col("table_name").isin(*tables))
         return wanted.join(manifest, "table_name", "left").select(
             "*", F.col("n_files").isNotNull().alias("found")
         )
@@ -122,19 +125,43 @@ class Landing:
         Columns ``table_name, kind, src, dest``. The meta path is derived from the table name
         because a meta "file" may be a directory, which a listing of files does not show.
         """
-        data = self.data_files().where(F.col("table_name").isin(tables))
+        data = self.data_files().where(F.col("table_name").isin(*tables))
         data = data.select("table_name", "kind", F.col("path").alias("src"))
         names = self.spark.createDataFrame(pa.table({"table_name": pa.array(tables, pa.string())}))
         meta_path = F.concat(F.lit(self.root + "/"), "table_name", F.lit(naming.META_SUFFIX))
         meta = names.select("table_name", F.lit("meta").alias("kind"), meta_path.alias("src"))
         return archive_plan(data.union(meta), self.shared.qualify(archive_path), day)
 
+    def frames(
+        self,
+        tables: list[str],
+        since: dt.date | None = None,
+        until: dt.date | None = None,
+        **read_options,
+    ) -> dict[str, DataFrame]:
+        """Union of each table's chunks, after one listing; see :func:`read_chunks`.
+
+        ``since`` and ``until`` skip chunks whose names put them outside that range of days. Plain
+        files have no days in their names and are always read.
+        """
+        files = self.data_files().where(F.col("table_name").isin(*tables))
+        if since:
+            files = files.where(F.coalesce(F.col("chunk_end") >= f"{since:%Y%m%d}", F.lit(True)))
+        if until:
+            files = files.where(F.coalesce(F.col("chunk_start") <= f"{until:%Y%m%d}", F.lit(True)))
+        paths = {table: [] for table in tables}
+        for row in files.select("table_name", "path").collect():
+            paths[row.table_name].append(row.path)
+        absent = [table for table in tables if not paths[table]]
+        if absent:
+            raise StepFailed(f"no files of {', '.join(absent)} in {self.root}")
+        return {
+            table: read_chunks(self.spark, sorted(paths[table]), **read_options) for table in tables
+        }
+
     def chunks(self, table: str, **read_options) -> DataFrame:
-        """Union of one table's chunks; see :func:`read_chunks`."""
-        rows = self.data_files().where(F.col("table_name") == table).select("path").collect()
-        if not rows:
-            raise StepFailed(f"no files of table '{table}' in {self.root}")
-        return read_chunks(self.spark, sorted(row.path for row in rows), **read_options)
+        """Union of one table's chunks."""
+        return self.frames([table], **read_options)[table]
 
     def meta_path(self, table: str) -> str:
         return f"{self.root}/{table}{naming.META_SUFFIX}"

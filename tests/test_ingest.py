@@ -5,6 +5,7 @@ from __future__ import annotations
 import threading
 
 import pytest
+from pyspark.sql import types as T
 
 from sluicegate import Ingest, LogWriteFailed, NoDataFiles, RunLog, bronze_job, outcome_frame, run_tally
 from sluicegate.sources.files import SharedFiles, run_each
@@ -196,6 +197,15 @@ def test_bronze_job(box, log):
     assert bronze_job(box.spark, box.settings(), ["fine"], log) == 0
 
 
+def test_wrong_schema_fails_before_the_checks(box, log):
+    put_good(box)
+    wanted = T.StructType().add("id", "long").add("day", "date")
+    results = Ingest(box.spark, box.settings(table_schemas={"good": wanted}), log).run(["good"])
+    assert "day: type (expected date, got string)" in results["good"]
+    assert not has_table(box, "good")
+    assert log.query({"step": "validate_row_count"}).count() == 0
+
+
 def test_csv_ingest(box, log):
     (box.landing_dir / "t_20240101_20240331").write_text("id,name\n1,a\n2,b\n")
     box.meta("t", {"n_rows": "2", "n_mbrs": "2"})

@@ -99,6 +99,30 @@ def test_extra_column_needs_merge(box):
     assert box.landing.chunks("t").count() == 2
 
 
+def test_chunk_range(box):
+    for i, name in enumerate(["t_20240101_20240331", "t_20240401_20240630", "t_20240701_20240930", "t"]):
+        box.put(name, {"id": [i]})
+
+    def ids(**days):
+        return sorted(r.id for r in box.landing.chunks("t", **days).collect())
+
+    assert ids() == [0, 1, 2, 3]
+    assert ids(since=dt.date(2024, 6, 30)) == [1, 2, 3]
+    assert ids(until=dt.date(2024, 4, 1)) == [0, 1, 3]
+    assert ids(since=dt.date(2024, 5, 1), until=dt.date(2024, 5, 2)) == [1, 3]
+
+
+def test_damaged_chunk_is_an_error_whatever_the_session_says(box, spark):
+    box.put("t_20240101_20240331", {"id": [1]})
+    (box.landing_dir / "t_20240401_20240630").write_bytes(b"PAR1 cut off PAR1")
+    spark.conf.set("spark.sql.files.ignoreCorruptFiles", True)
+    try:
+        with pytest.raises(Exception):
+            box.landing.chunks("t").select("id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
+
+
 def test_chunks_of_unknown_table(box):
     box.put("t", ONE)
     with pytest.raises(StepFailed):

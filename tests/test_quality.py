@@ -108,12 +108,19 @@ EXPECTED = T.StructType().add("id", "long").add("name", "string").add("code", "i
 
 def test_schema_report(spark):
     df = spark.createDataFrame([(1, 2, None), (2, 3, "x")], "ID bigint, name int, more string")
-    report = {r.column: (r.status, r.actual_type, r.n_values) for r in schema_report(df, EXPECTED).collect()}
+    report = {r.column: (r.status, r.actual_type, r.n_values) for r in schema_report(df, EXPECTED, True).collect()}
     assert report == {
         "id": ("ok", "bigint", 2), "name": ("type", "int", 2), "code": ("missing", None, 0), "more": ("extra", "string", 1),
     }
 
 
+def test_schema_report_reads_no_data(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    report = schema_report(lines, EXPECTED)
+    assert report.columns == ["column", "expected_type", "actual_type", "status"]
+    assert "FileScan" not in plan_of(report)
+
+
 def test_require_schema(spark):
     good = spark.createDataFrame([], EXPECTED)
     assert require_schema(good, EXPECTED) is good
