@@ -37,9 +37,12 @@ def name_kind(name: Column) -> Column:
     )
 
 
-def table_of(name: Column) -> Column:
-    """Table a landing file belongs to; null for files that are ignored."""
-    kind = name_kind(name)
+def table_of(name: Column, kind: Column | None = None) -> Column:
+    """Table a landing file belongs to; null for files that are ignored.
+
+    ``kind`` saves working out :func:`name_kind` again where it is a column already.
+    """
+    kind = name_kind(name) if kind is None else kind
     return (
         F.when(kind == "chunk", F.regexp_extract(name, CHUNK_NAME, 1))
         .when(kind == "plain", name)
@@ -47,14 +50,16 @@ def table_of(name: Column) -> Column:
     )
 
 
-def chunk_start(name: Column) -> Column:
+def chunk_start(name: Column, kind: Column | None = None) -> Column:
     """First eight-digit group of a chunk name, null for other names."""
-    return F.when(name_kind(name) == "chunk", F.regexp_extract(name, CHUNK_NAME, 2))
+    kind = name_kind(name) if kind is None else kind
+    return F.when(kind == "chunk", F.regexp_extract(name, CHUNK_NAME, 2))
 
 
-def chunk_end(name: Column) -> Column:
+def chunk_end(name: Column, kind: Column | None = None) -> Column:
     """Second eight-digit group of a chunk name, null for other names."""
-    return F.when(name_kind(name) == "chunk", F.regexp_extract(name, CHUNK_NAME, 3))
+    kind = name_kind(name) if kind is None else kind
+    return F.when(kind == "chunk", F.regexp_extract(name, CHUNK_NAME, 3))
 
 
 def archive_name(name: Column, day: Column) -> Column:

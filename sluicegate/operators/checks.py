@@ -50,6 +50,7 @@ EXPECTED_SCHEMA = pa.schema(
         ("key", pa.string()),
         ("position", pa.int32()),
         ("check_name", pa.string()),
+        ("is_date", pa.bool_()),
         ("column_key", pa.string()),
         ("column", pa.string()),
         ("value", pa.string()),
@@ -73,27 +74,6 @@ def _resolve(df: DataFrame, column: str | None) -> tuple[Column, T.DataType] | N
         return None
 
 
-def _measurement(
-    table: str | None, key: str, count: Column | None = None, moment: Column | None = None, text=None
-) -> Column:
-    number = F.lit(None).cast("bigint") if count is None else count.cast("bigint")
-    shown = number.cast("string") if text is None else text
-    label = [] if table is None else [F.lit(table).alias("table_name")]
-    return F.struct(
-        *label,
-        F.lit(key).alias("key"),
-        number.alias("actual_count"),
-        (F.lit(None).cast("timestamp_ntz") if moment is None else moment).alias("actual_moment"),
-        F.coalesce(shown, F.lit("None")).alias("actual"),
-    )
-
-
-def _date_measurement(table: str | None, key: str, value: Column, dtype: T.DataType) -> Column:
-    moment = as_moment(value, dtype)
-    shown = F.coalesce(moment_text(moment), value.cast("string"))
-    return _measurement(table, key, moment=moment, text=shown)
-
-
 def distinct_count(df: DataFrame, column: Column) -> DataFrame:
     """Exact number of distinct values as ``n_distinct``; NULL counts as one value.
 
@@ -106,29 +86,35 @@ def distinct_count(df: DataFrame, column: Column) -> DataFrame:
 def measure(
     df: DataFrame, id_col: str | None = None, date_col: str | None = None, table: str | None = None
 ) -> DataFrame:
-    """Measure a table in one job: ``[table_name,] key, actual_count, actual_moment, actual``.
+    """Measure a table in one job: ``[table_name,] key, actual_count, actual_moment, actual_text``.
 
     Row count and date range need no shuffle, distinct ids need one. Keeping them in separate
     branches lets each scan read only its own column and keeps the date range out of the rows that
     are shuffled by id; a date kept as text would otherwise force a sort of the whole table.
     Minimum and maximum are taken on the column as it is, and converted afterwards.
     """
+    label = F.lit(table).cast("string").alias("table_name")
+    totals = [label, F.expr("count(1) AS n_rows"), F.lit(len(df.columns)).cast("bigint").alias("n_mbrs")]
+    rows = [_row(key, count=key) for key in ("n_rows", "n_mbrs")]
     dated, identified = _resolve(df, date_col), _resolve(df, id_col)
-    totals = [F.count(F.lit(1)).alias("n_rows")]
-    rows = [
-        _measurement(table, "n_rows", F.col("n_rows")),
-        _measurement(table, "n_mbrs", F.lit(len(df.columns))),
-    ]
     if dated:
         column, dtype = dated
-        totals += [F.max(column).alias("max_date"), F.min(column).alias("min_date")]
-        rows += [_date_measurement(table, key, F.col(key), dtype) for key in DATE_CHECKS]
-    measured = df.agg(*totals).select(F.inline(F.array(*rows)))
+        for key, value in zip(DATE_CHECKS, (F.max(column), F.min(column)), strict=True):
+            totals += [as_moment(value, dtype).alias(key), value.cast("string").alias(f"{key}_text")]
+            rows.append(_row(key, moment=key, text=f"{key}_text"))
+    measured = df.agg(*totals).selectExpr(f"inline(array({', '.join(rows)}))")
     if identified:
-        row = _measurement(table, "n_unique_id", F.col("n_distinct"))
-        ids = distinct_count(df, identified[0]).select(F.inline(F.array(row)))
-        measured = measured.union(ids)
-    return measured
+        ids = distinct_count(df, identified[0]).select("*", label)
+        measured = measured.union(ids.selectExpr(f"inline(array({_row('n_unique_id', count='n_distinct')}))"))
+    return measured.drop("table_name") if table is None else measured
+
+
+def _row(key: str, count: str = "NULL", moment: str = "NULL", text: str | None = None) -> str:
+    """One measurement as SQL; the arguments name columns."""
+    return (
+        f"struct(table_name, '{key}' AS key, bigint({count}) AS actual_count, "
+        f"CAST({moment} AS timestamp_ntz) AS actual_moment, coalesce(string({text or count}), 'None') AS actual_text)"
+    )
 
 
 def expected_frame(spark: SparkSession, expectations: dict[str, dict[str, str | None]]) -> DataFrame:
@@ -139,6 +125,7 @@ def expected_frame(spark: SparkSession, expectations: dict[str, dict[str, str |
             "key": check.key,
             "position": position,
             "check_name": check.name,
+            "is_date": check.key in DATE_CHECKS,
             "column_key": check.column_key,
             "column": known.get(check.column_key),
             "value": known[check.key],
@@ -159,35 +146,34 @@ def compare(measured: DataFrame, expected: DataFrame) -> DataFrame:
     ``expected`` has at most five rows per table and comes from the driver, so Spark knows its
     size and may broadcast it.
     """
-    is_date = F.col("key").isin(*DATE_CHECKS)
-    wanted_count, wanted_moment = whole_number(F.col("value")), iso_midnight(F.col("value"))
-    shown = F.when(is_date, moment_text(wanted_moment)).otherwise(wanted_count.cast("string"))
-    same = F.when(is_date, F.col("actual_moment") == wanted_moment).otherwise(
-        F.col("actual_count") == wanted_count
+    keys = [column for column in ("table_name", "key") if column in measured.columns]
+    is_date, value = F.col("is_date"), F.col("value")
+    typed = expected.withColumns(
+        {
+            "wanted_count": F.when(~is_date, whole_number(value)),
+            "wanted_moment": F.when(is_date, iso_midnight(value)),
+        }
     )
-    problem = (
-        F.when(
-            F.col("column_key").isNotNull() & F.col("column").isNull(),
-            F.format_string("%s is not given", "column_key"),
-        )
-        .when(F.col("actual").isNull(), F.format_string("column '%s' does not exist", "column"))
-        .when(shown.isNull(), F.format_string("cannot read the expected value '%s'", "value"))
+    shown = typed.join(measured, keys, "left").withColumns(
+        {
+            "readable": F.coalesce(moment_text(F.col("wanted_moment")), F.expr("string(wanted_count)")),
+            "actual": F.coalesce(moment_text(F.col("actual_moment")), "actual_text"),
+            "no_column": F.format_string("%s is not given", "column_key"),
+            "unknown_column": F.format_string("column '%s' does not exist", "column"),
+            "unreadable": F.format_string("cannot read the expected value '%s'", "value"),
+        }
     )
-    keys = [c for c in ("table_name", "key") if c in measured.columns]
-    return (
-        expected.join(measured, keys, "left")
-        .withColumns(
-            {"expected": F.coalesce(shown, "value"), "passed": F.coalesce(same, F.lit(False)), "problem": problem}
-        )
-        .select(
-            "table_name",
-            "position",
-            "check_name",
-            "expected",
-            "actual",
-            "passed",
-            F.coalesce("problem", F.printf("template", "expected", "actual", "column")).alias("message"),
-        )
+    return shown.selectExpr(
+        "table_name",
+        "position",
+        "check_name",
+        "coalesce(readable, value) AS expected",
+        "actual",
+        "coalesce(actual_moment = wanted_moment, actual_count = wanted_count, false) AS passed",
+        """CASE WHEN column_key IS NOT NULL AND column IS NULL THEN no_column
+                WHEN actual IS NULL THEN unknown_column
+                WHEN readable IS NULL THEN unreadable
+                ELSE printf(template, readable, actual, column) END AS message""",
     )
 
 

@@ -83,13 +83,17 @@ class Landing:
 
     def files(self) -> DataFrame:
         """The listing with ``kind, table_name, chunk_start, chunk_end`` read from each name."""
-        name = F.col("name")
-        return self.listing().select(
-            "*",
-            naming.name_kind(name).alias("kind"),
-            naming.table_of(name).alias("table_name"),
-            naming.chunk_start(name).alias("chunk_start"),
-            naming.chunk_end(name).alias("chunk_end"),
+        name, kind = F.col("name"), F.col("kind")
+        return (
+            self.listing()
+            .withColumn("kind", naming.name_kind(name))
+            .withColumns(
+                {
+                    "table_name": naming.table_of(name, kind),
+                    "chunk_start": naming.chunk_start(name, kind),
+                    "chunk_end": naming.chunk_end(name, kind),
+                }
+            )
         )
 
     def data_files(self) -> DataFrame:
