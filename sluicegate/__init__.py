@@ -11,7 +11,7 @@ from sluicegate.errors import (
 )
 from sluicegate.plans.cleanup import drop_prefixed
 from sluicegate.plans.ingest import Ingest, bronze_job, outcome_frame, run_tally
-from sluicegate.plans.promote import promote, promote_many
+from sluicegate.plans.promote import promote, promote_many, silver_job
 from sluicegate.sinks.runlog import RunLog
 from sluicegate.sinks.tables import replace_table
 from sluicegate.sources.catalog import find_catalog, prefixed_tables, resolve_prefix, schema_tables
@@ -42,4 +42,5 @@ __all__ = [
     "resolve_prefix",
     "run_tally",
     "schema_tables",
+    "silver_job",
 ]

@@ -84,28 +84,46 @@ def distinct_count(df: DataFrame, column: Column) -> DataFrame:
 
 
 def measure(
-    df: DataFrame, id_col: str | None = None, date_col: str | None = None, table: str | None = None
+    df: DataFrame,
+    id_col: str | None = None,
+    date_col: str | None = None,
+    table: str | None = None,
+    one_scan: bool = False,
 ) -> DataFrame:
     """Measure a table in one job: ``[table_name,] key, actual_count, actual_moment, actual_text``.
 
     Row count and date range need no shuffle, distinct ids need one. Keeping them in separate
     branches lets each scan read only its own column and keeps the date range out of the rows that
     are shuffled by id; a date kept as text would otherwise force a sort of the whole table.
+    ``one_scan`` joins the branches instead, for formats such as CSV where reading a column means
+    parsing the whole file.
     Minimum and maximum are taken on the column as it is, and converted afterwards.
     """
     label = F.lit(table).cast("string").alias("table_name")
-    totals = [label, F.expr("count(1) AS n_rows"), F.lit(len(df.columns)).cast("bigint").alias("n_mbrs")]
-    rows = [_row(key, count=key) for key in ("n_rows", "n_mbrs")]
     dated, identified = _resolve(df, date_col), _resolve(df, id_col)
+    n_rows = F.count(F.lit(1))
+    latest, earliest = (F.max(dated[0]), F.min(dated[0])) if dated else (None, None)
+    source = df
+    if identified and one_scan:
+        per_id = [n_rows.alias("n_rows")]
+        if dated:
+            per_id += [latest.alias("latest"), earliest.alias("earliest")]
+        source = df.groupBy(identified[0].alias("id")).agg(*per_id)
+        n_rows, latest, earliest = F.coalesce(F.sum("n_rows"), F.lit(0)), F.max("latest"), F.min("earliest")
+    totals = [label, n_rows.alias("n_rows"), F.lit(len(df.columns)).cast("bigint").alias("n_mbrs")]
+    rows = [_row(key, count=key) for key in ("n_rows", "n_mbrs")]
     if dated:
-        column, dtype = dated
-        for key, value in zip(DATE_CHECKS, (F.max(column), F.min(column)), strict=True):
-            totals += [as_moment(value, dtype).alias(key), value.cast("string").alias(f"{key}_text")]
+        for key, value in zip(DATE_CHECKS, (latest, earliest), strict=True):
+            totals += [as_moment(value, dated[1]).alias(key), value.cast("string").alias(f"{key}_text")]
             rows.append(_row(key, moment=key, text=f"{key}_text"))
-    measured = df.agg(*totals).selectExpr(f"inline(array({', '.join(rows)}))")
-    if identified:
+    id_row = _row("n_unique_id", count="n_distinct")
+    if identified and one_scan:
+        totals.append(F.count(F.lit(1)).alias("n_distinct"))
+        rows.append(id_row)
+    measured = source.agg(*totals).selectExpr(f"inline(array({', '.join(rows)}))")
+    if identified and not one_scan:
         ids = distinct_count(df, identified[0]).select("*", label)
-        measured = measured.union(ids.selectExpr(f"inline(array({_row('n_unique_id', count='n_distinct')}))"))
+        measured = measured.union(ids.selectExpr(f"inline(array({id_row}))"))
     return measured.drop("table_name") if table is None else measured
 
 
@@ -178,7 +196,9 @@ def compare(measured: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def check_tables(
-    frames: dict[str, DataFrame], expectations: dict[str, dict[str, str | None]]
+    frames: dict[str, DataFrame],
+    expectations: dict[str, dict[str, str | None]],
+    one_scan: bool = False,
 ) -> DataFrame:
     """Report of every triggered check on every table, as one job.
 
@@ -189,14 +209,16 @@ def check_tables(
         known = expectations[table]
         id_col = known.get("id_col") if "n_unique_id" in known else None
         date_col = known.get("date_col") if any(key in known for key in DATE_CHECKS) else None
-        measured.append(measure(df, id_col, date_col, table))
+        measured.append(measure(df, id_col, date_col, table, one_scan))
     spark = next(iter(frames.values())).sparkSession
     return compare(reduce(DataFrame.union, measured), expected_frame(spark, expectations))
 
 
-def check_table(df: DataFrame, table: str, known: dict[str, str | None]) -> DataFrame:
+def check_table(
+    df: DataFrame, table: str, known: dict[str, str | None], one_scan: bool = False
+) -> DataFrame:
     """Report of every triggered check on one table."""
-    return check_tables({table: df}, {table: known})
+    return check_tables({table: df}, {table: known}, one_scan)
 
 
 def report_line() -> Column:

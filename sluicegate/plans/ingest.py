@@ -23,6 +23,9 @@ from sluicegate.sources.landing import Landing, read_chunks
 
 SUCCESS = "success"
 
+# Formats that are read column by column.
+COLUMNAR_FORMATS = frozenset({"parquet", "orc"})
+
 _logger = logging.getLogger(__name__)
 
 
@@ -163,7 +166,8 @@ class Ingest:
         """Measure in one job, log every check, and raise unless all passed."""
         table = work.table
         with self._step("read_chunks", f"read chunks of '{table}'"):
-            verdict = verdicts(check_table(df, table, work.known))
+            one_scan = self.settings.file_format not in COLUMNAR_FORMATS
+            verdict = verdicts(check_table(df, table, work.known, one_scan))
             [verdict] = verdict.select("*", report_text(F.lit(table)).alias("text")).collect()
         self.log.success("read_chunks", f"Read {len(work.paths)} chunks for '{table}'")
         for result in verdict.results:

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.config import TableRef
+from sluicegate.config import Layout, TableRef
 from sluicegate.sinks.runlog import RunLog
 from sluicegate.sinks.tables import replace_table
+from sluicegate.sources.catalog import resolve_prefix
 from sluicegate.sources.files import run_each
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -31,6 +32,25 @@ def promote(
         log.success(f"write_{target.namespace[-1]}", f"Wrote to {target}")
 
 
+def silver_job(
+    spark: SparkSession,
+    layout: Layout,
+    table: str,
+    identity: str | None = None,
+    transform: Transform | None = None,
+    table_format: str = "parquet",
+    log: RunLog | None = None,
+) -> TableRef:
+    """Promote a shared bronze table to the silver table of an owner, and say which table that is.
+
+    ``identity`` is an e-mail address or user name; see :func:`resolve_prefix` for what happens
+    without one. Bronze tables have no prefix.
+    """
+    target = layout.table("silver", table, resolve_prefix(identity, spark))
+    promote(spark, layout.table("bronze", table), target, transform, table_format, log)
+    return target
+
+
 def promote_many(
     spark: SparkSession,
     source: TableRef,

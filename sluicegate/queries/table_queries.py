@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluicegate.config import Layout
 from sluicegate.functions import naming
 from sluicegate.plans.cleanup import drop_prefixed as drop_owned
-from sluicegate.plans.promote import promote, promote_many
+from sluicegate.plans.promote import promote_many, silver_job
 from sluicegate.queries.registry import query, table
 from sluicegate.queries.staging import new_layout
 from sluicegate.sinks.runlog import RunLog
@@ -38,10 +38,9 @@ def _adults(customers: DataFrame) -> DataFrame:
 @query("SELECT *, c_acctbal >= 5000 AS is_large FROM customer WHERE c_acctbal >= 0")
 def silver_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = new_layout(spark)
-    bronze, silver = layout.table("bronze", "customer"), layout.table("silver", "customer", "doe_")
-    replace_table(table(spark, sf_dir, "customer"), bronze)
-    promote(spark, bronze, silver, _adults)
-    return spark.table(silver.sql)
+    replace_table(table(spark, sf_dir, "customer"), layout.table("bronze", "customer"))
+    silver_job(spark, layout, "customer", "jane.doe@example.org", _adults)
+    return spark.table(layout.table("silver", "customer", "doe_").sql)
 
 
 @query("""

@@ -21,7 +21,9 @@ def day_rows(*days):
 
 
 def outcome(df, known, table="t"):
+    """The report, which must be the same however the table is scanned."""
     rows = checks.check_table(df, table, known).orderBy("position").collect()
+    assert checks.check_table(df, table, known, one_scan=True).orderBy("position").collect() == rows
     return {r.check_name: r for r in rows}
 
 
@@ -168,6 +170,15 @@ def test_measurement_reads_each_column_once_and_sorts_nothing(spark):
     assert plan.count("hashpartitioning") == 1
 
 
+def test_row_formats_are_scanned_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).selectExpr("id", "date'2024-01-01' AS day", "id AS x").write.csv(path)
+    df = spark.read.schema("id long, day date, x long").csv(path)
+    plan = checks.measure(df, "id", "day", one_scan=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert "Sort [" not in plan
+
+
 def test_hot_id_is_counted_once_per_task(spark):
     """A third of all rows share one id: partial aggregation removes them before the shuffle."""
     ids = spark.range(0, 30000, numPartitions=3).select(

@@ -86,6 +86,13 @@ def test_nothing_to_ingest(box, log):
     assert box.spark.table(log.table.sql).count() == 1  # the failure is in the log
 
 
+def test_no_tables_requested(box, log):
+    put_good(box)
+    assert Ingest(box.spark, box.settings(), log).run([]) == {}
+    assert tuple(run_tally(outcome_frame(box.spark, {})).first()) == (0, 0, 0, "success")
+    assert len(box.landed()) == 3
+
+
 def test_second_delivery_replaces_the_table(box, log):
     put_good(box)
     Ingest(box.spark, box.settings(), log).run(["good"])

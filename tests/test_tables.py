@@ -15,6 +15,7 @@ from sluicegate import (
     replace_table,
     resolve_prefix,
     schema_tables,
+    silver_job,
 )
 from sluicegate.config import IngestSettings, TableRef
 from sluicegate.sinks.tables import TRANSACTIONAL_FORMATS
@@ -86,6 +87,16 @@ def test_promote(spark, layout, log):
     assert log.query({"status": "success"}).count() == 4
 
 
+def test_silver_job(spark, layout, log, monkeypatch):
+    replace_table(spark.range(3), layout.table("bronze", "member"))
+    target = silver_job(spark, layout, "member", "jane.roe@x.org", log=log)
+    assert target == layout.table("silver", "member", "roe_")
+    assert spark.table(target.sql).count() == 3
+    assert silver_job(spark, layout, "member", "") == layout.table("silver", "member")
+    monkeypatch.setenv(PREFIX_VARIABLE, "a.doe")
+    assert silver_job(spark, layout, "member").name == "doe_member"
+
+
 def test_promote_many_isolates_failures(spark, layout, log):
     bronze = layout.table("bronze", "t")
     replace_table(spark.range(4), bronze)
