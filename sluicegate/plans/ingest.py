@@ -18,7 +18,7 @@ from sluicegate.operators.checks import CHECKS, check_table, report_text, verdic
 from sluicegate.operators.schema import require_schema
 from sluicegate.sinks.runlog import RunLog
 from sluicegate.sinks.tables import replace_table
-from sluicegate.sources.files import run_each
+from sluicegate.sources.files import SharedFiles, run_each
 from sluicegate.sources.landing import Landing, read_chunks
 
 SUCCESS = "success"
@@ -73,11 +73,17 @@ class Ingest:
     writes nothing, and files are only moved once the table is complete.
     """
 
-    def __init__(self, spark: SparkSession, settings: IngestSettings, log: RunLog):
+    def __init__(
+        self,
+        spark: SparkSession,
+        settings: IngestSettings,
+        log: RunLog,
+        shared: SharedFiles | None = None,
+    ):
         self.spark = spark
         self.settings = settings
         self.log = log
-        self.landing = Landing(spark, settings.landing_path)
+        self.landing = Landing(spark, settings.landing_path, shared)
         self.day = settings.archive_day or dt.date.today()
         self._log_errors: list[LogWriteFailed] = []
 
@@ -186,7 +192,8 @@ class Ingest:
             return ""
         suffix = f"{naming.PROCESSED_MARK}{self.day:%Y%m%d}"
         try:
-            archived = Landing(self.spark, self.settings.archive_path).listing(f"*{suffix}")
+            archive = Landing(self.spark, self.settings.archive_path, self.landing.shared)
+            archived = archive.listing(f"*{suffix}")
             original = F.col("name").substr(F.lit(1), F.length("name") - len(suffix))
             n_files = archived.where(naming.table_of(original) == work.table).count()
         except PySparkException:

@@ -15,7 +15,11 @@ def literal_path(path: str) -> str:
 
 
 class SharedFiles:
-    """Existence tests and renames; file contents never pass through the driver."""
+    """Existence tests and renames; file contents never pass through the driver.
+
+    Needs a session with a JVM of its own. For other sessions override ``qualify``, ``exists``,
+    ``make_dir`` and ``move``; everything else is built on these four.
+    """
 
     def __init__(self, spark: SparkSession, threads: int = 32):
         self._jvm = spark._jvm

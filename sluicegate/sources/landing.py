@@ -5,17 +5,20 @@ from __future__ import annotations
 import datetime as dt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.errors import MetaUnreadable, StepFailed
 from sluicegate.functions import naming
 from sluicegate.operators.checks import EXPECTATION_KEYS
-from sluicegate.sources.files import SharedFiles, literal_path
+from sluicegate.sources.files import SharedFiles, literal_path, run_each
 
 META_SCHEMA = "test_name string, value string"
 
+# Large files make one scan partition each; a listing merges them into at most this many tasks.
+LISTING_TASKS = 256
+
 
 def read_chunks(
     spark: SparkSession,
@@ -52,9 +55,9 @@ class Landing:
     from Spark and therefore never discovered.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, shared: SharedFiles | None = None):
         self.spark = spark
-        self.shared = SharedFiles(spark)
+        self.shared = shared or SharedFiles(spark)
         self.root = self.shared.qualify(path)
 
     def listing(self, name_glob: str | None = None) -> DataFrame:
@@ -62,7 +65,6 @@ class Landing:
 
         The recursive listing with a test on the parent keeps a ``key=value`` directory beside
         the files from being taken for a partitioned table, which would hide the files.
-        Large files make one scan partition each, so the partitions are merged into one per core.
         """
         reader = self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
         reader = reader.option("ignoreMissingFiles", True)  # a file taken away is not there
@@ -78,7 +80,7 @@ class Landing:
                 "length",
                 F.col("modificationTime").alias("modified"),
             )
-            .coalesce(self.spark.sparkContext.defaultParallelism)
+            .coalesce(LISTING_TASKS)
         )
 
     def files(self) -> DataFrame:
@@ -211,17 +213,22 @@ class Landing:
             rows = _known_values(self.meta(tables)).collect()
             found = {table: {} for table in tables}
         except Exception:  # noqa: BLE001 - a damaged file can surface as almost any error
-            rows, found = [], {}
-            for table in tables:
-                try:
-                    rows += _known_values(self.meta_of(table)).collect()
-                    found[table] = {}
-                except Exception as error:  # noqa: BLE001
-                    found[table] = error
+            outcomes = run_each(self.spark, self._values_or_error, tables, parallelism=8)
+            rows = [row for outcome in outcomes if isinstance(outcome, list) for row in outcome]
+            found = {
+                table: {} if isinstance(outcome, list) else outcome
+                for table, outcome in zip(tables, outcomes, strict=True)
+            }
         for row in rows:
             found[row.table_name][row.test_name] = row.value
         return found
 
+    def _values_or_error(self, table: str) -> list[Row] | Exception:
+        try:
+            return _known_values(self.meta_of(table)).collect()
+        except Exception as error:  # noqa: BLE001
+            return error
+
 
 def _known_values(meta: DataFrame) -> DataFrame:
     """The last value of every known key; unknown keys are ignored."""
