@@ -23,6 +23,17 @@ from sluicegate.sources.landing import Landing, read_chunks
 
 SUCCESS = "success"
 
+# Steps as they appear in the run log, beside the names of the checks.
+DISCOVER = "discover_tables"
+EXTRACT = "extract"
+EXTRACT_TABLE = "extract_table"
+READ_META = "read_meta"
+READ_CHUNKS = "read_chunks"
+VALIDATE = "validate"
+WRITE = "write_to_bronze"
+ARCHIVE = "archive_files"
+PIPELINE = "pipeline"
+
 # Formats that are read column by column.
 COLUMNAR_FORMATS = frozenset({"parquet", "orc"})
 
@@ -111,51 +122,49 @@ class Ingest:
     def _discover(self, tables: list[str]) -> list[str]:
         manifest = {row.table_name: row.n_files for row in self.landing.manifest().collect()}
         if not manifest:
-            message = f"No data files found in {self.landing.root}"
-            self.log.failure("discover_tables", message)
+            message = f"{self.landing.root} holds no data file"
+            self.log.failure(DISCOVER, message)
             raise NoDataFiles(message)
-        counts = ", ".join(f"{table} ({n_files} files)" for table, n_files in sorted(manifest.items()))
-        self.log.success("discover_tables", f"Discovered {len(manifest)} tables: {counts}")
+        counts = ", ".join(f"{table} {n_files}" for table, n_files in sorted(manifest.items()))
+        self.log.success(DISCOVER, f"files by table: {counts}")
         return [table for table in tables if table in manifest]
 
     def _one(self, item: tuple[str, TableWork | None]) -> str:
         table, work = item
         if work is None:
-            message = f"Table '{table}' not found in {self.landing.root}"
-            self.log.failure("extract", message)
+            message = f"'{table}' was requested but not found in {self.landing.root}"
+            self.log.failure(EXTRACT, message)
             return message
         try:
             self._ingest(work)
             return SUCCESS
         except Exception as error:  # noqa: BLE001 - whatever went wrong belongs to this table
             _logger.debug("ingest of %s failed", table, exc_info=error)
-            self.log.failure("extract", f"Failed to extract '{table}': {error}")
+            self.log.failure(EXTRACT, f"'{table}' was not ingested: {error}")
             return str(error)
         finally:
             self._flush()
 
     def _ingest(self, work: TableWork) -> None:
         table = work.table
-        n_files = len(work.paths)
-        self.log.success("extract_table", f"Starting extraction for '{table}' ({n_files} files)")
+        self.log.success(EXTRACT_TABLE, f"'{table}' begins with {len(work.paths)} data files")
         if isinstance(work.known, Exception):
-            self.log.failure("read_meta", f"Failed to read meta file for '{table}': {work.known}")
+            self.log.failure(READ_META, f"expectations of '{table}': {work.known}")
             raise MetaUnreadable(str(work.known)) from work.known
-        self.log.success("read_meta", f"Read meta for '{table}': {len(work.known)} checks defined")
-        with self._step("read_chunks", f"read {self.settings.file_format} chunks of '{table}'"):
+        self.log.success(READ_META, f"expectations of '{table}': {', '.join(sorted(work.known)) or 'none'}")
+        with self._step(READ_CHUNKS, f"reading {self.settings.file_format} chunks of '{table}'"):
             df = self._read(work.paths)
             if table in self.settings.table_schemas:
                 require_schema(df, self.settings.table_schemas[table])
         self._gate(df, work)
         target = self.settings.bronze(table)
-        with self._step("write_to_bronze", f"write '{table}' to {target}"):
+        with self._step(WRITE, f"replacing {target}"):
             replace_table(df, target, self.settings.table_format)
-        self.log.success("write_to_bronze", f"Wrote '{table}' to {target}")
-        with self._step("archive_files", f"archive files for '{table}'"):
+        self.log.success(WRITE, f"{target} was replaced")
+        with self._step(ARCHIVE, f"archiving files of '{table}'"):
             self.landing.shared.move_all(work.moves[:-1], work.moves[-1:])
-        archived = f"Archived {len(work.moves)} files for '{table}' to {self.settings.archive_path}"
-        self.log.success("archive_files", archived)
-        self.log.success("extract_table", f"Completed extraction for '{table}'")
+        self.log.success(ARCHIVE, f"{len(work.moves)} files of '{table}' are in {self.settings.archive_path}")
+        self.log.success(EXTRACT_TABLE, f"'{table}' is done")
 
     def _read(self, paths: list[str]) -> DataFrame:
         settings = self.settings
@@ -171,16 +180,18 @@ class Ingest:
     def _gate(self, df: DataFrame, work: TableWork) -> None:
         """Measure in one job, log every check, and raise unless all passed."""
         table = work.table
-        with self._step("read_chunks", f"read chunks of '{table}'"):
+        with self._step(READ_CHUNKS, f"measuring chunks of '{table}'"):
             one_scan = self.settings.file_format not in COLUMNAR_FORMATS
             verdict = verdicts(check_table(df, table, work.known, one_scan))
             [verdict] = verdict.select("*", report_text(F.lit(table)).alias("text")).collect()
-        self.log.success("read_chunks", f"Read {len(work.paths)} chunks for '{table}'")
+        n_rows = [row.actual for row in verdict.results if row.check_name == CHECKS[0].name]
+        rows = f", {n_rows[0]} rows" if n_rows else ""
+        self.log.success(READ_CHUNKS, f"'{table}' was read: {len(work.paths)} chunks{rows}")
         for result in verdict.results:
             self.log.event(result.check_name, SUCCESS if result.passed else "failure", result.message)
         if not verdict.passed:
             raise GateFailure(table, verdict.text, verdict.results, self._archived_hint(work, verdict))
-        self.log.success("validate", f"All {verdict.n_checks} checks passed for '{table}'")
+        self.log.success(VALIDATE, f"'{table}' passes {verdict.n_checks} checks")
 
     def _archived_hint(self, work: TableWork, verdict: Row) -> str:
         """After a wrong row count, says so if files of this table were archived that day already.
@@ -203,10 +214,9 @@ class Ingest:
     def _summary(self, results: dict[str, str]) -> None:
         n_failed = sum(outcome != SUCCESS for outcome in results.values())
         self.log.event(
-            "extract",
+            EXTRACT,
             "warning" if n_failed else SUCCESS,
-            f"Extraction complete: {len(results) - n_failed} succeeded, {n_failed} failed "
-            f"out of {len(results)} tables",
+            f"{len(results)} tables requested: {len(results) - n_failed} ingested, {n_failed} failed",
         )
 
     def _flush(self) -> None:
@@ -233,7 +243,7 @@ class _Step:
 
     def __exit__(self, kind, error, trace) -> None:
         if isinstance(error, Exception):
-            message = f"Failed to {self.what}: {error}"
+            message = f"{self.what} failed: {error}"
             self.log.failure(self.step, message)
             raise StepFailed(message) from error
 
@@ -265,9 +275,9 @@ def bronze_job(spark: SparkSession, settings: IngestSettings, tables: list[str],
     results = Ingest(spark, settings, log).run(tables)
     failed = [table for table, outcome in results.items() if outcome != SUCCESS]
     if failed:
-        log.failure("pipeline", f"{len(failed)} of {len(results)} tables failed: {', '.join(failed)}")
+        log.failure(PIPELINE, f"{len(failed)} of {len(results)} tables failed: {', '.join(failed)}")
     else:
-        log.success("pipeline", f"All {len(results)} tables extracted: {', '.join(results)}")
+        log.success(PIPELINE, f"ingested {', '.join(results) or 'nothing'}")
     log.flush()
     for table, outcome in results.items():
         _logger.log(logging.ERROR if table in failed else logging.INFO, "%s: %s", table, outcome)

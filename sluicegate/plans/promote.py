@@ -25,11 +25,11 @@ def promote(
 ) -> None:
     """Read a table, transform it (not at all by default) and replace the target with the result."""
     if log:
-        log.success(f"read_{source.namespace[-1]}", f"Reading from {source}")
+        log.success(f"read_{source.namespace[-1]}", f"{source} is the source")
     rows = spark.table(source.sql)
     replace_table(transform(rows) if transform else rows, target, table_format)
     if log:
-        log.success(f"write_{target.namespace[-1]}", f"Wrote to {target}")
+        log.success(f"write_{target.namespace[-1]}", f"{target} was replaced")
 
 
 def silver_job(
@@ -70,7 +70,7 @@ def promote_many(
             promote(spark, source, target, transform, table_format, log)
         except Exception as error:  # noqa: BLE001 - user transforms raise anything
             if log:
-                log.failure(f"write_{target.namespace[-1]}", f"Failed to write {target}: {error}")
+                log.failure(f"write_{target.namespace[-1]}", f"replacing {target} failed: {error}")
             return str(error)
         return "success"
 

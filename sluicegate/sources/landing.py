@@ -201,7 +201,7 @@ class Landing:
                 F.col("_metadata.row_index").alias("position"),
             )
         except Exception as error:
-            raise MetaUnreadable(f"Meta file not found or unreadable: {self.meta_path(table)}") from error
+            raise MetaUnreadable(f"no readable expectations in {self.meta_path(table)}") from error
 
     def expectations(self, tables: list[str]) -> dict[str, dict[str, str | None] | Exception]:
         """Expectations by table, or the error that made a table's file unreadable.

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sluicegate.operators import checks
@@ -170,6 +172,24 @@ def test_measurement_reads_each_column_once_and_sorts_nothing(spark):
     assert plan.count("hashpartitioning") == 1
 
 
+numbers = st.none() | st.integers(0, 5)
+days = st.none() | st.dates(dt.date(2024, 1, 1), dt.date(2024, 1, 9))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(numbers, days), max_size=30))
+def test_against_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "id int, day date").repartition(3)
+    seen = [day for _, day in rows if day]
+    known = {
+        "n_rows": str(len(rows)), "n_mbrs": "2", "n_unique_id": str(len({n for n, _ in rows})), "id_col": "id",
+        "max_date": str(max(seen, default="")), "min_date": str(min(seen, default="")), "date_col": "day",
+    }
+    passed = {name: row.passed for name, row in outcome(df, known).items()}
+    dated = bool(seen)
+    assert passed == dict(zip([c.name for c in checks.CHECKS], [True, True, True, dated, dated], strict=True))
+
+
 def test_row_formats_are_scanned_once(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10).selectExpr("id", "date'2024-01-01' AS day", "id AS x").write.csv(path)

@@ -70,14 +70,14 @@ def test_failures_stay_with_their_table(box, log, parallel):
     assert "1 of 1 checks failed" in results["bad"]
     assert "[FAIL] validate_row_count: Expected 3 rows, got 2" in results["bad"]
     assert "not found" in results["absent"]
-    assert "Meta file" in results["no_meta"]
+    assert "no readable expectations" in results["no_meta"]
     assert "broken" in results["broken"]
     assert [has_table(box, t) for t in ("bad", "broken", "good", "not_requested")] == [False, False, True, False]
     assert box.landed() == ["bad", "bad.meta", "broken", "broken.meta", "no_meta", "not_requested"]
     tally = run_tally(outcome_frame(box.spark, results)).first()
     assert tuple(tally) == (1, 4, 5, "warning")
     summary = log.query({"step": "extract", "status": "warning"}).first()
-    assert "1 succeeded, 4 failed out of 5" in summary.message
+    assert summary.message == "5 tables requested: 1 ingested, 4 failed"
 
 
 def test_nothing_to_ingest(box, log):
@@ -114,6 +114,23 @@ def test_failed_gate_keeps_the_old_table(box, log):
     assert box.landed() == ["good", "good.meta"]
 
 
+def test_failed_write_leaves_the_files(box, log):
+    put_good(box)
+    results = Ingest(box.spark, box.settings(bronze_schema="nowhere"), log).run(["good"])
+    assert "nowhere" in results["good"]
+    assert len(box.landed()) == 3
+    assert steps(log, "failure") == ["extract", "write_to_bronze"]
+
+
+def test_rows_are_in_the_log(box, log):
+    put_good(box)
+    box.put("plain", {"id": [1]})
+    box.meta("plain", {"n_mbrs": "1"})
+    Ingest(box.spark, box.settings(), log).run(["good", "plain"])
+    messages = {r.message for r in log.query({"step": "read_chunks"}).collect()}
+    assert messages == {"'good' was read: 2 chunks, 8 rows", "'plain' was read: 1 chunks"}
+
+
 def test_taken_archive_name_moves_nothing(box, log):
     put_good(box)
     taken = box.archive_dir / "good_20240401_20240630_processed20260210"
