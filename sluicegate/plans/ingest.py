@@ -17,7 +17,7 @@ from sluicegate.functions import naming
 from sluicegate.operators.checks import CHECKS, check_table, report_text, verdicts
 from sluicegate.operators.schema import require_schema
 from sluicegate.sinks.runlog import RunLog
-from sluicegate.sinks.tables import replace_table
+from sluicegate.sinks.tables import replace_table, restore_table
 from sluicegate.sources.files import SharedFiles, run_each
 from sluicegate.sources.landing import Landing, read_chunks
 
@@ -146,7 +146,8 @@ class Ingest:
             self._flush()
 
     def _ingest(self, work: TableWork) -> None:
-        table = work.table
+        table, target = work.table, self.settings.bronze(work.table)
+        restore_table(self.spark, target)
         self.log.success(EXTRACT_TABLE, f"'{table}' begins with {len(work.paths)} data files")
         if isinstance(work.known, Exception):
             self.log.failure(READ_META, f"expectations of '{table}': {work.known}")
@@ -157,7 +158,6 @@ class Ingest:
             if table in self.settings.table_schemas:
                 require_schema(df, self.settings.table_schemas[table])
         self._gate(df, work)
-        target = self.settings.bronze(table)
         with self._step(WRITE, f"replacing {target}"):
             replace_table(df, target, self.settings.table_format)
         self.log.success(WRITE, f"{target} was replaced")

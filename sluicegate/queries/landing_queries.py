@@ -198,9 +198,8 @@ def classify_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders=orders,
     )
     name = F.col("name")
-    return names.select(
-        "*", naming.name_kind(name).alias("kind"), naming.table_of(name).alias("table_name")
-    )
+    kinds = names.withColumn("kind", naming.name_kind(name))
+    return kinds.withColumn("table_name", naming.table_of(name, F.col("kind")))
 
 
 @query("SELECT * FROM orders")

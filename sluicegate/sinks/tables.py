@@ -24,8 +24,8 @@ def replace_table(df: DataFrame, target: TableRef, table_format: str = "parquet"
         writer.mode("overwrite").saveAsTable(target.sql)
         return
     spark = df.sparkSession
-    staging = target.sibling(f"staging__{target.name}")
-    previous = target.sibling(f"previous__{target.name}")
+    staging, previous = target.sibling(f"staging__{target.name}"), _previous(target)
+    restore_table(spark, target)
     df.write.format(table_format).mode("overwrite").saveAsTable(staging.sql)
     replaces = spark.catalog.tableExists(target.sql)
     if replaces:
@@ -40,6 +40,17 @@ def replace_table(df: DataFrame, target: TableRef, table_format: str = "parquet"
     spark.sql(f"DROP TABLE IF EXISTS {previous.sql}")
 
 
+def restore_table(spark: SparkSession, target: TableRef) -> None:
+    """Give a table its name back if a run died between the two renames of an exchange."""
+    previous = _previous(target)
+    if spark.catalog.tableExists(previous.sql) and not spark.catalog.tableExists(target.sql):
+        _rename(spark, previous, target)
+
+
+def _previous(target: TableRef) -> TableRef:
+    return target.sibling(f"previous__{target.name}")
+
+
 def _rename(spark: SparkSession, source: TableRef, target: TableRef) -> None:
     # The new name is always within the table's own catalog and given without it.
     new_name = TableRef(target.namespace[1:], target.name)

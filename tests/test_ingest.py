@@ -131,6 +131,15 @@ def test_rows_are_in_the_log(box, log):
     assert messages == {"'good' was read: 2 chunks, 8 rows", "'plain' was read: 1 chunks"}
 
 
+def test_run_after_a_crash_between_the_renames(box, log):
+    """The old table comes back, even if the next delivery fails its gate."""
+    target = box.settings().bronze("bad")
+    box.spark.range(3).write.saveAsTable(target.sibling("previous__bad").sql)
+    put_bad(box)
+    assert "1 of 1 checks failed" in Ingest(box.spark, box.settings(), log).run(["bad"])["bad"]
+    assert bronze(box, "bad").count() == 3
+
+
 def test_taken_archive_name_moves_nothing(box, log):
     put_good(box)
     taken = box.archive_dir / "good_20240401_20240630_processed20260210"

@@ -70,6 +70,11 @@ def test_limit_comes_after_filters(four):
     assert four.query({"step": "write_data"}, limit=1).count() == 1
 
 
+def test_filters_reach_the_scan(four):
+    plan = four.query({"status": "failure"})._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(status,failure)" in plan
+
+
 def test_unknown_column_and_missing_table(four, spark, layout):
     with pytest.raises(RuntimeError):
         four.query({"nope": 1})
