@@ -71,8 +71,9 @@ class IngestSettings:
         landing_path, archive_path: directories on storage every executor can reach.
         bronze_schema: schema the tables are written to.
         table_format: format of bronze tables.
-        file_format, file_schema, file_options, merge_schema: how landing files are read.
-        table_schemas: exact schemas of some tables; a delivery that differs fails before it is read.
+        file_format, file_options, merge_schema: how landing files are read.
+        table_schemas: schemas of some tables. Parquet files that have another one fail before they
+            are read; CSV and JSON files are read with it, and without it Spark infers one.
         parallel_tables: tables worked on at the same time; each stays a separate Spark job.
         archive_day: day stamped on archived files, today when not given.
     """
@@ -83,7 +84,6 @@ class IngestSettings:
     bronze_schema: str = "bronze"
     table_format: str = "parquet"
     file_format: str = "parquet"
-    file_schema: StructType | str | None = None
     file_options: dict[str, str] = field(default_factory=dict)
     merge_schema: bool = False
     table_schemas: dict[str, StructType] = field(default_factory=dict)

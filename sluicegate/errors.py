@@ -18,7 +18,11 @@ class StepFailed(RuntimeError):
 
 
 class LogWriteFailed(RuntimeError):
-    """Run-log events could not be written."""
+    """Run-log events could not be written; ``results`` are those of the run, if there was one."""
+
+    def __init__(self, message: str, results: dict[str, str] | None = None):
+        super().__init__(message)
+        self.results = results
 
 
 class SchemaMismatch(Exception):

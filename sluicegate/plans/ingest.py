@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -102,8 +104,10 @@ class Ingest:
         """Ingest the requested tables; gives ``success`` or the error text by table name.
 
         A table that fails or is not there does not stop the others. Each name is worked on once.
+        If the log could not be written, the error raised at the end carries the results.
         """
         tables = list(dict.fromkeys(tables))
+        self._log_errors.clear()
         try:
             found = self._discover(tables)
             work = work_for(self.landing, found, self.settings.archive_path, self.day)
@@ -116,31 +120,31 @@ class Ingest:
         finally:
             self._flush()
         if self._log_errors:
-            raise self._log_errors[0]
+            raise LogWriteFailed(str(self._log_errors[0]), results) from self._log_errors[0]
         return results
 
     def _discover(self, tables: list[str]) -> list[str]:
         manifest = {row.table_name: row.n_files for row in self.landing.manifest().collect()}
         if not manifest:
             message = f"{self.landing.root} holds no data file"
-            self.log.failure(DISCOVER, message)
+            self._note("failure", DISCOVER, message)
             raise NoDataFiles(message)
         counts = ", ".join(f"{table} {n_files}" for table, n_files in sorted(manifest.items()))
-        self.log.success(DISCOVER, f"files by table: {counts}")
+        self._note(SUCCESS, DISCOVER, f"files by table: {counts}")
         return [table for table in tables if table in manifest]
 
     def _one(self, item: tuple[str, TableWork | None]) -> str:
         table, work = item
         if work is None:
             message = f"'{table}' was requested but not found in {self.landing.root}"
-            self.log.failure(EXTRACT, message)
+            self._note("failure", EXTRACT, message)
             return message
         try:
             self._ingest(work)
             return SUCCESS
         except Exception as error:  # noqa: BLE001 - whatever went wrong belongs to this table
             _logger.debug("ingest of %s failed", table, exc_info=error)
-            self.log.failure(EXTRACT, f"'{table}' was not ingested: {error}")
+            self._note("failure", EXTRACT, f"'{table}' was not ingested: {error}")
             return str(error)
         finally:
             self._flush()
@@ -148,34 +152,34 @@ class Ingest:
     def _ingest(self, work: TableWork) -> None:
         table, target = work.table, self.settings.bronze(work.table)
         restore_table(self.spark, target)
-        self.log.success(EXTRACT_TABLE, f"'{table}' begins with {len(work.paths)} data files")
+        self._note(SUCCESS, EXTRACT_TABLE, f"'{table}' begins with {len(work.paths)} data files")
         if isinstance(work.known, Exception):
-            self.log.failure(READ_META, f"expectations of '{table}': {work.known}")
+            self._note("failure", READ_META, f"expectations of '{table}': {work.known}")
             raise MetaUnreadable(str(work.known)) from work.known
-        self.log.success(READ_META, f"expectations of '{table}': {', '.join(sorted(work.known)) or 'none'}")
+        self._note(SUCCESS, READ_META, f"expectations of '{table}': {', '.join(sorted(work.known)) or 'none'}")
         with self._step(READ_CHUNKS, f"reading {self.settings.file_format} chunks of '{table}'"):
-            df = self._read(work.paths)
-            if table in self.settings.table_schemas:
-                require_schema(df, self.settings.table_schemas[table])
+            df = self._read(work)
         self._gate(df, work)
         with self._step(WRITE, f"replacing {target}"):
             replace_table(df, target, self.settings.table_format)
-        self.log.success(WRITE, f"{target} was replaced")
+        self._note(SUCCESS, WRITE, f"{target} was replaced")
         with self._step(ARCHIVE, f"archiving files of '{table}'"):
             self.landing.shared.move_all(work.moves[:-1], work.moves[-1:])
-        self.log.success(ARCHIVE, f"{len(work.moves)} files of '{table}' are in {self.settings.archive_path}")
-        self.log.success(EXTRACT_TABLE, f"'{table}' is done")
+        self._note(SUCCESS, ARCHIVE, f"{len(work.moves)} files of '{table}' are in {self.settings.archive_path}")
+        self._note(SUCCESS, EXTRACT_TABLE, f"'{table}' is done")
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        settings = self.settings
-        return read_chunks(
+    def _read(self, work: TableWork) -> DataFrame:
+        settings, schema = self.settings, self.settings.table_schemas.get(work.table)
+        typed = settings.file_format in COLUMNAR_FORMATS  # the files know their schema
+        df = read_chunks(
             self.spark,
-            paths,
+            work.paths,
             settings.file_format,
-            settings.file_schema,
+            None if typed else schema,
             settings.merge_schema,
             settings.file_options,
         )
+        return require_schema(df, schema) if schema and typed else df
 
     def _gate(self, df: DataFrame, work: TableWork) -> None:
         """Measure in one job, log every check, and raise unless all passed."""
@@ -186,12 +190,12 @@ class Ingest:
             [verdict] = verdict.select("*", report_text(F.lit(table)).alias("text")).collect()
         n_rows = [row.actual for row in verdict.results if row.check_name == CHECKS[0].name]
         rows = f", {n_rows[0]} rows" if n_rows else ""
-        self.log.success(READ_CHUNKS, f"'{table}' was read: {len(work.paths)} chunks{rows}")
+        self._note(SUCCESS, READ_CHUNKS, f"'{table}' was read: {len(work.paths)} chunks{rows}")
         for result in verdict.results:
-            self.log.event(result.check_name, SUCCESS if result.passed else "failure", result.message)
+            self._note(SUCCESS if result.passed else "failure", result.check_name, result.message)
         if not verdict.passed:
             raise GateFailure(table, verdict.text, verdict.results, self._archived_hint(work, verdict))
-        self.log.success(VALIDATE, f"'{table}' passes {verdict.n_checks} checks")
+        self._note(SUCCESS, VALIDATE, f"'{table}' passes {verdict.n_checks} checks")
 
     def _archived_hint(self, work: TableWork, verdict: Row) -> str:
         """After a wrong row count, says so if files of this table were archived that day already.
@@ -213,38 +217,33 @@ class Ingest:
 
     def _summary(self, results: dict[str, str]) -> None:
         n_failed = sum(outcome != SUCCESS for outcome in results.values())
-        self.log.event(
-            EXTRACT,
+        self._note(
             "warning" if n_failed else SUCCESS,
+            EXTRACT,
             f"{len(results)} tables requested: {len(results) - n_failed} ingested, {n_failed} failed",
         )
 
+    def _note(self, status: str, step: str, message: str) -> None:
+        """Log an event; a log that cannot be written must not make a table look failed."""
+        try:
+            self.log.event(step, status, message)
+        except LogWriteFailed as error:
+            self._log_errors.append(error)
+
     def _flush(self) -> None:
-        """Write events out; a log that cannot be written must not make a table look failed."""
         try:
             self.log.flush()
         except LogWriteFailed as error:
             self._log_errors.append(error)
 
-    def _step(self, step: str, what: str) -> _Step:
-        return _Step(self.log, step, what)
-
-
-@dataclass
-class _Step:
-    """Logs a failing step and wraps its error."""
-
-    log: RunLog
-    step: str
-    what: str
-
-    def __enter__(self) -> None:
-        return None
-
-    def __exit__(self, kind, error, trace) -> None:
-        if isinstance(error, Exception):
-            message = f"{self.what} failed: {error}"
-            self.log.failure(self.step, message)
+    @contextmanager
+    def _step(self, step: str, what: str) -> Iterator[None]:
+        """Logs an error of a step and wraps it."""
+        try:
+            yield
+        except Exception as error:
+            message = f"{what} failed: {error}"
+            self._note("failure", step, message)
             raise StepFailed(message) from error
 
 

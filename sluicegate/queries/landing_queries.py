@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from sluicegate.config import IngestSettings
 from sluicegate.functions import naming
+from sluicegate.functions.parsing import iso_midnight, moment_text, whole_number
 from sluicegate.operators.checks import (
     CHECKS,
     DATE_CHECKS,
@@ -421,6 +422,66 @@ def ingest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, listings)
 
 
+@query("""
+    WITH t AS (
+      SELECT 'orders' AS name, count(*) = count(*) AS good, true AS dated FROM orders
+      UNION ALL SELECT 'customer', count(*) = count(*), false FROM customer
+      UNION ALL SELECT 'lineitem', count(*) = count(*) - 1, true FROM lineitem
+    ), events AS (
+      SELECT 'discover_tables' AS step, true AS ok
+      UNION ALL SELECT unnest(['extract_table', 'read_meta', 'read_chunks', 'validate_n_members',
+                               'validate_unique_id_count']), true FROM t
+      UNION ALL SELECT 'validate_row_count', good FROM t
+      UNION ALL SELECT 'validate_max_date', true FROM t WHERE dated
+      UNION ALL SELECT 'validate_min_date', good FROM t WHERE dated
+      UNION ALL SELECT unnest(['validate', 'write_to_bronze', 'archive_files', 'extract_table']), true
+                FROM t WHERE good
+      UNION ALL SELECT 'extract', false FROM t WHERE NOT good
+      UNION ALL SELECT 'extract', false
+      UNION ALL SELECT 'extract', NULL
+    )
+    SELECT step, CASE ok WHEN true THEN 'success' WHEN false THEN 'failure' ELSE 'warning' END AS status,
+           count(*) AS n FROM events GROUP BY ALL
+""")
+def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ingest, _ = _ingested(spark, sf_dir)
+    return ingest.log.query().groupBy("step", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+_TEXTS_SQL = """
+    SELECT o_orderkey,
+           CASE o_orderpriority WHEN '1-URGENT' THEN d WHEN '2-HIGH' THEN replace(d, '-0', '-')
+                WHEN '3-MEDIUM' THEN d || ' 10:00' WHEN '4-NOT SPECIFIED' THEN replace(d, '-', '')
+                ELSE 'unknown' END AS day,
+           CASE o_orderpriority WHEN '1-URGENT' THEN ' ' || o_custkey || ' ' WHEN '2-HIGH' THEN '1_' || o_custkey
+                WHEN '3-MEDIUM' THEN '1__' || o_custkey WHEN '4-NOT SPECIFIED' THEN o_custkey || '.0'
+                ELSE 'many' END AS number
+    FROM ({source})
+"""
+
+
+@query(f"""
+    SELECT t.o_orderkey, day, number,
+           CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
+                THEN strftime(o_orderdate, '%Y-%m-%d 00:00:00') END AS moment,
+           CASE o_orderpriority WHEN '1-URGENT' THEN o_custkey
+                WHEN '2-HIGH' THEN CAST('1' || o_custkey AS BIGINT) END AS whole
+    FROM ({_TEXTS_SQL.format(source="SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders")}) t
+    JOIN orders o ON o.o_orderkey = t.o_orderkey
+""")
+def parse_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered days and numbers, readable and not."""
+    texts = spark.sql(
+        _TEXTS_SQL.format(source="SELECT *, date_format(o_orderdate, 'yyyy-MM-dd') AS d FROM {orders}"),
+        orders=table(spark, sf_dir, "orders"),
+    )
+    return texts.select(
+        "*",
+        moment_text(iso_midnight(F.col("day"))).alias("moment"),
+        whole_number(F.col("number")).alias("whole"),
+    )
+
+
 @query("""
     SELECT o_orderkey, '/landing/t' || o_custkey || s AS src,
            '/archive/t' || o_custkey || CASE WHEN s = '.meta' THEN '_processed20260210.meta'

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import SparkSession
 from pyspark.util import inheritable_thread_target
@@ -22,29 +23,30 @@ class SharedFiles:
     """
 
     def __init__(self, spark: SparkSession, threads: int = 32):
-        self._jvm = spark._jvm
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
         self._threads = threads
+        self._systems: dict[str, Any] = {}
 
-    def _path(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
+    def _system(self, path: str):
+        """File system of a path, looked up once per directory."""
+        directory = path.rpartition("/")[0]
+        if directory not in self._systems:
+            self._systems[directory] = self._path(path).getFileSystem(self._conf)
+        return self._systems[directory]
 
     def qualify(self, path: str) -> str:
         """Absolute form with scheme, without a trailing slash, as Spark's listings show it."""
-        hadoop_path = self._path(path)
-        return hadoop_path.getFileSystem(self._conf).makeQualified(hadoop_path).toString()
+        return self._system(path).makeQualified(self._path(path)).toString()
 
     def exists(self, path: str) -> bool:
-        hadoop_path = self._path(path)
-        return hadoop_path.getFileSystem(self._conf).exists(hadoop_path)
+        return self._system(path).exists(self._path(path))
 
     def make_dir(self, path: str) -> None:
-        hadoop_path = self._path(path)
-        hadoop_path.getFileSystem(self._conf).mkdirs(hadoop_path)
+        self._system(path).mkdirs(self._path(path))
 
     def move(self, src: str, dest: str) -> None:
-        source = self._path(src)
-        if not source.getFileSystem(self._conf).rename(source, self._path(dest)):
+        if not self._system(src).rename(self._path(src), self._path(dest)):
             raise OSError(f"could not move {src} to {dest}")
 
     def move_all(self, *batches: list[tuple[str, str]]) -> None:

@@ -192,9 +192,9 @@ def test_files_that_arrive_during_a_run_are_left_alone(box, log, monkeypatch):
     ingest = Ingest(box.spark, box.settings(), log)
     read = ingest._read
 
-    def late(paths):
+    def late(work):
         box.put("good_20240701_20240930", {"id": [9], "day": ["2024-07-01"]})
-        return read(paths)
+        return read(work)
 
     monkeypatch.setattr(ingest, "_read", late)
     assert ingest.run(["good"]) == {"good": "success"}
@@ -202,11 +202,13 @@ def test_files_that_arrive_during_a_run_are_left_alone(box, log, monkeypatch):
     assert box.landed() == ["good_20240701_20240930"]
 
 
-def test_log_that_cannot_be_written_does_not_fail_a_table(box, layout):
+@pytest.mark.parametrize("buffer_size", [1, 200])
+def test_log_that_cannot_be_written_does_not_fail_a_table(box, layout, buffer_size):
     put_good(box)
-    log = RunLog("d", "p", layout.table("nowhere", "logs"), box.spark)
-    with pytest.raises(LogWriteFailed):
+    log = RunLog("d", "p", layout.table("nowhere", "logs"), box.spark, buffer_size=buffer_size)
+    with pytest.raises(LogWriteFailed) as raised:
         Ingest(box.spark, box.settings(), log).run(["good"])
+    assert raised.value.results == {"good": "success"}
     assert bronze(box, "good").count() == 8
     assert len(box.archived()) == 3
 
@@ -242,7 +244,8 @@ def test_wrong_schema_fails_before_the_checks(box, log):
 def test_csv_ingest(box, log):
     (box.landing_dir / "t_20240101_20240331").write_text("id,name\n1,a\n2,b\n")
     box.meta("t", {"n_rows": "2", "n_mbrs": "2"})
-    settings = box.settings(file_format="csv", file_schema="id int, name string")
+    schema = T.StructType().add("id", "integer").add("name", "string")
+    settings = box.settings(file_format="csv", table_schemas={"t": schema})
     assert Ingest(box.spark, settings, log).run(["t"]) == {"t": "success"}
     assert sorted(tuple(r) for r in bronze(box, "t").collect()) == [(1, "a"), (2, "b")]
 
