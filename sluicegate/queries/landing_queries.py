@@ -134,11 +134,11 @@ def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT 'orders' AS table_name, count(DISTINCT year(o_orderdate)) AS n_files, true AS found FROM orders
     UNION ALL SELECT 'customer', least(1, count(*)), true FROM customer
-    UNION ALL SELECT 'returns', NULL, false
+    UNION ALL SELECT 'returns', 0, false
 """)
 def requested_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = staged_landing(spark, sf_dir).requested(["orders", "returns", "customer"])
-    return wanted.select("table_name", "n_files", "found")
+    return wanted.select("table_name", F.coalesce("n_files", F.lit(0)).alias("n_files"), "found")
 
 
 @query("""
@@ -368,8 +368,8 @@ def _ingested(spark: SparkSession, sf_dir: str) -> tuple[Ingest, dict[str, str]]
 @query("""
     SELECT 'orders' AS table_name, 'success' AS status, count(*) AS n_rows FROM orders
     UNION ALL SELECT 'customer', 'success', count(*) FROM customer
-    UNION ALL SELECT 'lineitem', 'failure', NULL
-    UNION ALL SELECT 'returns', 'failure', NULL
+    UNION ALL SELECT 'lineitem', 'failure', 0
+    UNION ALL SELECT 'returns', 'failure', 0
 """)
 def ingest_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest, results = _ingested(spark, sf_dir)
@@ -381,7 +381,8 @@ def ingest_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name in results
         if spark.catalog.tableExists(ingest.settings.bronze(name).sql)
     ]
-    return outcomes.join(reduce(DataFrame.union, written), "table_name", "left")
+    joined = outcomes.join(reduce(DataFrame.union, written), "table_name", "left")
+    return joined.withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
 
 
 @query("SELECT * FROM orders")
@@ -465,7 +466,7 @@ _TEXTS_SQL = """
            CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
                 THEN strftime(o_orderdate, '%Y-%m-%d 00:00:00') END AS moment,
            CASE o_orderpriority WHEN '1-URGENT' THEN o_custkey
-                WHEN '2-HIGH' THEN CAST('1' || o_custkey AS BIGINT) END AS whole
+                WHEN '2-HIGH' THEN CAST('1' || o_custkey AS BIGINT) ELSE -1 END AS whole
     FROM ({_TEXTS_SQL.format(source="SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders")}) t
     JOIN orders o ON o.o_orderkey = t.o_orderkey
 """)
@@ -478,7 +479,7 @@ def parse_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select(
         "*",
         moment_text(iso_midnight(F.col("day"))).alias("moment"),
-        whole_number(F.col("number")).alias("whole"),
+        F.coalesce(whole_number(F.col("number")), F.lit(-1)).alias("whole"),
     )
 
 
