@@ -147,7 +147,7 @@ class Ingest:
             self._note("failure", EXTRACT, f"'{table}' was not ingested: {error}")
             return str(error)
         finally:
-            self._flush()
+            self._flush(wait=False)
 
     def _ingest(self, work: TableWork) -> None:
         table, target = work.table, self.settings.bronze(work.table)
@@ -230,9 +230,9 @@ class Ingest:
         except LogWriteFailed as error:
             self._log_errors.append(error)
 
-    def _flush(self) -> None:
+    def _flush(self, wait: bool = True) -> None:
         try:
-            self.log.flush()
+            self.log.flush(wait)
         except LogWriteFailed as error:
             self._log_errors.append(error)
 

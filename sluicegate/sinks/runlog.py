@@ -54,7 +54,8 @@ class RunLog:
     """Appends events to a log table and queries it.
 
     Events carry the moment they happened and wait in a buffer: one append per ``buffer_size``
-    events, per :meth:`flush` and per :meth:`query`, instead of one per event.
+    events, per :meth:`flush` and per :meth:`query`, instead of one per event. Threads may share a
+    log.
     ``buffer_size=1`` makes every event durable at once. Use it as a context manager, or flush in
     a ``finally``, so that a failing run keeps its events.
 
@@ -115,9 +116,15 @@ class RunLog:
     def failure(self, step: str, message: str, source: str | None = None) -> None:
         self.event(step, "failure", message, source)
 
-    def flush(self) -> None:
-        """Append the waiting events; if that fails they stay in the buffer."""
-        with self._write_lock:
+    def flush(self, wait: bool = True) -> None:
+        """Append the waiting events; if that fails they stay in the buffer.
+
+        Without ``wait``, an append that is under way elsewhere is not waited for; the events are
+        written by the next flush.
+        """
+        if not self._write_lock.acquire(blocking=wait):
+            return
+        try:
             with self._buffer_lock:
                 waiting = list(self._events)
             if not waiting:
@@ -127,6 +134,8 @@ class RunLog:
             self._append(self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1))
             with self._buffer_lock:
                 del self._events[: len(waiting)]
+        finally:
+            self._write_lock.release()
 
     def append(self, rows: DataFrame) -> None:
         """Append a whole DataFrame of log rows, with the log's columns in any order."""

@@ -25,7 +25,8 @@ class SharedFiles:
     def __init__(self, spark: SparkSession, threads: int = 32):
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
-        self._threads = threads
+        # One pool for all calls: every new Python thread costs a thread in the JVM as well.
+        self._pool = ThreadPoolExecutor(threads)
         self._systems: dict[str, Any] = {}
 
     def _system(self, path: str):
@@ -81,10 +82,7 @@ class SharedFiles:
         return None
 
     def _each(self, action, moves):
-        if not moves:
-            return []
-        with ThreadPoolExecutor(min(self._threads, len(moves))) as pool:
-            return list(zip(moves, pool.map(action, moves), strict=True))
+        return list(zip(moves, self._pool.map(action, moves), strict=True))
 
 
 def run_each(spark: SparkSession, action, items: list, parallelism: int) -> list:

@@ -157,8 +157,8 @@ def test_meta_with_numbers_and_as_directory(box, spark):
     assert found == {"n": {"n_rows": "12"}, "d": {"n_rows": "7", "id_col": "id"}}
 
 
-@pytest.mark.parametrize("file_format", ["csv", "json"])
-def test_text_chunks(spark, file_format):
+@pytest.mark.parametrize("file_format", ["csv", "json", "orc"])
+def test_other_formats(spark, file_format):
     orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
     landing = f"{workspace(spark)}/landing"
     stage_chunks(orders, landing, "orders", file_format=file_format)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,6 +116,21 @@ def test_one_append_per_flush(log):
     assert files_of(log) == 1
 
 
+def test_threads_share_a_log(log):
+    def work(number):
+        for i in range(5):
+            log.success("s", f"{number} {i}")
+            log.flush(wait=False)
+
+    threads = [threading.Thread(target=work, args=(n,)) for n in range(6)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    messages = [r.message for r in log.query().collect()]
+    assert sorted(messages) == sorted(f"{n} {i}" for n in range(6) for i in range(5))
+
+
 def test_full_buffer_is_written(spark, layout):
     log = RunLog("d", "p", layout.table("ua", "logs"), spark, buffer_size=2)
     for i in range(3):
