@@ -58,26 +58,6 @@ class TableWork:
         return [src for src, _ in self.moves[:-1]]
 
 
-def work_for(landing: Landing, tables: list[str], archive_path: str, day: dt.date) -> dict[str, TableWork]:
-    """File lists and expectations of the given tables, by table name.
-
-    Only names pass through the driver, as they do in any Spark file scan.
-    """
-    if not tables:
-        return {}
-    files = landing.work_list(tables, archive_path, day).collect()
-    work = {table: TableWork(table, known=known) for table, known in landing.expectations(tables).items()}
-    metas = {}
-    for row in sorted(files):
-        if row.kind == "meta":
-            metas[row.table_name] = (row.src, row.dest)
-        else:
-            work[row.table_name].moves.append((row.src, row.dest))
-    for table, move in metas.items():
-        work[table].moves.append(move)
-    return work
-
-
 class Ingest:
     """Replaces bronze tables by delivered data that passes its checks.
 
@@ -109,9 +89,8 @@ class Ingest:
         tables = list(dict.fromkeys(tables))
         self._log_errors.clear()
         try:
-            found = self._discover(tables)
-            work = work_for(self.landing, found, self.settings.archive_path, self.day)
-            if found:
+            work = self._discover(tables)
+            if work:
                 self.landing.shared.make_dir(self.settings.archive_path)
             items = [(table, work.get(table)) for table in tables]
             outcomes = run_each(self.spark, self._one, items, self.settings.parallel_tables)
@@ -123,15 +102,32 @@ class Ingest:
             raise LogWriteFailed(str(self._log_errors[0]), results) from self._log_errors[0]
         return results
 
-    def _discover(self, tables: list[str]) -> list[str]:
-        manifest = {row.table_name: row.n_files for row in self.landing.manifest().collect()}
+    def _discover(self, tables: list[str]) -> dict[str, TableWork]:
+        """Files and expectations of the requested tables that are there, from a single listing.
+
+        Only names pass through the driver, as they do in any Spark file scan.
+        """
+        listed = self.landing.data_files()
+        frames = [
+            self.landing.manifest(listed),
+            self.landing.work_list(tables, self.settings.archive_path, self.day, listed),
+        ]
+        manifest, files = run_each(self.spark, DataFrame.collect, frames, len(frames))
         if not manifest:
             message = f"{self.landing.root} holds no data file"
             self._note("failure", DISCOVER, message)
             raise NoDataFiles(message)
-        counts = ", ".join(f"{table} {n_files}" for table, n_files in sorted(manifest.items()))
+        counts = ", ".join(f"{row.table_name} {row.n_files}" for row in sorted(manifest))
         self._note(SUCCESS, DISCOVER, f"files by table: {counts}")
-        return [table for table in tables if table in manifest]
+        there = {row.table_name for row in manifest}
+        found = [table for table in tables if table in there]
+        known = self.landing.expectations(found) if found else {}
+        work = {table: TableWork(table, known=known[table]) for table in found}
+        # Data files first: the meta file is what a rerun needs most.
+        for row in sorted(files, key=lambda row: (row.kind == "meta", row.src)):
+            if row.table_name in work:
+                work[row.table_name].moves.append((row.src, row.dest))
+        return work
 
     def _one(self, item: tuple[str, TableWork | None]) -> str:
         table, work = item

@@ -101,14 +101,15 @@ class Landing:
     def data_files(self) -> DataFrame:
         return self.files().where(F.col("kind").isin("chunk", "plain"))
 
-    def manifest(self) -> DataFrame:
+    def manifest(self, data_files: DataFrame | None = None) -> DataFrame:
         """One row per table: number and size of its files, first and last chunk day.
 
         The paths stay in :meth:`files`, so a table with very many chunks is still one small row.
+        ``data_files``, a frame of :meth:`data_files`, saves listing the directory again.
         """
+        data = self.data_files() if data_files is None else data_files
         return (
-            self.data_files()
-            .groupBy("table_name")
+            data.groupBy("table_name")
             .agg(
                 F.count(F.lit(1)).alias("n_files"),
                 F.sum("length").alias("n_bytes"),
@@ -125,13 +126,16 @@ class Landing:
             "*", F.col("n_files").isNotNull().alias("found")
         )
 
-    def work_list(self, tables: list[str], archive_path: str, day: dt.date) -> DataFrame:
+    def work_list(
+        self, tables: list[str], archive_path: str, day: dt.date, data_files: DataFrame | None = None
+    ) -> DataFrame:
         """Every file of the requested tables with its place in the archive.
 
         Columns ``table_name, kind, src, dest``. The meta path is derived from the table name
         because a meta "file" may be a directory, which a listing of files does not show.
         """
-        data = self.data_files().where(F.col("table_name").isin(*tables))
+        data = self.data_files() if data_files is None else data_files
+        data = data.where(F.col("table_name").isin(*tables))
         data = data.select("table_name", "kind", F.col("path").alias("src"))
         names = self.spark.createDataFrame(pa.table({"table_name": pa.array(tables, pa.string())}))
         meta_path = F.concat(F.lit(self.root + "/"), "table_name", F.lit(naming.META_SUFFIX))
