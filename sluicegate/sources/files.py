@@ -46,6 +46,10 @@ class SharedFiles:
     def make_dir(self, path: str) -> None:
         self._system(path).mkdirs(self._path(path))
 
+    def delete(self, path: str) -> None:
+        """Remove a file or a whole directory; nothing happens if it is not there."""
+        self._system(path).delete(self._path(path), True)
+
     def move(self, src: str, dest: str) -> None:
         if not self._system(src).rename(self._path(src), self._path(dest)):
             raise OSError(f"could not move {src} to {dest}")

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from sluicegate.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SF_DIR
 
 
@@ -19,20 +20,22 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = entry_module.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     got = sorted(repr(tuple(r)) for r in df.select(*[f"`{c}`" for c in columns]).collect())
     quoted = ", ".join(f'"{c}"' for c in columns)
-    result = duck.execute(f"SELECT {quoted} FROM ({entry_module.oracle_sql()[name]})")
+    result = duck.execute(f"SELECT {quoted} FROM ({ORACLE_SQL[name]})")
     assert len(result.description) == len(df.columns)
     assert got == sorted(map(repr, result.fetchall()))
     assert got
 
 
 def test_every_query_has_sql():
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
+    assert entry_module.queries().keys() >= QUERIES.keys()
+    assert entry_module.oracle_sql().keys() <= entry_module.queries().keys()
 
 
 def test_entry(spark):
