@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluicegate.llm.ngram_join import near_duplicates
 from sluicegate.llm.packing import pack
 from sluicegate.llm.sharding import SHARD_SQL, shard
 from sluicegate.llm.token_counts import count_tokens
@@ -19,6 +20,12 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near duplicates of every document: five words, similarity 0.8."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document in sequences of 2048 tokens."""
