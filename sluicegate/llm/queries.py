@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluicegate.llm.language import identify
 from sluicegate.llm.ngram_join import near_duplicates
 from sluicegate.llm.packing import pack
 from sluicegate.llm.sharding import SHARD_SQL, shard
 from sluicegate.llm.token_counts import count_tokens
+from sluicegate.llm.toxicity import score_toxicity
 from sluicegate.queries.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -26,6 +29,13 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from ``labels``."""
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 @query
 def op6_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document in sequences of 2048 tokens."""
@@ -41,6 +51,12 @@ def op7_extendible_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op7_extendible_hash_shards"] = SHARD_SQL
 
 
+@query
+def op8_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
