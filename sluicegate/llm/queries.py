@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluicegate.llm.decontamination import find_contamination
 from sluicegate.llm.language import identify
+from sluicegate.llm.neighbours import nearest
 from sluicegate.llm.ngram_join import near_duplicates
 from sluicegate.llm.packing import pack
+from sluicegate.llm.secret_scan import digest, scan_secrets
 from sluicegate.llm.sharding import SHARD_SQL, shard
 from sluicegate.llm.token_counts import count_tokens
 from sluicegate.llm.toxicity import score_toxicity
@@ -29,6 +32,18 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return digest(scan_secrets(table(spark, sf_dir, "documents")))
+
+
+@query
+def op3_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items of which it holds half or more."""
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from ``labels``."""
@@ -61,3 +76,9 @@ def op8_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame
 def op9_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return nearest(table(spark, sf_dir, "embeddings"))

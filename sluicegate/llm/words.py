@@ -11,6 +11,9 @@ import pyarrow.compute as pc
 _SEEDS = np.random.default_rng(20_011)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# White space and ASCII marks.
+_GAP = _SPACE.copy()
+_GAP[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 # A random number for each byte; A-Z have those of a-z.
 _VALUE = _SEEDS.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _VALUE[ord("A") : ord("Z") + 1] = _VALUE[ord("a") : ord("z") + 1]
@@ -39,13 +42,14 @@ def _power(count: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:count], _powers["down"]
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, bounds: np.ndarray, marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of every word, in order.
 
     ``data`` holds UTF-8 bytes, text ``i`` those from ``bounds[i]`` to ``bounds[i + 1]``. Words are
-    runs of bytes other than ASCII white space; A-Z count as a-z.
+    runs of bytes other than ASCII white space, and with ``marks`` other than ASCII marks; A-Z count
+    as a-z.
     """
-    solid = ~_SPACE[data]
+    solid = ~(_GAP if marks else _SPACE)[data]
     if not solid.any():
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     first, last = solid.copy(), solid.copy()
