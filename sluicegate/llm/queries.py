@@ -10,6 +10,7 @@ from sluicegate.llm.language import identify
 from sluicegate.llm.neighbours import nearest
 from sluicegate.llm.ngram_join import near_duplicates
 from sluicegate.llm.packing import pack
+from sluicegate.llm.pages import main_text
 from sluicegate.llm.secret_scan import digest, scan_secrets
 from sluicegate.llm.sharding import SHARD_SQL, shard
 from sluicegate.llm.token_counts import count_tokens
@@ -44,6 +45,12 @@ def op3_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op4_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from ``labels``."""
