@@ -64,6 +64,19 @@ def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int
         yield start, len(texts)
 
 
+def keep_rows(
+    df: DataFrame, text_col: str, judge: Callable[[], Callable[[list[str]], list[bool]]]
+) -> DataFrame:
+    """Whole rows whose text a judge keeps. ``judge`` is called once per task; nothing is shuffled."""
+
+    def kept(batches: Batches) -> Batches:
+        keep = judge()
+        for batch in batches:
+            yield batch.filter(pa.array(keep(texts_of(batch, text_col)), pa.bool_()))
+
+    return map_batches(df, kept, df.schema)
+
+
 class Scratch:
     """Tables of one query in the folder that all executors share.
 

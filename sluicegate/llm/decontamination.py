@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.llm.common import Batches, fields, map_batches
+from sluicegate.llm.common import Batches, fields, keep_rows, map_batches
 from sluicegate.llm.words import gram_hashes, text_slices, word_hashes
 
 # Bytes of benchmark text sent to the tasks at once; a larger benchmark is compared block by block.
@@ -155,6 +155,50 @@ def _compare(index: Index, least: int, words: np.ndarray, owner: np.ndarray):
             yield text, item, len(found), found[0][0], sum(t[0] for t in found), len(own)
 
 
+def _matches(index: Index, column: pa.Array, coverage: float, least: int):
+    """Texts and items covered far enough: row, item, tiles, longest tile, covered tokens, all tokens."""
+    for start, _, data, bounds in text_slices(_folded(column)):
+        for text, item, n, longest, covered, total in _compare(index, least, *word_hashes(data, bounds, marks=True)):
+            if covered >= coverage * total:
+                yield start + text, item, n, longest, covered, total
+
+
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str):
+    """The benchmark in broadcasts of bounded size."""
+    items = benchmark.select(benchmark[item_col].alias("item_id"), benchmark[item_text_col].alias("text"))
+    items = items.where("text IS NOT NULL")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(size / (BLOCK_BYTES // 2)))
+    for block in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).toArrow()
+        yield benchmark.sparkSession.sparkContext.broadcast(part)
+
+
+def clean_rows(
+    df: DataFrame,
+    benchmark: DataFrame,
+    coverage: float = 0.5,
+    least: int = 5,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """Whole rows that hold no benchmark item; cases as in ``find_contamination``."""
+    for shared in _blocks(benchmark, item_col, item_text_col):
+
+        def judge(shared=shared):
+            index = Index(shared.value, least)
+
+            def keep(texts: list[str]) -> list[bool]:
+                found = {row for row, *_ in _matches(index, pa.array(texts, pa.string()), coverage, least)}
+                return [row not in found for row in range(len(texts))]
+
+            return keep
+
+        df = keep_rows(df, text_col, judge)
+    return df
+
+
 def find_contamination(
     df: DataFrame,
     benchmark: DataFrame,
@@ -177,10 +221,7 @@ def find_contamination(
     Null or empty texts and items without a token match nothing. Repeated documents or items give a
     row each, null ids stay null, other columns are not read; empty tables give an empty result.
     """
-    items = benchmark.select(benchmark[item_col].alias("item_id"), benchmark[item_text_col].alias("text"))
-    items = items.where("text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / (BLOCK_BYTES // 2)))
+    blocks = list(_blocks(benchmark, item_col, item_text_col))
     schema = T.StructType(
         [
             *fields(df, {"doc_id": id_col}),
@@ -191,21 +232,15 @@ def find_contamination(
     )
     documents = df.select(df[id_col].alias("id"), df[text_col].alias("text")).where("text IS NOT NULL")
     result = None
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).toArrow()
-        shared = df.sparkSession.sparkContext.broadcast(part)
+    for shared in blocks:
 
         def found(batches: Batches, shared=shared) -> Batches:
             index = Index(shared.value, least)
             for batch in batches:
                 rows, places = [], []
-                for start, _, data, bounds in text_slices(_folded(batch.column("text"))):
-                    for text, item, n, longest, covered, total in _compare(
-                        index, least, *word_hashes(data, bounds, marks=True)
-                    ):
-                        if covered >= coverage * total:
-                            places.append(start + text)
-                            rows.append((index.ids[item], covered / total, covered, total, n, longest))
+                for place, item, n, longest, covered, total in _matches(index, batch.column("text"), coverage, least):
+                    places.append(place)
+                    rows.append((index.ids[item], covered / total, covered, total, n, longest))
                 if rows:
                     columns = list(zip(*rows, strict=True))
                     kinds = [shared.value.schema.field("item_id").type, pa.float64(), *[pa.int64()] * 4]

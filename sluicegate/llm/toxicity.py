@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.llm.common import Batches, Scratch, fields, held_out, map_batches, texts_of
+from sluicegate.llm.common import Batches, Scratch, fields, held_out, keep_rows, map_batches, texts_of
 
 # Labelled rows that weights and calibration are fitted on, at most; a hash of the id chooses.
 MOST_LABELS = 200_000
@@ -361,6 +361,33 @@ def learn(
     return model
 
 
+def clean_rows(
+    df: DataFrame,
+    labels: DataFrame,
+    most_labels: int = MOST_LABELS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+) -> DataFrame:
+    """Whole rows whose text is not predicted to be toxic; cases as in ``score_toxicity``."""
+    shared = df.sparkSession.sparkContext.broadcast(
+        learn(df, labels, most_labels, id_col, text_col, label_col).to_json()
+    )
+
+    def judge():
+        model, weigher = _loaded(shared.value)
+        return lambda texts: [_scored(model, weigher, text)[0] < 0.5 for text in texts]
+
+    return keep_rows(df, text_col, judge)
+
+
+def _scored(model: Model, weigher: Weigher, text: str) -> tuple[float, list]:
+    """A text's probability of being toxic, and its significant segments."""
+    weights = weigher.weights(text)
+    value, significant = evidence(model, segments(weights), len(weights))
+    return probability(model, value), significant
+
+
 def score_toxicity(
     df: DataFrame,
     labels: DataFrame,
@@ -402,9 +429,8 @@ def score_toxicity(
         for batch in batches:
             scores, passages = [], []
             for text in texts_of(batch, "text"):
-                weights = weigher.weights(text)
-                value, significant = evidence(own, segments(weights), len(weights))
-                scores.append(probability(own, value))
+                score, significant = _scored(own, weigher, text)
+                scores.append(score)
                 passages.append(
                     [{"first": f, "past": p, "score": s} for s, f, p in sorted(significant, key=lambda x: x[1])]
                 )
