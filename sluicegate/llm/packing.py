@@ -25,6 +25,7 @@ from sluicegate.llm.token_counts import byte_symbols
 # Encodings a process remembers of pieces between spaces; it starts anew when full.
 REMEMBERED = 700_000
 LONGEST_REMEMBERED = 40
+MARKS = ".,;:!?*#$%&()-"
 _ID = 4  # bytes of a token id
 
 
@@ -32,12 +33,12 @@ class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
     The vocabulary drops white space and never joins what stands on both sides of it, so a text's
-    ids are those of its pieces between spaces. Pieces repeat, and their ids are remembered. A piece
-    that is a word of Latin letters, with or without a mark at its end, is encoded without the
+    ids are those of its pieces between spaces or lines. Pieces repeat, and their ids are remembered.
+    A piece that is a word of Latin letters, with or without marks after it, is encoded without the
     library's splitting and normalising, which such words do not need.
     """
 
-    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
+    PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -48,6 +49,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.symbols = str.maketrans(dict(enumerate(byte_symbols())))
         self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -57,15 +59,19 @@ class Encoder:
             pieces[""] = b""
         if len(self.words) > REMEMBERED:
             self.words.clear()
-        split = [text.split(" ") for text in texts]
+        split = [text.replace("\n", " ").split(" ") for text in texts]
         missing = set().union(*split).difference(pieces)
         other = []
         for piece in missing:
-            if plain := self.PLAIN(piece):
-                word, mark = plain.groups()
-                pieces[piece] = self._word(word.lower()) + (self._word(mark) if mark else b"")
-            else:
+            word = piece.lower().rstrip(MARKS)
+            ids = self.words.get(word)
+            if ids is None and self.PLAIN(word):
+                ids = self._word(word)
+            if ids is None:
                 other.append(piece)
+            else:
+                mark = piece[len(word) :]
+                pieces[piece] = ids + (self.marks[mark] if mark in self.marks else self._mark(mark))
         for start in range(0, len(other), 4096):
             part = other[start : start + 4096]
             encodings = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
@@ -80,12 +86,21 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            symbols = word.encode().decode("latin-1").translate(self.symbols)
-            ids = self._bytes([token.id for token in self.model.tokenize(symbols)])
+            ids = self._encoded(word)
             if len(word) <= LONGEST_REMEMBERED:
                 self.words[word] = ids
         return ids
 
+    def _mark(self, mark: str) -> bytes:
+        ids = self._bytes(self.tokenizer.encode(mark, add_special_tokens=False).ids)
+        if len(mark) <= 4:
+            self.marks[mark] = ids
+        return ids
+
+    def _encoded(self, word: str) -> bytes:
+        symbols = word.encode().decode("latin-1").translate(self.symbols)
+        return self._bytes([token.id for token in self.model.tokenize(symbols)])
+
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
