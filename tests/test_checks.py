@@ -29,31 +29,29 @@ def outcome(df, known, table="t"):
     return {r.check_name: r for r in rows}
 
 
-BASE = {"n_rows": "1000", "n_mbrs": "15", "n_unique_id": "500", "id_col": "NBR"}
+def table_of(spark, n_rows, n_columns, n_ids):
+    """A table of which rows, columns and distinct values of ``key`` are known."""
+    more = [F.lit(i).alias(f"extra_{i}") for i in range(1, n_columns)]
+    return spark.range(n_rows).select((F.col("id") % n_ids).alias("key"), *more)
 
 
-def wide(spark, n_rows=1000, n_columns=15, n_ids=500):
-    extra = [F.lit(i).alias(f"c{i}") for i in range(n_columns - 1)]
-    return spark.range(n_rows).select((F.col("id") % n_ids).alias("NBR"), *extra)
+def expected_of(n_rows, n_columns, n_ids):
+    return {"n_rows": str(n_rows), "n_mbrs": str(n_columns), "n_unique_id": str(n_ids), "id_col": "key"}
 
 
-def test_all_base_checks_pass(spark):
-    report = outcome(wide(spark), BASE)
+@pytest.mark.parametrize("off", range(8))
+def test_counts_pass_and_fail_each_by_itself(spark, off):
+    """Every combination of right and wrong expectations about one table."""
+    true = (37, 4, 11)
+    stated = [n + (off >> bit & 1) for bit, n in enumerate(true)]
+    report = outcome(table_of(spark, *true), expected_of(*stated))
     assert list(report) == ["validate_row_count", "validate_n_members", "validate_unique_id_count"]
-    assert all(r.passed for r in report.values())
-    assert report["validate_row_count"].message == "Expected 1000 rows, got 1000"
-    assert report["validate_n_members"].message == "Expected 15 columns, got 15"
-    assert report["validate_unique_id_count"].message == "Expected 500 unique values in 'NBR', got 500"
-
-
-def test_every_check_is_reported_when_one_fails(spark):
-    report = outcome(wide(spark, n_columns=12), BASE)
-    assert [r.passed for r in report.values()] == [True, False, True]
-
-
-def test_all_base_checks_fail(spark):
-    report = outcome(wide(spark, 1, 1, 1), BASE)
-    assert [r.passed for r in report.values()] == [False] * 3
+    assert [r.passed for r in report.values()] == [s == t for s, t in zip(stated, true)]
+    assert [r.message for r in report.values()] == [
+        f"Expected {stated[0]} rows, got 37",
+        f"Expected {stated[1]} columns, got 4",
+        f"Expected {stated[2]} unique values in 'key', got 11",
+    ]
 
 
 @pytest.mark.parametrize("column", ["day", "moment", "zoned", "text"])
@@ -114,16 +112,16 @@ def test_null_is_one_distinct_value(spark, values, n):
 
 
 def test_triggers(spark):
-    df = wide(spark, 3, 2, 3)
+    df = table_of(spark, 3, 2, 3)
     assert outcome(df, {}) == {}
     assert outcome(df, {"number_of_rows": "3"}) == {}
     assert outcome(df, {"max_date": "2024-01-01"}) == {}  # no date_col, no check
-    assert list(outcome(df, {"n_rows": "3", "id_col": "NBR"})) == ["validate_row_count"]
+    assert list(outcome(df, {"n_rows": "3", "id_col": "key"})) == ["validate_row_count"]
 
 
 def test_bad_expectations_are_failed_checks(spark):
-    known = {"n_rows": "many", "n_mbrs": None, "n_unique_id": "3", "max_date": "2024", "date_col": "NBR"}
-    report = outcome(wide(spark, 3, 2, 3), known)
+    known = {"n_rows": "many", "n_mbrs": None, "n_unique_id": "3", "max_date": "2024", "date_col": "key"}
+    report = outcome(table_of(spark, 3, 2, 3), known)
     assert [r.passed for r in report.values()] == [False] * 4
     assert report["validate_row_count"].message == "cannot read the expected value 'many'"
     assert report["validate_unique_id_count"].message == "id_col is not given"
@@ -131,7 +129,7 @@ def test_bad_expectations_are_failed_checks(spark):
 
 def test_missing_columns_are_failed_checks(spark):
     known = {"n_unique_id": "3", "id_col": "nope", "max_date": "2024-01-01", "date_col": "nope.x", "n_rows": "3"}
-    report = outcome(wide(spark, 3, 2, 3), known)
+    report = outcome(table_of(spark, 3, 2, 3), known)
     assert report["validate_row_count"].passed
     assert report["validate_unique_id_count"].message == "column 'nope' does not exist"
     assert not report["validate_max_date"].passed
@@ -144,20 +142,20 @@ def test_column_names(spark):
 
 
 def test_verdict(spark):
-    report = checks.check_table(wide(spark, n_columns=12), "t", BASE)
+    report = checks.check_table(table_of(spark, 37, 5, 11), "t", expected_of(37, 4, 11))
     verdict = checks.verdicts(report).select("*", checks.report_text(F.lit("t")).alias("text")).first()
     assert (verdict.n_checks, verdict.n_passed, verdict.n_failed, verdict.passed) == (3, 2, 1, False)
     assert verdict.text.splitlines() == [
         "Validation failed for table 't': 1 of 3 checks failed",
-        "  [PASS] validate_row_count: Expected 1000 rows, got 1000",
-        "  [FAIL] validate_n_members: Expected 15 columns, got 12",
-        "  [PASS] validate_unique_id_count: Expected 500 unique values in 'NBR', got 500",
+        "  [PASS] validate_row_count: Expected 37 rows, got 37",
+        "  [FAIL] validate_n_members: Expected 4 columns, got 5",
+        "  [PASS] validate_unique_id_count: Expected 11 unique values in 'key', got 11",
     ]
     assert [r.check_name for r in verdict.results] == [c.name for c in checks.CHECKS[:3]]
 
 
 def test_no_checks_pass(spark):
-    verdict = checks.verdicts(checks.check_table(wide(spark), "t", {})).first()
+    verdict = checks.verdicts(checks.check_table(table_of(spark, 1, 1, 1), "t", {})).first()
     assert (verdict.n_checks, verdict.passed, verdict.results) == (0, True, [])
 
 

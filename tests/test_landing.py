@@ -17,14 +17,21 @@ ONE = {"id": [1]}
 
 
 def test_manifest(box):
-    for name in ("t__ess_20240101_20240331", "t__ess_20240401_20240630", "t__dxcg_20240101_20240331", "t__elig"):
-        box.put(name, ONE)
-    for name in ("t__ess", "t__dxcg", "t__elig"):
-        box.meta(name, {"n_rows": "1"})
-    rows = {r.table_name: r for r in box.landing.manifest().collect()}
-    assert {t: r.n_files for t, r in rows.items()} == {"t__ess": 2, "t__dxcg": 1, "t__elig": 1}
-    assert (rows["t__ess"].first_start, rows["t__ess"].last_end) == ("20240101", "20240630")
-    assert rows["t__elig"].first_start is None
+    """Tables of one to four files, some of them plain, some with a meta file, in mixed order."""
+    expected = {}
+    for number, table in enumerate(("ledger", "b_2", "Zone", "late bids"), 1):
+        days = [(f"2019{month:02d}01", f"2019{month:02d}28") for month in range(number, 0, -1)]
+        for first, last in days:
+            box.put(f"{table}_{first}_{last}", ONE)
+        if number % 2:
+            box.put(table, ONE)
+        else:
+            box.meta(table, {"n_rows": "1"})
+        expected[table] = (number + number % 2, "20190101", f"2019{number:02d}28")
+    box.put("single", ONE)
+    expected["single"] = (1, None, None)
+    rows = box.landing.manifest().collect()
+    assert {r.table_name: (r.n_files, r.first_start, r.last_end) for r in rows} == expected
 
 
 def test_empty_and_meta_only(box):

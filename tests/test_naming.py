@@ -21,23 +21,22 @@ def evaluate(spark, values, *columns):
     return [tuple(row)[1:] for row in df.select("i", *columns).orderBy("i").collect()]
 
 
-NAMES = [
-    ("claims__ess_20240101_20240331", "chunk", "claims__ess"),
-    ("claims__ess_20240401_20240630", "chunk", "claims__ess"),
-    ("claims__eligibility", "plain", "claims__eligibility"),
-    ("claims__ess.meta", "meta", "claims__ess"),
-    ("README.md", "ignored", None),
-    ("claims__ess_202401_202403", "plain", "claims__ess_202401_202403"),
-    ("a_20230101_20240101_20240331", "chunk", "a_20230101"),
-    ("t_99999999_00000000", "chunk", "t"),
-    ("my-table", "ignored", None),
-    ("my table-1_20240101_20240331", "chunk", "my table-1"),
-    ("9lives", "ignored", None),
-    ("_x_20240101_20240331", "chunk", "_x"),
-    ("_20240101_20240331", "plain", "_20240101_20240331"),
-    ("a.b_20240101_20240331", "ignored", None),
-    ("x.meta.bak", "ignored", None),
-]
+def named_cases():
+    """(file name, kind, table): every stem with every ending, by the rules for names."""
+    cases = []
+    for stem in ("k", "north_wind", "Q7__z", "two words", "tail-end", "7up", "_low", "x_2020", "é"):
+        identifier = re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", stem) is not None
+        for first, last in (("20200229", "20211231"), ("00000000", "99999999")):
+            cases.append((f"{stem}_{first}_{last}", "chunk", stem))
+            cases.append((f"{stem}_{first}_{last}.meta", "meta", f"{stem}_{first}_{last}"))
+            cases.append((f"{stem}_{first}_{last}.parquet", "ignored", None))
+        for ending in ("", "_2020_2021", "_20200229", "_20200229_2021123"):
+            cases.append((stem + ending, *(("plain", stem + ending) if identifier else ("ignored", None))))
+        cases += [(f"{stem}.meta", "meta", stem), (f"{stem}.meta.old", "ignored", None), (f".{stem}", "ignored", None)]
+    return cases + [("_20200229_20211231", "plain", "_20200229_20211231"), ("", "ignored", None)]
+
+
+NAMES = named_cases()
 
 
 def test_names(spark):
@@ -88,28 +87,22 @@ def test_paths(spark):
     assert got == [("c", "/a/b"), ("y z", "file:/x")]
 
 
-OWNERS = {
-    "jane.roe@company.org": ("roe", "roe_"),
-    "first.middle.last@company.org": ("last", "last_"),
-    "jane.roe": ("roe", "roe_"),
-    "admin@example.com": ("admin", "admin_"),
-    "roe": ("roe", "roe_"),
-    "plain_user": ("plain_user", "plain_user_"),
-    "O'Brien": ("O'Brien", "O_Brien_"),
-    "smith-jones": ("smith-jones", "smith_jones_"),
-    "ROE": ("ROE", "ROE_"),
-    "jane__roe": ("jane__roe", "jane_roe_"),
-    "": ("", ""),
-    "_": ("_", ""),
-    "__": ("__", ""),
-    "...": ("", ""),
-    "x.@y": ("", ""),
-}
+def owner_cases():
+    """(identity, owner, prefix): given names and hosts around a last part, which alone counts."""
+    cases = []
+    for last, prefix in (("vidal", "vidal_"), ("Ng", "Ng_"), ("de-la-cruz", "de_la_cruz_"), ("d'arcy", "d_arcy_"),
+                         ("svc__etl", "svc_etl_"), ("42", "42_"), ("-", ""), ("", "")):
+        for given in ("", "ana.", "ana.b.", "."):
+            cases += [(given + last + host, last, prefix) for host in ("", "@h.test", "@", "@a@b.c")]
+    return cases
+
+
+OWNERS = owner_cases()
 
 
 def test_owner_prefix(spark):
-    got = evaluate(spark, list(OWNERS), naming.owner_of(F.col("v")), naming.owner_prefix(F.col("v")))
-    assert got == list(OWNERS.values())
+    got = evaluate(spark, [i for i, _, _ in OWNERS], naming.owner_of(F.col("v")), naming.owner_prefix(F.col("v")))
+    assert got == [(owner, prefix) for _, owner, prefix in OWNERS]
 
 
 def python_prefix(identity):

@@ -165,27 +165,31 @@ def test_find_catalog(spark):
 
 @pytest.fixture
 def owned(spark, layout):
-    for schema, name in (
-        ("silver", "roe_member_clean"), ("silver", "roe_enrollment"), ("silver", "shared_lookup"),
-        ("silver", "roexmember"), ("gold", "roe_summary"), ("gold", "other_report"), ("bronze", "roe_raw"),
-    ):
-        replace_table(spark.range(1), layout.table(schema, name))
-    spark.sql("CREATE OR REPLACE TEMP VIEW roe_view AS SELECT 1 AS x")
+    """Three owners' tables in every layer; names that only look like an owner's; a temporary view."""
+    for schema in ("bronze", "silver", "gold"):
+        for prefix in ("kim_", "kimura_", ""):
+            replace_table(spark.range(1), layout.table(schema, f"{prefix}sales"))
+    replace_table(spark.range(1), layout.table("silver", "kim"))
+    spark.sql("CREATE OR REPLACE TEMP VIEW kim_recent AS SELECT 1 AS x")
     return layout
 
 
 def test_drop_prefixed(spark, owned):
-    names = [name.rpartition(".")[2] for name in drop_prefixed(spark, owned, "roe_")]
-    assert sorted(names) == ["roe_enrollment", "roe_member_clean", "roe_summary"]
-    assert table_names(spark, owned) == ["other_report", "roe_raw", "roexmember", "shared_lookup"]
-    assert spark.table("roe_view").count() == 1
-    assert drop_prefixed(spark, owned, "roe_") == []
+    before = table_names(spark, owned)
+    dropped = drop_prefixed(spark, owned, "kim_")
+    assert sorted(name.rpartition("_")[0].rpartition(".")[2] for name in dropped) == ["kim", "kim"]
+    left = table_names(spark, owned)
+    assert left.count("kim_sales") == 1  # bronze has no owners
+    assert sorted(left + ["kim_sales"] * 2) == sorted(before)
+    assert spark.table("kim_recent").count() == 1
+    assert drop_prefixed(spark, owned, "kim_") == []
 
 
 def test_dry_run_and_one_schema(spark, owned):
-    assert len(drop_prefixed(spark, owned, "roe_", dry_run=True)) == 3
-    assert len(drop_prefixed(spark, owned, "ROE_", schemas=("silver",))) == 2
-    assert "roe_summary" in table_names(spark, owned)
+    before = table_names(spark, owned)
+    assert len(drop_prefixed(spark, owned, "kim_", dry_run=True)) == 2
+    assert table_names(spark, owned) == before
+    assert len(drop_prefixed(spark, owned, "KIM_", schemas=("gold",))) == 1
 
 
 def test_empty_prefix_is_refused(spark, owned, monkeypatch):
@@ -193,18 +197,18 @@ def test_empty_prefix_is_refused(spark, owned, monkeypatch):
         monkeypatch.setenv(PREFIX_VARIABLE, "")
         with pytest.raises(ValueError):
             drop_prefixed(spark, owned, prefix)
-    assert len(table_names(spark, owned)) == 7
+    assert len(table_names(spark, owned)) == 10
 
 
 def test_missing_schema_is_skipped(spark, owned):
     with pytest.warns(UserWarning, match="nowhere"):
-        found = prefixed_tables(spark, owned, "roe_", ("nowhere", "gold")).collect()
-    assert [r.table_name for r in found] == ["roe_summary"]
+        found = prefixed_tables(spark, owned, "kimura_", ("nowhere", "gold")).collect()
+    assert [r.table_name for r in found] == ["kimura_sales"]
 
 
 def test_failed_drop_is_not_in_the_result(spark, owned):
     silver = owned.namespace_sql("silver")
-    spark.sql(f"CREATE VIEW {silver}.roe_a_view AS SELECT 1 AS x")
-    dropped = drop_prefixed(spark, owned, "roe_")
-    assert len(dropped) == 3
-    assert not any("roe_a_view" in name for name in dropped)
+    spark.sql(f"CREATE VIEW {silver}.kim_a_view AS SELECT 1 AS x")
+    dropped = drop_prefixed(spark, owned, "kim_")
+    assert len(dropped) == 2
+    assert not any("kim_a_view" in name for name in dropped)
