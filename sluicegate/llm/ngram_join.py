@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,11 +33,13 @@ from sluicegate.llm.words import gram_sets, mix
 # At most so many columns count as heavy; their 8-byte codes are sent to all tasks.
 MOST_HEAVY = 1 << 21
 # No column of fewer rows is heavy.
-LEAST_HEAVY = 32
+LEAST_HEAVY = 4
+# Rows with at most so many open columns carry the list of them.
+LISTED_COLUMNS = 256
 # Rounds in which a column's rows are multiplied with a pivot only.
 PIVOT_ROUNDS = 2
 # N-grams that a task holds at once; a longer text is held alone.
-GROUP_GRAMS = 1 << 21
+GROUP_GRAMS = 1 << 20
 # Bits of the filter of documents whose texts are read again, 8 MiB in all.
 FILTER_BITS = 26
 
@@ -77,7 +80,7 @@ def _measured(blocks: int, size: int):
     """A row for each document, and a row for each block with columns of the documents before it."""
 
     def run(batches: Batches) -> Batches:
-        number = 0
+        number = TaskContext.get().partitionId()
         for batch in batches:
             kind = batch.schema.field("id").type
             for start, part, sets in _set_groups(batch, size):
@@ -100,7 +103,7 @@ def _measured(blocks: int, size: int):
 
 
 def _set_groups(batch: pa.RecordBatch, size: int):
-    """Sets of neighbouring rows, some millions of n-grams at a time."""
+    """Sets of neighbouring rows, about a million n-grams at a time."""
     start, sets, held = 0, [], 0
     for i, grams in enumerate(gram_sets(batch.column("text"), size)):
         sets.append(grams)
@@ -152,7 +155,7 @@ def _prefixes(blocks: int, size: int, percent: int, shared):
 
     def run(batches: Batches) -> Batches:
         heavy = np.frombuffer(shared.value, np.uint64)
-        number = 0
+        number = TaskContext.get().partitionId()
         for batch in batches:
             for _, _, sets in _set_groups(batch, size):
                 number += 1
@@ -245,8 +248,16 @@ class _Join:
         counted = both.groupBy("block").applyInArrow(_frequent(self.blocks, LEAST_HEAVY), T.StructType(reduced))
         measured = self.scratch.table(counted, "measured")
         self.docs = measured.where("code IS NULL").select("doc_id", "n_shingles", "class")
-        total = self.docs.agg(F.sum("n_shingles")).first()[0] or 0
-        heavy = measured.where(F.col("rows") > total // MOST_HEAVY).select("code").toArrow()
+        # Columns by their number of rows, from the most: as many as may be sent count as heavy.
+        often = measured.where("code IS NOT NULL")
+        steps = often.groupBy("rows").count().orderBy(F.desc("rows")).toArrow().to_pylist()
+        least, sent = None, 0
+        for step in steps:
+            sent += step["count"]
+            if sent > MOST_HEAVY:
+                break
+            least = step["rows"]
+        heavy = often.where(F.col("rows") >= least if steps and least else F.lit(False)).select("code").toArrow()
         return np.sort(heavy.column(0).to_numpy().astype(np.uint64))
 
     def fill(self, heavy: np.ndarray) -> None:
@@ -264,15 +275,20 @@ class _Join:
             "block int, columns binary, classes binary",
         )
         entries = blobs.groupBy("block").applyInArrow(_shared(self.blocks), "gram long, class long")
-        self.entries = self.scratch.table(entries.distinct(), "entries")
+        entries = self.scratch.table(entries.distinct(), "shared")
+        # Of near copies, those with the fewest changes share the most columns.
+        degrees = entries.groupBy("class").agg(F.count("*").alias("degree"))
+        sizes = self.classes.select("class", "n")
+        self.entries = self.scratch.table(entries.join(degrees, "class").join(sizes, "class"), "entries")
+        self.scratch.drop("shared")
 
     def products(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs (``a``, ``b``; one row per shared prefix column) that link, by their whole sets."""
+        """Pairs (``a``, ``b``, ``shared`` prefix columns, to be added up) that link, by their whole sets."""
         p = self.percent
         sizes = self.classes.select("class", "n")
         counted = (
             pairs.groupBy("a", "b")
-            .agg(F.count("*").alias("shared"))
+            .agg(F.sum("shared").alias("shared"))
             .join(sizes.select(F.col("class").alias("a"), F.col("n").alias("na")), "a")
             .join(sizes.select(F.col("class").alias("b"), F.col("n").alias("nb")), "b")
         )
@@ -321,16 +337,17 @@ class _Join:
     def pivots(self, known: DataFrame | None, salt: int) -> DataFrame:
         """Every entry with the pivot of its column; only columns that still join two components."""
         entries = self.grouped(known)
+        # Every round turns to other classes among those that share many columns.
+        chance = F.pmod(F.xxhash64("class", F.lit(salt)), F.lit(1000)) / 1000
+        centre = F.struct(F.col("degree") * (1 - 0.3 * chance * min(1, salt)), F.col("class"))
         ends = entries.groupBy("gram").agg(
-            F.min("root").alias("low"),
-            F.max("root").alias("high"),
-            F.min_by("class", F.xxhash64("class", F.lit(salt))).alias("pivot"),
+            F.min("root").alias("low"), F.max("root").alias("high"), F.max_by("class", centre).alias("pivot")
         )
         open_columns = ends.where("low <> high").select("gram", "pivot")
         return (
             entries.join(open_columns, "gram")
             .where("class <> pivot")
-            .select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b"))
+            .select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b"), F.lit(1).alias("shared"))
         )
 
     def grouped(self, known: DataFrame | None) -> DataFrame:
@@ -341,13 +358,42 @@ class _Join:
         return self.entries.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
     def cross(self, known: DataFrame) -> DataFrame:
-        """All pairs of a column that are not yet connected."""
+        """All pairs of a column that are not yet connected and may still link.
+
+        A row overlaps with a row of another component in what it holds beyond its prefix, and in the
+        prefix columns that rows of other components share, at most. Pairs for which that is too
+        little, or whose sizes differ too much, are not multiplied. Rows with few such columns carry
+        the list of them, so that a pair is multiplied in one go, at its first common column; longer
+        rows are multiplied column by column.
+        """
+        p = self.percent
         entries = self.grouped(known)
         ends = entries.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        entries = self.scratch.table(entries.join(ends.where("low <> high").select("gram"), "gram"), "open")
-        left = entries.select("gram", F.col("class").alias("a"), F.col("root").alias("ra"))
-        right = entries.select("gram", F.col("class").alias("b"), F.col("root").alias("rb"))
-        return left.join(right, "gram").where("a < b AND ra <> rb").select("a", "b")
+        entries = entries.join(ends.where("low <> high").select("gram"), "gram")
+        entries = self.scratch.table(entries.select("gram", "class", "root", "n"), "open")
+        beyond = F.ceil(F.col("n") * p / 100) - 1
+        listed = F.when(F.count("*") <= LISTED_COLUMNS, F.collect_list("gram"))
+        by_class = entries.groupBy("class").agg(F.count("*").alias("open"), listed.alias("grams"))
+        entries = entries.join(by_class, "class").withColumn("beyond", beyond)
+        left, right = (
+            entries.select("gram", *[F.col(c).alias(f"{c}_{side}") for c in entries.columns if c != "gram"])
+            for side in "ab"
+        )
+        needed = F.expr(f"ceil((n_a + n_b) * {p} / {100 + p})")
+        common = F.array_intersect("grams_a", "grams_b")
+        in_one_go = F.col("grams_a").isNotNull() & F.col("grams_b").isNotNull()
+        once = (F.array_min(common) == F.col("gram")) & (F.size(common) + F.greatest("beyond_a", "beyond_b") >= needed)
+        conditions = (
+            F.expr("class_a < class_b AND root_a <> root_b")
+            & F.expr(f"n_a * 100 >= n_b * {p} AND n_b * 100 >= n_a * {p}")
+            & (F.least(F.expr("open_a + beyond_a"), F.expr("open_b + beyond_b")) >= needed)
+            & (~in_one_go | once)
+        )
+        return left.join(right, "gram").where(conditions).select(
+            F.col("class_a").alias("a"),
+            F.col("class_b").alias("b"),
+            F.when(in_one_go, F.size(common)).otherwise(1).alias("shared"),
+        )
 
     def run(self) -> DataFrame:
         self.fill(self.measure())
