@@ -1,9 +1,9 @@
 """Language identification with hyperdimensional profiles.
 
 Every letter has a random vector of ones and minus ones. The vector of a run of letters is the product
-of its letters' vectors, each rotated by its place; a text's vector is the sum over its runs, and so
-is a language's, over all its training texts. A text's language is the prototype of the highest
-cosine.
+of its letters' vectors, each rotated by its place; a text's vector is the sum over its runs. A
+language's is the sum of its training texts' vectors, each of length 1, so that long texts have no
+more say. A text's language is the prototype of the highest cosine.
 """
 
 from __future__ import annotations
@@ -142,7 +142,9 @@ def prototypes(
             for start, end in slices(texts):
                 for lang in sorted(set(languages[start:end])):
                     own = [vectors.runs(t) for t, x in zip(texts[start:end], languages[start:end]) if x == lang]
-                    sums[lang] = sums.get(lang, 0) + vectors.bundles([np.concatenate(own)])[0].astype(np.float64)
+                    bundles = vectors.bundles(own).astype(np.float64)
+                    lengths = np.maximum(1, np.linalg.norm(bundles, axis=1, keepdims=True))
+                    sums[lang] = sums.get(lang, 0) + (bundles / lengths).sum(0)
         for lang, vector in sums.items():
             yield pa.RecordBatch.from_arrays(
                 [
