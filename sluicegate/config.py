@@ -18,13 +18,15 @@ class TableRef:
 
     namespace: tuple[str, ...]
     name: str
+    # The schema's name without the prefix of an environment.
+    layer: str = field(default="", compare=False)
 
     @property
     def sql(self) -> str:
         return ".".join(quote(part) for part in (*self.namespace, self.name))
 
     def sibling(self, name: str) -> TableRef:
-        return TableRef(self.namespace, name)
+        return TableRef(self.namespace, name, self.layer)
 
     def __str__(self) -> str:
         return ".".join((*self.namespace, self.name))
@@ -53,7 +55,7 @@ class Layout:
         return ".".join(quote(part) for part in self.namespace(schema))
 
     def table(self, schema: str, table: str, prefix: str = "") -> TableRef:
-        return TableRef(self.namespace(schema), f"{prefix}{table}")
+        return TableRef(self.namespace(schema), f"{prefix}{table}", schema)
 
 
 def _directory(path: str) -> str:

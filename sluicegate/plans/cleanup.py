@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 from sluicegate.config import Layout
+from sluicegate.sinks.tables import drop_table
 from sluicegate.sources.catalog import prefixed_tables, resolve_prefix
 
 OWNED_SCHEMAS = ("silver", "gold")
@@ -33,7 +34,7 @@ def drop_prefixed(
         table = layout.table(row.schema, row.table_name)
         if not dry_run:
             try:
-                spark.sql(f"DROP TABLE IF EXISTS {table.sql}")
+                drop_table(spark, table)
             except PySparkException as error:
                 _logger.error("could not drop %s: %s", table, error)
                 continue

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,13 +24,32 @@ def promote(
     table_format: str = "parquet",
     log: RunLog | None = None,
 ) -> None:
-    """Read a table, transform it (not at all by default) and replace the target with the result."""
-    if log:
-        log.success(f"read_{source.namespace[-1]}", f"{source} is the source")
-    rows = spark.table(source.sql)
-    replace_table(transform(rows) if transform else rows, target, table_format)
+    """Read a table, transform it (not at all by default) and replace the target with the result.
+
+    Log steps are named after the layers, ``read_bronze`` and ``write_silver``, in every environment.
+    A step that fails leaves a failure row.
+    """
+    with _step(log, f"read_{_layer(source)}", f"{source} is the source", f"reading {source}"):
+        rows = spark.table(source.sql)
+    with _step(log, f"write_{_layer(target)}", f"{target} was replaced", f"replacing {target}"):
+        replace_table(transform(rows) if transform else rows, target, table_format)
+
+
+def _layer(table: TableRef) -> str:
+    return table.layer or table.namespace[-1]
+
+
+@contextmanager
+def _step(log: RunLog | None, step: str, done: str, doing: str) -> Iterator[None]:
+    """Log a step's outcome."""
+    try:
+        yield
+    except Exception as error:
+        if log:
+            log.failure(step, f"{doing} failed: {error}")
+        raise
     if log:
-        log.success(f"write_{target.namespace[-1]}", f"{target} was replaced")
+        log.success(step, done)
 
 
 def silver_job(
@@ -69,8 +89,6 @@ def promote_many(
         try:
             promote(spark, source, target, transform, table_format, log)
         except Exception as error:  # noqa: BLE001 - user transforms raise anything
-            if log:
-                log.failure(f"write_{target.namespace[-1]}", f"replacing {target} failed: {error}")
             return str(error)
         return "success"
 

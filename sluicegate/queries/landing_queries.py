@@ -160,7 +160,7 @@ def requested_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT table_name, 'date_col', date_col FROM s WHERE date_col IS NOT NULL
 """)
 def meta_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged_landing(spark, sf_dir).meta(list(STAGED)).drop("position")
+    return staged_landing(spark, sf_dir).meta(list(STAGED)).drop("position", "file")
 
 
 _NAMES_SQL = """

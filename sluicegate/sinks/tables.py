@@ -2,56 +2,112 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from sluicegate.config import TableRef
+from sluicegate.config import TableRef, quote
+from sluicegate.sources.files import SharedFiles
 
-# Formats whose overwrite is one transaction.
+# Formats whose overwrite is one transaction. None of them is on this project's test classpath.
 TRANSACTIONAL_FORMATS = frozenset({"delta", "iceberg", "hudi"})
 
+# A table's versions lie in a folder beside it. No table of the session catalog has a dot in its name.
+VERSIONS = ".versions"
+_NEXT = "_next-"
+
 
 def replace_table(df: DataFrame, target: TableRef, table_format: str = "parquet") -> None:
     """Replace a table, schema included; if writing fails the old table is still there.
 
-    Plain file formats drop the old table before they write. For them the rows go to a staging
-    table first, and only when that is complete are the two names exchanged, which is a rename in
-    the catalog. This also lets a table be replaced by a query that reads it.
-    One writer per target at a time: the staging name is fixed so that a rerun reuses what a
-    crashed run left behind.
+    Plain file formats drop the old table before they write. For them the rows go to a folder of
+    their own below the schema's location, and the table's location is set to it once it is complete.
+    Nothing is copied, and no other table is touched. A changed schema needs a new catalog entry: the
+    old one is dropped, and a mark in the folder lets :func:`restore_table` finish that step after a
+    crash. A table may be replaced by a query that reads it. One writer per target at a time; what a
+    killed writer leaves in the folder is removed by the next one.
     """
     if table_format in TRANSACTIONAL_FORMATS:
-        writer = df.write.format(table_format).option("overwriteSchema", True)
+        writer = df.write.format(table_format)
+        if table_format == "delta":
+            writer = writer.option("overwriteSchema", True)
         writer.mode("overwrite").saveAsTable(target.sql)
         return
     spark = df.sparkSession
-    staging, previous = target.sibling(f"staging__{target.name}"), _previous(target)
     restore_table(spark, target)
-    df.write.format(table_format).mode("overwrite").saveAsTable(staging.sql)
-    replaces = spark.catalog.tableExists(target.sql)
-    if replaces:
-        spark.sql(f"DROP TABLE IF EXISTS {previous.sql}")
-        _rename(spark, target, previous)
-    try:
-        _rename(spark, staging, target)
-    except Exception:
-        if replaces:
-            _rename(spark, previous, target)
-        raise
-    spark.sql(f"DROP TABLE IF EXISTS {previous.sql}")
+    folder, version = _folder(spark, target), uuid.uuid4().hex
+    df.write.format(table_format).save(f"{folder}/{version}")
+    files = SharedFiles(spark)
+    if _same_shape(spark, target, df.schema, table_format):
+        spark.sql(f"ALTER TABLE {target.sql} SET LOCATION {_text(f'{folder}/{version}')}")
+        spark.catalog.refreshTable(target.sql)
+    else:
+        mark = f"{folder}/{_NEXT}{version}-{table_format}"
+        files.make_dir(mark)
+        drop_entry(spark, target)
+        _create(spark, target, f"{folder}/{version}", table_format, df.schema)
+        files.delete(mark)
+    for name in files.names(folder):
+        if name != version:
+            files.delete(f"{folder}/{name}")
 
 
 def restore_table(spark: SparkSession, target: TableRef) -> None:
-    """Give a table its name back if a run died between the two renames of an exchange."""
-    previous = _previous(target)
-    if spark.catalog.tableExists(previous.sql) and not spark.catalog.tableExists(target.sql):
-        _rename(spark, previous, target)
+    """Finish a replacement that died between dropping the old catalog entry and making the new one."""
+    if spark.catalog.tableExists(target.sql):
+        return
+    try:
+        folder = _folder(spark, target)
+    except PySparkException:
+        return  # no such schema, so nothing to restore
+    files = SharedFiles(spark)
+    for name in files.names(folder):
+        if name.startswith(_NEXT):
+            version, _, table_format = name.removeprefix(_NEXT).partition("-")
+            schema = spark.read.format(table_format).load(f"{folder}/{version}").schema
+            _create(spark, target, f"{folder}/{version}", table_format, schema)
+            files.delete(f"{folder}/{name}")
+            return
+
+
+def drop_table(spark: SparkSession, target: TableRef) -> None:
+    """Drop a table together with its versions."""
+    folder = _folder(spark, target)
+    drop_entry(spark, target)
+    SharedFiles(spark).delete(folder)
+
+
+def drop_entry(spark: SparkSession, target: TableRef) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {target.sql}")
+
+
+def _folder(spark: SparkSession, target: TableRef) -> str:
+    namespace = ".".join(quote(part) for part in target.namespace)
+    details = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE NAMESPACE {namespace}").collect()}
+    return f"{details['Location'].rstrip('/')}/{target.name}{VERSIONS}"
+
+
+def _same_shape(spark: SparkSession, target: TableRef, schema: T.StructType, table_format: str) -> bool:
+    """Whether the table is there with these columns and this format, in a folder of its versions."""
+    if not spark.catalog.tableExists(target.sql):
+        return False
+    rows = [tuple(r)[:2] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target.sql}").collect()]
+    details = dict(rows[[name for name, _ in rows].index("# Detailed Table Information") :])
+    own = f"/{target.name}{VERSIONS}/" in details.get("Location", "")
+    return own and details.get("Provider") == table_format and _shape(spark.table(target.sql).schema) == _shape(schema)
+
+
+def _shape(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
-def _previous(target: TableRef) -> TableRef:
-    return target.sibling(f"previous__{target.name}")
+def _create(spark: SparkSession, target: TableRef, path: str, table_format: str, schema: T.StructType) -> None:
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    columns = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(nullable.json()).toDDL()
+    spark.sql(f"CREATE TABLE {target.sql} ({columns}) USING {table_format} LOCATION {_text(path)}")
 
 
-def _rename(spark: SparkSession, source: TableRef, target: TableRef) -> None:
-    # The new name is always within the table's own catalog and given without it.
-    new_name = TableRef(target.namespace[1:], target.name)
-    spark.sql(f"ALTER TABLE {source.sql} RENAME TO {new_name.sql}")
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

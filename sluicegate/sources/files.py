@@ -50,6 +50,18 @@ class SharedFiles:
         """Remove a file or a whole directory; nothing happens if it is not there."""
         self._system(path).delete(self._path(path), True)
 
+    def names(self, path: str) -> list[str]:
+        """Names directly in a directory, folders included; none if it is not there."""
+        system, directory = self._system(path), self._path(path)
+        if not system.exists(directory):
+            return []
+        return [status.getPath().getName() for status in system.listStatus(directory)]
+
+    def same_system(self, first: str, second: str) -> bool:
+        """Whether two paths are on one file system, so that a file can be renamed between them."""
+        left, right = (self._path(self.qualify(path)).toUri() for path in (first, second))
+        return (left.getScheme(), left.getAuthority()) == (right.getScheme(), right.getAuthority())
+
     def move(self, src: str, dest: str) -> None:
         if not self._system(src).rename(self._path(src), self._path(dest)):
             raise OSError(f"could not move {src} to {dest}")

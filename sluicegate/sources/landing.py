@@ -18,6 +18,8 @@ META_SCHEMA = "test_name string, value string"
 
 # Large files make one scan partition each; a listing merges them into at most this many tasks.
 LISTING_TASKS = 256
+# Tasks that look up given paths.
+READING_TASKS = 16
 
 
 def read_chunks(
@@ -30,22 +32,53 @@ def read_chunks(
 ) -> DataFrame:
     """Union all chunks of a table by column name.
 
-    Without ``merge_schema`` one file's columns win and extra columns of other chunks are dropped;
-    with it, the result has every column found in any chunk.
+    Without ``merge_schema`` one file's columns win and extra columns of other chunks are dropped
+    (:func:`dropped_columns` names them); with it, the result has every column found in any chunk of
+    a columnar format.
     CSV chunks carry a header that must agree with the schema; give CSV and JSON a schema, or
-    Spark reads every file once more to infer one.
+    Spark reads every file once more to infer one. Their broken lines are an error, unless
+    ``options`` set another ``mode``.
     """
     # Whatever the session says, a file that is damaged or gone is an error, not fewer rows.
-    reader = spark.read.format(file_format).option("ignoreCorruptFiles", False)
+    listing = _listing_session(spark)
+    reader = listing.read.format(file_format).option("ignoreCorruptFiles", False)
     reader = reader.option("ignoreMissingFiles", False)
+    if file_format in ("csv", "json"):
+        reader = reader.option("mode", "FAILFAST")
     if file_format == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
-    if file_format == "parquet":
+    if file_format in ("parquet", "orc"):
         reader = reader.option("mergeSchema", merge_schema)
     reader = reader.options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load([literal_path(path) for path in paths])
+    plan = reader.load([literal_path(path) for path in paths])._jdf.queryExecution().logical()
+    dataset = spark._jvm.org.apache.spark.sql.classic.Dataset
+    return DataFrame(dataset.ofRows(spark._jsparkSession, plan), spark)
+
+
+def _listing_session(spark: SparkSession) -> SparkSession:
+    """A copy of a session that lists many given paths in a few tasks, instead of one task for each.
+
+    Listing is settled when the reader loads; the frames are handed back to the given session.
+    """
+    copy = spark._jsparkSession.cloneSession()
+    copy.conf().set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(READING_TASKS))
+    return SparkSession(spark.sparkContext, copy)
+
+
+def dropped_columns(
+    spark: SparkSession, paths: list[str], file_format: str, df: DataFrame, options: dict[str, str] | None = None
+) -> list[str]:
+    """Columns that some chunks of a columnar format have and a frame read from them has not.
+
+    All footers are read, in tasks.
+    """
+    if len(paths) < 2 or file_format not in ("parquet", "orc"):
+        return []
+    merged = read_chunks(spark, paths, file_format, merge_schema=True, options=options)
+    have = {name.lower() for name in df.columns}
+    return [name for name in merged.columns if name.lower() not in have]
 
 
 class Landing:
@@ -190,12 +223,15 @@ class Landing:
             "test_name",
             "value",
             F.col("_metadata.row_index").alias("position"),
+            source.alias("file"),
         )
 
     def meta_of(self, table: str) -> DataFrame:
         """Expectations of one table, whatever types its file uses for names and values."""
         try:
             rows = self.spark.read.parquet(literal_path(self.meta_path(table)))
+            if not {"test_name", "value"} <= set(rows.columns):
+                raise ValueError(f"its columns are {', '.join(rows.columns)}, not test_name and value")
             kind = rows.schema["value"].dataType
             value = F.col("value").cast("bigint") if isinstance(kind, T.NumericType) else F.col("value")
             return rows.select(
@@ -203,45 +239,69 @@ class Landing:
                 F.col("test_name").cast("string").alias("test_name"),
                 value.cast("string").alias("value"),
                 F.col("_metadata.row_index").alias("position"),
+                F.col("_metadata.file_path").alias("file"),
             )
         except Exception as error:
-            raise MetaUnreadable(f"no readable expectations in {self.meta_path(table)}") from error
+            raise self._unreadable(table, str(error)) from error
+
+    def _unreadable(self, table: str, why: str) -> MetaUnreadable:
+        return MetaUnreadable(f"no readable expectations in {self.meta_path(table)}: {why.splitlines()[0]}")
 
     def expectations(self, tables: list[str]) -> dict[str, dict[str, str | None] | Exception]:
         """Expectations by table, or the error that made a table's file unreadable.
 
-        All files are read in one job; only if that fails are they read one by one, so that one
-        bad file fails one table. At most one value per known key and table reaches the driver.
+        Tables without a file are found from one listing. The files that are there are read in one
+        job; only if that fails are they read one by one, so that one bad file fails one table. What
+        the joint job cannot tell, a file of other columns from one without rows or values, is looked
+        up in that table's file. At most one value per known key and table reaches the driver.
         """
+        names = set(self.shared.names(self.root))
+        found: dict[str, dict | Exception] = {
+            table: {} if table + naming.META_SUFFIX in names else self._unreadable(table, "there is no such file")
+            for table in tables
+        }
+        there = [table for table, known in found.items() if known == {}]
         try:
-            rows = _known_values(self.meta(tables)).collect()
-            found = {table: {} for table in tables}
+            summary = {row.table_name: row for row in _known_values(self.meta(there)).collect()} if there else {}
         except Exception:  # noqa: BLE001 - a damaged file can surface as almost any error
-            outcomes = run_each(self.spark, self._values_or_error, tables, parallelism=8)
-            rows = [row for outcome in outcomes if isinstance(outcome, list) for row in outcome]
-            found = {
-                table: {} if isinstance(outcome, list) else outcome
-                for table, outcome in zip(tables, outcomes, strict=True)
-            }
-        for row in rows:
-            found[row.table_name][row.test_name] = row.value
-        return found
-
-    def _values_or_error(self, table: str) -> list[Row] | Exception:
+            summary = {}
+        doubtful = [table for table in there if not _plain(summary.get(table))]
+        outcomes = run_each(self.spark, self._values_or_error, doubtful, parallelism=8)
+        for table in there:
+            found[table] = _values(summary.get(table))
+        return found | dict(zip(doubtful, outcomes, strict=True))
+
+    def _values_or_error(self, table: str) -> dict[str, str | None] | Exception:
         try:
-            return _known_values(self.meta_of(table)).collect()
+            row = _known_values(self.meta_of(table)).first()
         except Exception as error:  # noqa: BLE001
-            return error
+            return error if isinstance(error, MetaUnreadable) else self._unreadable(table, str(error))
+        if row and row.n_unnamed:
+            return self._unreadable(table, f"{row.n_unnamed} rows have no test_name")
+        return _values(row)
 
 
 def _known_values(meta: DataFrame) -> DataFrame:
-    """The last value of every known key; unknown keys are ignored."""
-    known = meta.where(F.col("test_name").isin(*EXPECTATION_KEYS))
-    return (
-        known.groupBy("table_name", "test_name")
-        .agg(F.max_by(F.struct("value"), "position").alias("last"))
-        .select("table_name", "test_name", "last.value")
+    """One row per table: the last value of every known key, and how many rows have no key.
+
+    Unknown keys are ignored. Rows count in the order of their files' names and of their places there.
+    """
+    key = F.when(F.col("test_name").isin(*EXPECTATION_KEYS), F.col("test_name"))
+    last = F.max_by(F.struct("value"), F.struct("file", "position")).alias("last")
+    by_key = meta.groupBy("table_name", key.alias("key")).agg(
+        last, F.count_if(F.col("test_name").isNull()).alias("n_unnamed")
     )
+    pairs = F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", F.col("last.value").alias("value"))))
+    return by_key.groupBy("table_name").agg(pairs.alias("pairs"), F.sum("n_unnamed").alias("n_unnamed"))
+
+
+def _values(row: Row | None) -> dict[str, str | None]:
+    return {pair.key: pair.value for pair in row.pairs} if row else {}
+
+
+def _plain(row: Row | None) -> bool:
+    """Whether a table's rows are what a file with both columns gives: names, and no missing value."""
+    return bool(row) and not row.n_unnamed and all(pair.value is not None for pair in row.pairs)
 
 
 def archive_plan(files: DataFrame, archive_root: str, day: dt.date) -> DataFrame:

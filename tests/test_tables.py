@@ -18,8 +18,10 @@ from sluicegate import (
     silver_job,
 )
 from sluicegate.config import IngestSettings, TableRef
-from sluicegate.sinks.tables import TRANSACTIONAL_FORMATS
+from sluicegate.sinks import tables
+from sluicegate.sinks.tables import TRANSACTIONAL_FORMATS, restore_table
 from sluicegate.sources.catalog import PREFIX_VARIABLE
+from sluicegate.sources.files import SharedFiles
 
 
 def table_names(spark, layout):
@@ -53,22 +55,88 @@ def test_replace_a_table_that_is_being_read(spark, layout):
     assert sorted(r.id for r in spark.table(target.sql).collect()) == [3, 4]
 
 
-def test_failed_exchange_puts_the_old_table_back(spark, layout, monkeypatch):
-    from sluicegate.sinks import tables
+@pytest.mark.parametrize("name", ["previous__t", "staging__t", "t_versions"])
+def test_other_tables_are_never_touched(spark, layout, name):
+    other, target = layout.table("bronze", name), layout.table("bronze", "t")
+    replace_table(spark.range(7), other)
+    for rows in (3, 2):
+        replace_table(spark.range(rows), target)
+        replace_table(spark.range(rows).selectExpr("id", "'x' AS more"), target)
+    assert (spark.table(other.sql).count(), spark.table(target.sql).count()) == (7, 2)
+    spark.sql(f"DROP TABLE {target.sql}")
+    restore_table(spark, target)
+    assert table_names(spark, layout) == [name]
 
+
+def versions(spark, target):
+    return SharedFiles(spark).names(tables._folder(spark, target))
+
+
+def test_one_version_is_left(spark, layout):
+    target = layout.table("bronze", "t")
+    for rows in (1, 2, 3):
+        replace_table(spark.range(rows), target)
+    assert len(versions(spark, target)) == 1
+
+
+def test_leftovers_of_a_killed_writer_are_no_obstacle(spark, layout):
+    target = layout.table("bronze", "t")
+    replace_table(spark.range(1), target)
+    SharedFiles(spark).make_dir(f"{tables._folder(spark, target)}/{'0' * 32}/_temporary/0")
+    replace_table(spark.range(4), target)
+    assert spark.table(target.sql).count() == 4
+    assert len(versions(spark, target)) == 1
+
+
+@pytest.mark.parametrize("step", ["make_dir", "drop_entry", "_create", "delete"])
+@pytest.mark.parametrize("same_schema", [True, False])
+def test_a_crash_at_any_step_leaves_an_old_or_a_new_table(spark, layout, monkeypatch, step, same_schema):
     target = layout.table("bronze", "t")
     replace_table(spark.range(5), target)
-    rename = tables._rename
+    following = spark.range(2) if same_schema else spark.range(2).selectExpr("id", "'x' AS more")
+    with monkeypatch.context() as patch:
+        where = SharedFiles if step in ("make_dir", "delete") else tables
+
+        def killed(*args):
+            raise KeyboardInterrupt
+
+        patch.setattr(where, step, killed)
+        try:
+            replace_table(following, target)
+        except KeyboardInterrupt:
+            pass
+    restore_table(spark, target)
+    assert spark.table(target.sql).count() in (5, 2)
+    replace_table(following, target)
+    assert spark.table(target.sql).count() == 2
+    assert len(versions(spark, target)) == 1
 
-    def failing(spark, source, target):
-        if source.name.startswith("staging__"):
-            raise RuntimeError("no")
-        rename(spark, source, target)
 
-    monkeypatch.setattr(tables, "_rename", failing)
-    with pytest.raises(RuntimeError):
-        replace_table(spark.range(1), target)
-    assert spark.table(target.sql).count() == 5
+def test_a_table_made_otherwise_is_replaced(spark, layout):
+    target = layout.table("bronze", "t")
+    spark.range(6).write.saveAsTable(target.sql)
+    replace_table(spark.range(2), target)
+    assert spark.table(target.sql).count() == 2
+
+
+@pytest.mark.parametrize("table_format", ["orc", "json", "csv"])
+def test_formats(spark, layout, table_format):
+    target = layout.table("bronze", "t")
+    rows = spark.createDataFrame([(1, "a"), (None, "it's")], "`odd name` int, b string")
+    replace_table(spark.range(3), target)
+    replace_table(rows, target, table_format)
+    replace_table(rows.limit(0), target, table_format)
+    assert spark.table(target.sql).schema.simpleString() == rows.schema.simpleString()
+    replace_table(rows, target, table_format)
+    assert sorted(map(str, spark.table(target.sql).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_drop_removes_the_versions(spark, layout):
+    target = layout.table("silver", "kim_t")
+    replace_table(spark.range(3), target)
+    folder = tables._folder(spark, target)
+    assert len(drop_prefixed(spark, layout, "kim_")) == 1
+    assert not SharedFiles(spark).exists(folder)
 
 
 def test_transactional_formats_overwrite_directly(spark, layout):
@@ -84,7 +152,20 @@ def test_promote(spark, layout, log):
     assert spark.table(silver.sql).count() == 3
     promote(spark, bronze, silver, lambda df: df.where("age >= 18").withColumn("is_adult", F.lit(True)), log=log)
     assert sorted(tuple(r) for r in spark.table(silver.sql).collect()) == [(18, True), (40, True)]
-    assert log.query({"status": "success"}).count() == 4
+    steps = [r.step for r in log.query({"status": "success"}).collect()]
+    assert sorted(steps) == ["read_bronze"] * 2 + ["write_silver"] * 2
+
+
+def test_a_failing_promotion_is_in_the_log(spark, layout, log):
+    bronze, silver = layout.table("bronze", "people"), layout.table("silver", "people")
+    with pytest.raises(Exception, match="(?i)not_found"):
+        promote(spark, bronze, silver, log=log)
+    replace_table(spark.range(3), bronze)
+    with pytest.raises(ZeroDivisionError):
+        promote(spark, bronze, silver, lambda df: 1 / 0, log=log)
+    assert sorted((r.step, r.status) for r in log.query().collect()) == [
+        ("read_bronze", "failure"), ("read_bronze", "success"), ("write_silver", "failure"),
+    ]
 
 
 def test_silver_job(spark, layout, log, monkeypatch):
