@@ -32,7 +32,7 @@ class SchemaMismatch(Exception):
 class GateFailure(Exception):
     """At least one check failed; carries the outcome of every check.
 
-    Attributes:
+    Fixed interface; the attributes are what callers of a failed gate read:
         table_name: table that was measured.
         results: one row per check, in check order, at most five.
         passed_results, failed_results: the same rows split by outcome.

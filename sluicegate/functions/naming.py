@@ -12,6 +12,9 @@ META_SUFFIX = ".meta"
 PROCESSED_MARK = "_processed"
 PROCESSED_DAY = "yyyyMMdd"
 
+# The name of an archived file: what it was called, the stamp's day and number, ``.meta``.
+ARCHIVED_NAME = r"^(.*)(_processed\d{8}(?:-(\d+))?)(\.meta)?$"
+
 
 def file_name(path: Column) -> Column:
     """Last segment of a path."""
@@ -62,9 +65,14 @@ def chunk_end(name: Column, kind: Column | None = None) -> Column:
     return F.when(kind == "chunk", F.regexp_extract(name, CHUNK_NAME, 3))
 
 
-def archive_name(name: Column, day: Column) -> Column:
-    """Name a landing file gets in the archive: the stamp goes last, or before ``.meta``."""
+def archive_name(name: Column, day: Column, number: Column | None = None) -> Column:
+    """Name a landing file gets in the archive: the stamp goes last, or before ``.meta``.
+
+    From the second delivery of a day on the stamp ends with the delivery's number.
+    """
     stamp = F.concat(F.lit(PROCESSED_MARK), F.date_format(day, PROCESSED_DAY))
+    if number is not None:
+        stamp = F.concat(stamp, F.when(number > 1, F.concat(F.lit("-"), number)).otherwise(""))
     stem = F.regexp_replace(name, r"\.meta$", "")
     suffix = F.when(name.endswith(META_SUFFIX), META_SUFFIX).otherwise("")
     return F.concat(stem, stamp, suffix)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate.config import quote
 from sluicegate.errors import SchemaMismatch
+from sluicegate.sources.files import literal_path
 
 
 def _differences(actual: T.StructType, expected: T.StructType) -> list[dict[str, str | None]]:
@@ -65,3 +68,34 @@ def require_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
         ]
         raise SchemaMismatch("; ".join(parts))
     return df
+
+
+def require_every_column(spark: SparkSession, paths: list[str], file_format: str, df: DataFrame) -> None:
+    """:class:`SchemaMismatch` if a file of a columnar format lacks one of a frame's columns.
+
+    Spark would fill the column with nulls. Footers are read from a few driver threads, as file
+    listings are; no data is read. ``df`` must have been read with the columns of all files.
+    """
+
+    def lacking(path: str) -> str:
+        columns = {name.lower() for name in _columns(spark, path, file_format)}
+        absent = [name for name in df.columns if name.lower() not in columns]
+        return f"{path.rpartition('/')[2]} has no {', '.join(absent)}" if absent else ""
+
+    with ThreadPoolExecutor(16) as pool:
+        wrong = [text for text in pool.map(lacking, paths) if text]
+    if wrong:
+        raise SchemaMismatch(f"{len(wrong)} of {len(paths)} chunks are incomplete: {wrong[0]}")
+
+
+def _columns(spark: SparkSession, path: str, file_format: str) -> list[str]:
+    if file_format != "parquet":
+        return spark.read.format(file_format).load(literal_path(path)).columns
+    jvm = spark._jvm
+    hadoop, conf = jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(hadoop.fs.Path(path), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+    try:
+        return [f.getName() for f in reader.getFileMetaData().getSchema().getFields()]
+    finally:
+        reader.close()

@@ -9,19 +9,18 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.config import IngestSettings
 from sluicegate.errors import GateFailure, LogWriteFailed, MetaUnreadable, NoDataFiles, StepFailed
 from sluicegate.functions import naming
 from sluicegate.operators.checks import CHECKS, check_table, report_text, verdicts
-from sluicegate.operators.schema import require_schema
+from sluicegate.operators.schema import require_every_column, require_schema
 from sluicegate.sinks.runlog import RunLog
 from sluicegate.sinks.tables import replace_table, restore_table
 from sluicegate.sources.files import SharedFiles, run_each
-from sluicegate.sources.landing import Landing, read_chunks
+from sluicegate.sources.landing import Landing, dropped_columns, read_chunks
 
 SUCCESS = "success"
 
@@ -52,6 +51,7 @@ class TableWork:
     table: str
     moves: list[tuple[str, str]] = field(default_factory=list)  # (file, archive file), meta last
     known: dict[str, str | None] | Exception | None = None
+    interrupted: str = ""  # what an archiving that died has left behind
 
     @property
     def paths(self) -> list[str]:
@@ -87,14 +87,18 @@ class Ingest:
         If the log could not be written, the error raised at the end carries the results.
         """
         tables = list(dict.fromkeys(tables))
+        first: dict[str, str] = {}
+        for table in tables:
+            first.setdefault(table.lower(), table)
         self._log_errors.clear()
         try:
+            self._require_renames()
             work = self._discover(tables)
-            if work:
-                self.landing.shared.make_dir(self.settings.archive_path)
-            items = [(table, work.get(table)) for table in tables]
+            refused = {table: self._refuse(table, first[table.lower()]) for table in tables if first[table.lower()] != table}
+            items = [(table, work.get(table)) for table in tables if table not in refused]
             outcomes = run_each(self.spark, self._one, items, self.settings.parallel_tables)
-            results = dict(zip(tables, outcomes, strict=True))
+            done = dict(zip([table for table, _ in items], outcomes, strict=True)) | refused
+            results = {table: done[table] for table in tables}
             self._summary(results)
         finally:
             self._flush()
@@ -102,15 +106,31 @@ class Ingest:
             raise LogWriteFailed(str(self._log_errors[0]), results) from self._log_errors[0]
         return results
 
+    def _require_renames(self) -> None:
+        """Files are archived by renaming them, which needs one file system."""
+        shared, settings = self.landing.shared, self.settings
+        if not shared.same_system(settings.landing_path, settings.archive_path):
+            message = f"{settings.landing_path} and {settings.archive_path} are on different file systems"
+            self._note("failure", ARCHIVE, message)
+            raise StepFailed(message)
+        shared.make_dir(settings.archive_path)
+
+    def _refuse(self, table: str, first: str) -> str:
+        """Table names that differ only in case would be one table in the catalog."""
+        message = f"'{table}' was not ingested: its name differs only in case from '{first}'"
+        self._note("failure", EXTRACT, message)
+        return message
+
     def _discover(self, tables: list[str]) -> dict[str, TableWork]:
         """Files and expectations of the requested tables that are there, from a single listing.
 
         Only names pass through the driver, as they do in any Spark file scan.
         """
         listed = self.landing.data_files()
+        interrupted, numbers = self._archived(tables)
         frames = [
             self.landing.manifest(listed),
-            self.landing.work_list(tables, self.settings.archive_path, self.day, listed),
+            self.landing.work_list(tables, self.settings.archive_path, self.day, listed, numbers),
         ]
         manifest, files = run_each(self.spark, DataFrame.collect, frames, len(frames))
         if not manifest:
@@ -122,13 +142,31 @@ class Ingest:
         there = {row.table_name for row in manifest}
         found = [table for table in tables if table in there]
         known = self.landing.expectations(found) if found else {}
-        work = {table: TableWork(table, known=known[table]) for table in found}
+        work = {table: TableWork(table, known=known[table], interrupted=interrupted.get(table, "")) for table in found}
         # Data files first: the meta file is what a rerun needs most.
         for row in sorted(files, key=lambda row: (row.kind == "meta", row.src)):
             if row.table_name in work:
                 work[row.table_name].moves.append((row.src, row.dest))
         return work
 
+    def _archived(self, tables: list[str]) -> tuple[dict[str, str], dict[str, int]]:
+        """From one listing of the archive: interrupted deliveries, and today's numbers, by table.
+
+        Only deliveries of this day or without their meta reach the driver.
+        """
+        archive = Landing(self.spark, self.settings.archive_path, self.landing.shared)
+        today = F.col("day") == f"{self.day:%Y%m%d}"
+        # A meta may have been a directory, which a listing of files does not show.
+        names = set(self.landing.shared.names(archive.root))
+        rows = archive.deliveries().where(F.col("table_name").isin(*tables) & (today | (F.col("n_meta") == 0)))
+        interrupted, numbers = {}, {}
+        for row in rows.collect():
+            if row.n_meta == 0 and f"{row.table_name}{row.stamp}{naming.META_SUFFIX}" not in names:
+                interrupted[row.table_name] = f"{row.n_files} files of '{row.table_name}' are archived as {row.stamp} already"
+            if row.day == f"{self.day:%Y%m%d}":
+                numbers[row.table_name] = max(numbers.get(row.table_name, 1), row.number + 1)
+        return interrupted, numbers
+
     def _one(self, item: tuple[str, TableWork | None]) -> str:
         table, work = item
         if work is None:
@@ -153,6 +191,11 @@ class Ingest:
             self._note("failure", READ_META, f"expectations of '{table}': {work.known}")
             raise MetaUnreadable(str(work.known)) from work.known
         self._note(SUCCESS, READ_META, f"expectations of '{table}': {', '.join(sorted(work.known)) or 'none'}")
+        if work.interrupted:
+            # A run died while archiving: what is left in landing is only a part of the delivery.
+            message = f"{work.interrupted}, without their meta file; put them back or archive the rest"
+            self._note("failure", ARCHIVE, message)
+            raise StepFailed(message)
         with self._step(READ_CHUNKS, f"reading {self.settings.file_format} chunks of '{table}'"):
             df = self._read(work)
         self._gate(df, work)
@@ -167,15 +210,24 @@ class Ingest:
     def _read(self, work: TableWork) -> DataFrame:
         settings, schema = self.settings, self.settings.table_schemas.get(work.table)
         typed = settings.file_format in COLUMNAR_FORMATS  # the files know their schema
+        # With a schema to enforce, the columns of all footers count, whatever the order of files.
         df = read_chunks(
             self.spark,
             work.paths,
             settings.file_format,
             None if typed else schema,
-            settings.merge_schema,
+            settings.merge_schema or (typed and schema is not None),
             settings.file_options,
         )
-        return require_schema(df, schema) if schema and typed else df
+        if typed and schema:
+            require_schema(df, schema)
+            require_every_column(self.spark, work.paths, settings.file_format, df)
+        elif not settings.merge_schema:
+            dropped = dropped_columns(self.spark, work.paths, settings.file_format, df, settings.file_options)
+            if dropped:
+                message = f"'{work.table}': only some chunks have {', '.join(dropped)}; the table will not"
+                self._note("warning", READ_CHUNKS, message)
+        return df
 
     def _gate(self, df: DataFrame, work: TableWork) -> None:
         """Measure in one job, log every check, and raise unless all passed."""
@@ -190,27 +242,9 @@ class Ingest:
         for result in verdict.results:
             self._note(SUCCESS if result.passed else "failure", result.check_name, result.message)
         if not verdict.passed:
-            raise GateFailure(table, verdict.text, verdict.results, self._archived_hint(work, verdict))
+            raise GateFailure(table, verdict.text, verdict.results)
         self._note(SUCCESS, VALIDATE, f"'{table}' passes {verdict.n_checks} checks")
 
-    def _archived_hint(self, work: TableWork, verdict: Row) -> str:
-        """After a wrong row count, says so if files of this table were archived that day already.
-
-        A run that died while archiving leaves some chunks behind; on a rerun they are all there
-        is, and the counts cannot match.
-        """
-        if all(row.passed for row in verdict.results if row.check_name == CHECKS[0].name):
-            return ""
-        suffix = f"{naming.PROCESSED_MARK}{self.day:%Y%m%d}"
-        try:
-            archive = Landing(self.spark, self.settings.archive_path, self.landing.shared)
-            archived = archive.listing(f"*{suffix}")
-            original = F.col("name").substr(F.lit(1), F.length("name") - len(suffix))
-            n_files = archived.where(naming.table_of(original) == work.table).count()
-        except PySparkException:
-            return ""
-        return f"  {n_files} files of '{work.table}' are archived as {suffix} already" if n_files else ""
-
     def _summary(self, results: dict[str, str]) -> None:
         n_failed = sum(outcome != SUCCESS for outcome in results.values())
         self._note(

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.operators import quality
-from sluicegate.operators.quality import Conform
-from sluicegate.plans.promote import promote
+from sluicegate.operators.quality import Conform, Counts
+from sluicegate.plans.promote import promote, promote_many
 from sluicegate.queries.registry import query, table
 from sluicegate.queries.staging import new_layout
+from sluicegate.sinks.runlog import RunLog
 from sluicegate.sinks.tables import replace_table
 
 
@@ -122,3 +123,44 @@ def expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT * FROM lineitem WHERE l_quantity > 0 AND l_discount <= 0.05 AND l_returnflag NOT IN ('A', 'R')")
 def expectations_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.expect_all(table(spark, sf_dir, "lineitem"), LINE_EXPECTATIONS, "drop")
+
+
+@query("""
+    WITH counts AS (
+      SELECT 'rows' AS what, count(*) AS n FROM lineitem
+      UNION ALL SELECT 'has_quantity', count(*) FILTER (NOT l_quantity > 0) FROM lineitem
+      UNION ALL SELECT 'small_discount', count(*) FILTER (NOT l_discount <= 0.05) FROM lineitem
+      UNION ALL SELECT 'not_returned', count(*) FILTER (l_returnflag IN ('A', 'R')) FROM lineitem)
+    SELECT * FROM counts WHERE n > 0
+""")
+def expectations_warn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that are all kept, and the violations that were counted on the way, from the log."""
+    layout, counts = new_layout(spark), Counts()
+    target = layout.table("silver", "lineitem")
+    log = RunLog("quality", "silver", layout.table("ua", "logs"), spark, source="queries")
+    replace_table(quality.expect_all(table(spark, sf_dir, "lineitem"), LINE_EXPECTATIONS, "warn", counts), target)
+    counts.log(log, "write_silver", str(target))
+    logged = log.query({"status": "warning"}).select(
+        F.regexp_extract("message", r"violate (\w+)$", 1).alias("what"),
+        F.regexp_extract("message", r": (\d+) rows", 1).cast("long").alias("n"),
+    )
+    return spark.table(target.sql).agg(F.lit("rows").alias("what"), F.count(F.lit(1)).alias("n")).union(logged)
+
+
+@query("""
+    SELECT 'read_bronze' AS step, 'success' AS status, 2::BIGINT AS n FROM region
+    UNION SELECT 'write_silver', 'success', 1 FROM region
+    UNION SELECT 'write_silver', 'failure', 1 FROM region
+""")
+def promotion_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A promotion that succeeds and one whose transformation asks for a column that is not there."""
+    layout = new_layout(spark)
+    log = RunLog("promote", "silver", layout.table("ua", "logs"), spark, source="queries")
+    source = layout.table("bronze", "orders")
+    replace_table(table(spark, sf_dir, "orders"), source)
+    targets = {
+        layout.table("silver", "orders"): None,
+        layout.table("silver", "failed"): lambda df: df.select("no_such_column"),
+    }
+    promote_many(spark, source, targets, log=log)
+    return log.query().groupBy("step", "status").agg(F.count(F.lit(1)).alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,7 +52,7 @@ def read_chunks(
     reader = reader.options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    plan = reader.load([literal_path(path) for path in paths])._jdf.queryExecution().logical()
+    plan = reader.load([literal_path(path) for path in paths])._jdf.queryExecution().analyzed()
     dataset = spark._jvm.org.apache.spark.sql.classic.Dataset
     return DataFrame(dataset.ofRows(spark._jsparkSession, plan), spark)
 
@@ -159,21 +159,52 @@ class Landing:
             "*", F.col("n_files").isNotNull().alias("found")
         )
 
+    def deliveries(self) -> DataFrame:
+        """Deliveries in an archive: ``table_name, stamp, day, number, n_files, n_meta``.
+
+        One listing of names. A delivery's meta is archived last, so one without it is incomplete.
+        """
+        name = F.col("name")
+        part = [F.regexp_extract(name, naming.ARCHIVED_NAME, group) for group in range(5)]
+        original = F.concat(part[1], part[4])
+        stamped = self.listing(f"*{naming.PROCESSED_MARK}*").where(part[2] != "")
+        # A meta that is a directory shows by the files in it.
+        return (
+            stamped.select(
+                naming.table_of(original).alias("table_name"),
+                part[2].alias("stamp"),
+                F.substring(part[2], len(naming.PROCESSED_MARK) + 1, 8).alias("day"),
+                F.coalesce(part[3].try_cast("int"), F.lit(1)).alias("number"),
+                (part[4] != "").alias("is_meta"),
+            )
+            .groupBy("table_name", "stamp", "day", "number")
+            .agg(F.count_if(~F.col("is_meta")).alias("n_files"), F.count_if("is_meta").alias("n_meta"))
+        )
+
     def work_list(
-        self, tables: list[str], archive_path: str, day: dt.date, data_files: DataFrame | None = None
+        self,
+        tables: list[str],
+        archive_path: str,
+        day: dt.date,
+        data_files: DataFrame | None = None,
+        numbers: dict[str, int] | None = None,
     ) -> DataFrame:
         """Every file of the requested tables with its place in the archive.
 
         Columns ``table_name, kind, src, dest``. The meta path is derived from the table name
         because a meta "file" may be a directory, which a listing of files does not show.
+        ``numbers`` gives the number of a table's delivery on that day, 1 if it is the first.
         """
         data = self.data_files() if data_files is None else data_files
         data = data.where(F.col("table_name").isin(*tables))
         data = data.select("table_name", "kind", F.col("path").alias("src"))
-        names = self.spark.createDataFrame(pa.table({"table_name": pa.array(tables, pa.string())}))
+        number = [(numbers or {}).get(table, 1) for table in tables]
+        columns = {"table_name": pa.array(tables, pa.string()), "number": pa.array(number, pa.int32())}
+        names = self.spark.createDataFrame(pa.table(columns))
         meta_path = F.concat(F.lit(self.root + "/"), "table_name", F.lit(naming.META_SUFFIX))
         meta = names.select("table_name", F.lit("meta").alias("kind"), meta_path.alias("src"))
-        return archive_plan(data.union(meta), self.shared.qualify(archive_path), day)
+        files = data.union(meta).join(names, "table_name")
+        return archive_plan(files, self.shared.qualify(archive_path), day, F.col("number")).drop("number")
 
     def frames(
         self,
@@ -304,7 +335,7 @@ def _plain(row: Row | None) -> bool:
     return bool(row) and not row.n_unnamed and all(pair.value is not None for pair in row.pairs)
 
 
-def archive_plan(files: DataFrame, archive_root: str, day: dt.date) -> DataFrame:
+def archive_plan(files: DataFrame, archive_root: str, day: dt.date, number: Column | None = None) -> DataFrame:
     """Add ``dest`` to a frame with a ``src`` path."""
-    name = naming.archive_name(naming.file_name(F.col("src")), F.lit(day))
+    name = naming.archive_name(naming.file_name(F.col("src")), F.lit(day), number)
     return files.withColumn("dest", F.concat(F.lit(archive_root + "/"), name))

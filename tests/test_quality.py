@@ -91,6 +91,36 @@ def test_expect_all(judged):
         quality.expect_all(judged, EXPECTATIONS, "ignore")
 
 
+@pytest.mark.parametrize(("mode", "n"), [("warn", 6), ("drop", 2)])
+def test_violations_are_counted_in_the_same_pass(spark, log, mode, n):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (None, "b"), (9, "c"), (9, "c"), (3, "a")], "x int, `odd name` string")
+    counts = quality.Counts()
+    kept = quality.expect_all(rows, {"small": "x < 5", "named": "`odd name` = 'a'"}, mode, counts)
+    assert len(kept.collect()) == n
+    assert counts.get() == {"violations of small": 3, "violations of named": 4}
+    counts.log(log, "write_silver", "t")
+    messages = sorted(r.message for r in log.query({"status": "warning"}).collect())
+    assert messages == ["t: 3 rows violate small", "t: 4 rows violate named"]
+
+
+def test_unknown_columns_raise_at_once(spark):
+    for mode in ("warn", "drop", "fail"):
+        with pytest.raises(Exception, match="nope"):
+            quality.expect_all(spark.range(3), {"e": "nope > 1"}, mode)
+    assert quality.expect_all(spark.range(3), {}, "fail").count() == 3
+
+
+def test_removed_duplicates_are_counted_in_the_same_pass(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "`a.b` int, `A c` string")
+    counts = quality.Counts()
+    kept = quality.deduplicate(rows, ["a.b"], counts=counts)
+    assert sorted(map(tuple, kept.collect())) == [(1, "a"), (2, "c")]
+    assert counts.get() == {"n_rows": 3, "n_kept": 2}
+    assert tuple(quality.duplicate_tally(rows, ["a.b"]).first()) == (3, 2, 1)
+    assert quality.deduplicate(rows, ["A.B"]).count() == 2
+    assert quality.summarize(rows, ["a.b"], {"n": "count(1)"}).count() == 2
+
+
 def test_drop_is_pushed_to_the_scan(spark):
     lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     plan = plan_of(quality.expect_all(lines, {"q": "l_quantity > 10"}, "drop"))
