@@ -30,7 +30,7 @@ PER_BUCKET = 16
 SAMPLE, RECALL = 64, 0.96
 MOST_PROBES = 1 << 13
 # Vectors that a task compares queries with.
-PART_ROWS = 16_384
+PART_ROWS = 1 << 16
 
 
 def probe_order(hashes: int, count: int) -> np.ndarray:
