@@ -609,5 +609,5 @@ def redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage_meta(spark, landing, "nation", {"n_rows": str(delivered.count())})
         log = RunLog("ingest", "extract", layout.table("ua", "logs"), spark, source="queries")
         Ingest(spark, settings, log).run(["nation"])
-    counted = spark.table(settings.bronze("nation").sql).agg(F.count(F.lit(1)).alias("n_rows"))
-    return Landing(spark, archive).listing().select("name").join(F.broadcast(counted))
+    n_rows = spark.table(settings.bronze("nation").sql).count()
+    return Landing(spark, archive).listing().select("name", F.lit(n_rows).cast("long").alias("n_rows"))
