@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import Any, TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from sluicegate.queries.staging import workspace
 from sluicegate.sources.files import SharedFiles
 
 Batches = Iterator[pa.RecordBatch]
+Kept = TypeVar("Kept")
 # Texts handled at once inside a task, in characters; a longer text is handled alone.
 SLICE_CHARS = 1 << 20
 
@@ -36,10 +38,21 @@ def find_on_workers(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
-def map_batches(df: DataFrame, function: Callable[[Batches], Batches], schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` with workers that find this package."""
+def map_batches(
+    df: DataFrame,
+    function: Callable[[Batches], Batches],
+    schema: T.StructType | str,
+    owner: str | None = None,
+) -> DataFrame:
+    """``mapInArrow`` with workers that find this package and forget what other modules kept."""
     find_on_workers(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    module = owner or function.__module__
+
+    def run(batches: Batches) -> Batches:
+        forget_others(module)
+        return function(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def fields(df: DataFrame, names: dict[str, str]) -> T.StructType:
@@ -52,6 +65,33 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     return [text or "" for text in batch.column(column).to_pylist()]
 
 
+_kept: dict[tuple, Any] = {}
+
+
+def kept(make: Callable[..., Kept], *arguments: Any) -> Kept:
+    """What a function made of these arguments, kept by the worker process until another is asked for.
+
+    Only one thing is kept, so that the operators of a pipeline do not add up their memory.
+    """
+    key = make.__module__, make.__qualname__, *arguments
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make(*arguments)
+    return _kept[key]
+
+
+def forget_others(module: str) -> None:
+    if any(key[0] != module for key in _kept):
+        _kept.clear()
+
+
+def parts(batches: Batches, rows: int = 1024) -> Batches:
+    """Batches cut into some that take little memory as Python objects."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.slice(start, rows)
+
+
 def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring texts that hold at most so many characters, or one text."""
     start = size = 0
@@ -69,12 +109,12 @@ def keep_rows(
 ) -> DataFrame:
     """Whole rows whose text a judge keeps. ``judge`` is called once per task; nothing is shuffled."""
 
-    def kept(batches: Batches) -> Batches:
+    def chosen(batches: Batches) -> Batches:
         keep = judge()
-        for batch in batches:
+        for batch in parts(batches):
             yield batch.filter(pa.array(keep(texts_of(batch, text_col)), pa.bool_()))
 
-    return map_batches(df, kept, df.schema)
+    return map_batches(df, chosen, df.schema, judge.__module__)
 
 
 class Scratch:

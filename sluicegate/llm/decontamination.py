@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.llm.common import Batches, fields, keep_rows, map_batches
+from sluicegate.llm.common import Batches, fields, keep_rows, map_batches, parts
 from sluicegate.llm.words import gram_hashes, text_slices, word_hashes
 
 # Bytes of benchmark text sent to the tasks at once; a larger benchmark is compared block by block.
@@ -236,7 +236,7 @@ def find_contamination(
 
         def found(batches: Batches, shared=shared) -> Batches:
             index = Index(shared.value, least)
-            for batch in batches:
+            for batch in parts(batches):
                 rows, places = [], []
                 for place, item, n, longest, covered, total in _matches(index, batch.column("text"), coverage, least):
                     places.append(place)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.llm.common import Batches, fields, held_out, map_batches, slices, texts_of
+from sluicegate.llm.common import Batches, fields, held_out, kept, map_batches, parts, slices, texts_of
 
 UNDETERMINED = "und"
 DIMENSIONS = 1024
@@ -110,15 +110,6 @@ class RunVectors:
         return row
 
 
-_vectors: dict[tuple, RunVectors] = {}
-
-
-def _run_vectors(*options: int) -> RunVectors:
-    if options not in _vectors:
-        _vectors[options] = RunVectors(*options)
-    return _vectors[options]
-
-
 def prototypes(
     df: DataFrame,
     dimensions: int = DIMENSIONS,
@@ -135,9 +126,9 @@ def prototypes(
     options = dimensions, size, seed
 
     def summed(batches: Batches) -> Batches:
-        vectors = _run_vectors(*options)
+        vectors = kept(RunVectors, *options)
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in parts(batches):
             languages, texts = batch.column("lang").to_pylist(), texts_of(batch, "text")
             for start, end in slices(texts):
                 for lang in sorted(set(languages[start:end])):
@@ -196,7 +187,7 @@ def identify(
     options = dimensions, size, seed
 
     def scores(texts: list[str]) -> Iterator[tuple[str, float]]:
-        vectors = _run_vectors(*options)
+        vectors = kept(RunVectors, *options)
         runs = [vectors.runs(text) for text in texts]
         bundles = vectors.bundles(runs).astype(np.float64)
         lengths = np.maximum(np.linalg.norm(bundles, axis=1), 1e-9)
@@ -208,7 +199,7 @@ def identify(
                 yield UNDETERMINED, 0.0
 
     def predicted(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in parts(batches):
             texts = texts_of(batch, "text")
             found = [one for start, end in slices(texts) for one in scores(texts[start:end])]
             yield pa.RecordBatch.from_arrays(

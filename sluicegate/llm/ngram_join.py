@@ -282,8 +282,11 @@ class _Join:
         self.entries = self.scratch.table(entries.join(degrees, "class").join(sizes, "class"), "entries")
         self.scratch.drop("shared")
 
-    def products(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs (``a``, ``b``, ``shared`` prefix columns, to be added up) that link, by their whole sets."""
+    def products(self, pairs: DataFrame, name: str) -> DataFrame | None:
+        """Pairs (``a``, ``b``, ``shared`` prefix columns, to be added up) that link, by their whole sets.
+
+        None if no pair can.
+        """
         p = self.percent
         sizes = self.classes.select("class", "n")
         counted = (
@@ -296,6 +299,8 @@ class _Join:
         beyond = F.greatest(F.ceil(F.col("na") * p / 100), F.ceil(F.col("nb") * p / 100)) - 1
         possible = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * p) & (F.col("shared") + beyond >= needed)
         kept = self.scratch.table(counted.where(possible), f"{name}_pairs")
+        if kept.isEmpty():
+            return None
         sets = self.sets(kept.select("a").union(kept.select("b")).distinct(), f"{name}_sets")
         left = sets.select(F.col("class").alias("a"), F.col("grams").alias("ga"))
         right = sets.select(F.col("class").alias("b"), F.col("grams").alias("gb"))
@@ -398,17 +403,19 @@ class _Join:
     def run(self) -> DataFrame:
         self.fill(self.measure())
         known, links = None, None
-        for number in range(PIVOT_ROUNDS + 1):
-            last = number == PIVOT_ROUNDS
-            pairs = self.cross(known) if last else self.pivots(known, number)
+        rounds = 0 if self.entries.isEmpty() else PIVOT_ROUNDS + 1
+        for number in range(rounds):
+            pairs = self.cross(known) if number == PIVOT_ROUNDS else self.pivots(known, number)
             found = self.products(pairs, f"round_{number}")
-            links = found if links is None else links.unionByName(found)
-            if known is None or not found.isEmpty():
+            if found is not None:
+                links = found if links is None else links.unionByName(found)
                 known = components(links.select("a", "b"), self.scratch, f"components_{number}")
-        roots = known.select(F.col("node").alias("class"), "root")
-        rooted = self.classes.join(roots, "class", "left").select(
-            "class", "doc_id", F.coalesce("root", "class").alias("root")
-        )
+        rooted = self.classes.select("class", "doc_id", F.col("class").alias("root"))
+        if known is not None:
+            roots = known.select(F.col("node").alias("class"), F.col("root").alias("found"))
+            rooted = rooted.join(roots, "class", "left").select(
+                "class", "doc_id", F.coalesce("found", "root").alias("root")
+            )
         smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
         by_class = rooted.join(smallest, "root").select("class", "component_id")
         result = (

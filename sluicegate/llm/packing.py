@@ -6,7 +6,6 @@ and each goes to the sequence of the lowest cost that still has room for it.
 
 from __future__ import annotations
 
-import functools
 import re
 import struct
 import zlib
@@ -19,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sluicegate.llm.common import Batches, fields, map_batches, texts_of
+from sluicegate.llm.common import Batches, fields, kept, map_batches, texts_of
 from sluicegate.llm.token_counts import byte_symbols
 
 # Encodings a process remembers of pieces between spaces; it starts anew when full.
@@ -106,11 +105,6 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-@functools.lru_cache(maxsize=2)
-def _encoder(vocabulary: str) -> Encoder:
-    return Encoder(vocabulary)
-
-
 class Piece:
     """Part of a document: ids from ``start`` on, not yet in a sequence."""
 
@@ -277,7 +271,7 @@ def pack(
     names = schema.names
 
     def packed(batches: Batches) -> Batches:
-        encoder = _encoder(shared.value)
+        encoder = kept(Encoder, shared.value)
         first = TaskContext.get().partitionId() << 32
         packer = Packer(context, pool_tokens, linear, quadratic, first)
         end = np.array([end_id], dtype="<u4").tobytes()

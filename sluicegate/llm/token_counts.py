@@ -7,7 +7,6 @@ tokens is the number of symbols minus the number of merges; no token identifiers
 
 from __future__ import annotations
 
-import functools
 import heapq
 import json
 
@@ -17,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sluicegate.llm.common import Batches, fields, map_batches, texts_of
+from sluicegate.llm.common import Batches, fields, kept, map_batches, parts, texts_of
 
 # How byte-level vocabularies split texts before merging.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -138,11 +137,6 @@ class Counter:
         return count
 
 
-@functools.lru_cache(maxsize=2)
-def _counter(vocabulary: str) -> Counter:
-    return Counter(vocabulary)
-
-
 def count_tokens(
     df: DataFrame,
     vocabulary: str | None = None,
@@ -173,8 +167,8 @@ def count_tokens(
     names = schema.names
 
     def counted(batches: Batches) -> Batches:
-        counter = _counter(shared.value)
-        for batch in batches:
+        counter = kept(Counter, shared.value)
+        for batch in parts(batches):
             texts = texts_of(batch, "text")
             tokens = [counter.count(text) for text in texts]
             yield pa.RecordBatch.from_arrays(

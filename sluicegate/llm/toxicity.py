@@ -13,7 +13,6 @@ score beyond that law, and is turned into a probability.
 
 from __future__ import annotations
 
-import functools
 import json
 import math
 import re
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicegate.llm.common import Batches, Scratch, fields, held_out, keep_rows, map_batches, texts_of
+from sluicegate.llm.common import Batches, Scratch, fields, held_out, keep_rows, kept, map_batches, parts, texts_of
 
 # Labelled rows that weights and calibration are fitted on, at most; a hash of the id chooses.
 MOST_LABELS = 200_000
@@ -40,8 +39,8 @@ LEAST_GAIN = 0.5
 DRIFT = 0.25
 # Folds, by crc32 of the id modulo 5: weights come from these, the calibration from the last.
 WEIGHT_FOLDS, CALIBRATION_FOLD = (1, 2, 3), 4
-# Weights of pieces that a process remembers; it starts anew when full.
-REMEMBERED = 400_000
+# Weights of pieces, and counts of words, that a process remembers; it starts anew when full.
+REMEMBERED = 200_000
 LONGEST_REMEMBERED = 40
 # Words longer than this are counted by their first characters.
 LONGEST_WORD = 64
@@ -126,7 +125,6 @@ class Model:
         return json.dumps([self.table, self.rate, self.shift, self.slope, self.start])
 
 
-@functools.lru_cache(maxsize=2)
 def _loaded(text: str) -> tuple[Model, Weigher]:
     model = Model(*json.loads(text))
     return model, Weigher(model.table, DRIFT)
@@ -179,7 +177,7 @@ def _counted(batches: Batches) -> Batches:
             names=["word", "toxic", "clean"],
         )
 
-    for batch in batches:
+    for batch in parts(batches):
         for text, toxic in zip(texts_of(batch, "text"), batch.column("toxic").to_pylist(), strict=True):
             for word in {word_of(piece) for piece in set(text.split())}:
                 if word not in counts:
@@ -253,8 +251,8 @@ def calibrate(training: DataFrame, model: Model) -> Model:
     shared = training.sparkSession.sparkContext.broadcast(model.to_json())
 
     def clean_scores(batches: Batches) -> Batches:
-        _, weigher = _loaded(shared.value)
-        for batch in batches:
+        _, weigher = kept(_loaded, shared.value)
+        for batch in parts(batches):
             bins, tops = {}, []
             for text in texts_of(batch, "text"):
                 weights = weigher.weights(text)
@@ -289,8 +287,8 @@ def calibrate(training: DataFrame, model: Model) -> Model:
     shared_law = training.sparkSession.sparkContext.broadcast(model.to_json())
 
     def evidences(batches: Batches) -> Batches:
-        law, weigher = _loaded(shared_law.value)
-        for batch in batches:
+        law, weigher = kept(_loaded, shared_law.value)
+        for batch in parts(batches):
             values = []
             for text in texts_of(batch, "text"):
                 weights = weigher.weights(text)
@@ -375,7 +373,7 @@ def clean_rows(
     )
 
     def judge():
-        model, weigher = _loaded(shared.value)
+        model, weigher = kept(_loaded, shared.value)
         return lambda texts: [_scored(model, weigher, text)[0] < 0.5 for text in texts]
 
     return keep_rows(df, text_col, judge)
@@ -424,9 +422,9 @@ def score_toxicity(
     )
 
     def scored(batches: Batches) -> Batches:
-        own, weigher = _loaded(shared.value)
+        own, weigher = kept(_loaded, shared.value)
         kind = pa.list_(pa.struct([("first", pa.int32()), ("past", pa.int32()), ("score", pa.float64())]))
-        for batch in batches:
+        for batch in parts(batches):
             scores, passages = [], []
             for text in texts_of(batch, "text"):
                 score, significant = _scored(own, weigher, text)
