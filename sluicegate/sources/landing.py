@@ -40,7 +40,9 @@ def read_chunks(
     ``options`` set another ``mode``.
     """
     # Whatever the session says, a file that is damaged or gone is an error, not fewer rows.
-    listing = _listing_session(spark)
+    # Up to this number Spark looks the paths up by itself, without a job.
+    few = len(paths) <= int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold"))
+    listing = spark if few else _listing_session(spark)
     reader = listing.read.format(file_format).option("ignoreCorruptFiles", False)
     reader = reader.option("ignoreMissingFiles", False)
     if file_format in ("csv", "json"):
@@ -52,7 +54,10 @@ def read_chunks(
     reader = reader.options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    plan = reader.load([literal_path(path) for path in paths])._jdf.queryExecution().analyzed()
+    loaded = reader.load([literal_path(path) for path in paths])
+    if few:
+        return loaded
+    plan = loaded._jdf.queryExecution().analyzed()
     dataset = spark._jvm.org.apache.spark.sql.classic.Dataset
     return DataFrame(dataset.ofRows(spark._jsparkSession, plan), spark)
 
