@@ -365,11 +365,12 @@ class _Join:
     def cross(self, known: DataFrame) -> DataFrame:
         """All pairs of a column that are not yet connected and may still link.
 
-        A row overlaps with a row of another component in what it holds beyond its prefix, and in the
-        prefix columns that rows of other components share, at most. Pairs for which that is too
-        little, or whose sizes differ too much, are not multiplied. Rows with few such columns carry
-        the list of them, so that a pair is multiplied in one go, at its first common column; longer
-        rows are multiplied column by column.
+        Of two rows, the one whose prefix ends first in the order of columns has all common columns of
+        that prefix in the other's prefix too. So two rows of different components overlap in the open
+        columns that both can have, and in what the one of them holds beyond its prefix, at most. Pairs
+        for which that is too little, or whose sizes differ too much, are not multiplied. Rows with few
+        such columns carry the list of them, so that a pair is multiplied in one go, at its first common
+        column; longer rows are multiplied column by column.
         """
         p = self.percent
         entries = self.grouped(known)
@@ -391,7 +392,7 @@ class _Join:
         conditions = (
             F.expr("class_a < class_b AND root_a <> root_b")
             & F.expr(f"n_a * 100 >= n_b * {p} AND n_b * 100 >= n_a * {p}")
-            & (F.least(F.expr("open_a + beyond_a"), F.expr("open_b + beyond_b")) >= needed)
+            & (F.least("open_a", "open_b") + F.greatest("beyond_a", "beyond_b") >= needed)
             & (~in_one_go | once)
         )
         return left.join(right, "gram").where(conditions).select(

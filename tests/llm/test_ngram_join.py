@@ -66,6 +66,21 @@ def test_against_all_pairs(spark, monkeypatch, heavy):
     assert len(result) == len(rows)
 
 
+def test_pairs_at_the_border_beside_a_long_quoting_row(spark):
+    """A fifth to a quarter of added words, where a long row that quotes the shorter text is the pivot."""
+    source, rows, quotes = random.Random(11), [], []
+    for i in range(30):
+        text = prose(1000 + i, 84)
+        added = prose(2000 + i, 16 + i % 5)
+        rows += [" ".join(text), " ".join(text + added)]
+        quotes += text
+    rows.append(" ".join(quotes))
+    source.shuffle(rows)
+    rows = list(enumerate(rows, 1))
+    result = near_duplicates(frame(spark, [document(*r) for r in rows])).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in result} == brute_force(rows)
+
+
 def test_awkward_rows(spark):
     got = sorted(map(tuple, near_duplicates(frame(spark, awkward())).collect()), key=str)
     expected = [(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), *[(6, 2, 6)] * 3, (7, 1, 7), (7, 1, 7), (8, 1, 8)]
