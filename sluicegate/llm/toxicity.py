@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -42,16 +43,24 @@ WEIGHT_FOLDS, CALIBRATION_FOLD = (1, 2, 3), 4
 # Weights of pieces, and counts of words, that a process remembers; it starts anew when full.
 REMEMBERED = 200_000
 LONGEST_REMEMBERED = 40
-# Words longer than this are counted by their first characters.
+# Words longer than this are counted in stretches of this length.
 LONGEST_WORD = 64
+# Within a passage, a word adds nothing so many words after the place where it last counted.
+REPEAT_DISTANCE = 50
 _EULER = 0.5772156649015329
 
 _edges = re.compile(r"^[\W_]+|[\W_]+$")
+# Punctuation and symbols divide words, apostrophes and marks that belong to letters do not.
+_DIVIDING = {c: " " for c in range(0x20000) if unicodedata.category(chr(c))[0] in "PS" and chr(c) not in "'’"}
 
 
-def word_of(piece: str) -> str:
-    """The word in a piece between white space: lower case, without marks around it."""
-    return (_edges.sub("", piece.lower()) if not piece.isalpha() else piece.lower())[:LONGEST_WORD]
+def words_of(piece: str) -> list[str]:
+    """The words in a piece between white space: lower case, without marks; one empty word if there is none."""
+    lower = piece.lower()
+    words = [lower] if piece.isalpha() else [w for part in lower.translate(_DIVIDING).split() if (w := _edges.sub("", part))]
+    if len(piece) > LONGEST_WORD:
+        words = [w[i : i + LONGEST_WORD] for w in words for i in range(0, len(w), LONGEST_WORD)]
+    return words or [""]
 
 
 def segments(weights: np.ndarray) -> list[tuple[float, int, int]]:
@@ -85,27 +94,49 @@ class Weigher:
         self.table, self.drift = table, drift
         self.pieces: dict[str, float] = {}
 
-    def weights(self, text: str) -> np.ndarray:
-        """A weight for each piece between white space; a word's repetitions within a text add none."""
-        parts, known = text.split(), self.pieces
+    def weights(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """A weight for each word, and the number of its piece between white space.
+
+        A word's repetitions within a passage add none: those that lie in one maximal segment, at most
+        REPEAT_DISTANCE words after the place where the word last counted.
+        """
+        pieces, known = text.split(), self.pieces
         try:
-            weights = np.array([known[part] for part in parts])
+            weights = np.array([known[piece] for piece in pieces], float)
         except KeyError:
-            weights = np.array([known[part] if part in known else self._piece(part) for part in parts])
-        seen = set()
-        for place in np.flatnonzero(weights > 0).tolist():
-            if (word := word_of(parts[place])) in seen:
-                weights[place] = -self.drift
-            seen.add(word)
-        return weights
-
-    def _piece(self, piece: str) -> float:
-        word, table = word_of(piece), self.table
+            weights = np.array([known[piece] if piece in known else self._piece(piece) for piece in pieces], float)
+        at, several = np.arange(len(pieces)), {}
+        if (places := np.flatnonzero(np.isnan(weights))).size:
+            several = {place: words_of(pieces[place]) for place in places.tolist()}
+            counts = np.ones(len(pieces), np.int64)
+            counts[places] = [len(words) for words in several.values()]
+            at, weights, starts = np.repeat(at, counts), np.repeat(weights, counts), np.cumsum(counts) - counts
+            weights[np.isnan(weights)] = [self._word(word) for words in several.values() for word in words]
+        result = weights.copy()
+        for _, first, past in segments(weights):
+            counted: dict[str, int] = {}
+            for place in (first + np.flatnonzero(weights[first:past] > 0)).tolist() if past - first > 1 else ():
+                piece = int(at[place])
+                words = several.get(piece)
+                word = words[place - int(starts[piece])] if words else words_of(pieces[piece])[0]
+                if word in counted and place - counted[word] <= REPEAT_DISTANCE:
+                    result[place] = -self.drift
+                else:
+                    counted[word] = place
+        return result, at
+
+    def _word(self, word: str) -> float:
+        table = self.table
         weight = table.get(word)
         for length in reversed(PREFIXES):
             if weight is None and len(word) >= length:
                 weight = table.get(word[:length] + "*")
-        weight = (weight or 0.0) - self.drift if word else 0.0
+        return (weight or 0.0) - self.drift if word else 0.0
+
+    def _piece(self, piece: str) -> float:
+        """The weight of a piece of one word; not a number if it has several."""
+        words = words_of(piece)
+        weight = self._word(words[0]) if len(words) == 1 else math.nan
         if len(piece) <= LONGEST_REMEMBERED:
             if len(self.pieces) >= REMEMBERED:
                 self.pieces.clear()
@@ -179,7 +210,7 @@ def _counted(batches: Batches) -> Batches:
 
     for batch in parts(batches):
         for text, toxic in zip(texts_of(batch, "text"), batch.column("toxic").to_pylist(), strict=True):
-            for word in {word_of(piece) for piece in set(text.split())}:
+            for word in {word for piece in set(text.split()) for word in words_of(piece)}:
                 if word not in counts:
                     counts[word] = [0, 0]
                 counts[word][toxic] += 1
@@ -255,7 +286,7 @@ def calibrate(training: DataFrame, model: Model) -> Model:
         for batch in parts(batches):
             bins, tops = {}, []
             for text in texts_of(batch, "text"):
-                weights = weigher.weights(text)
+                weights, _ = weigher.weights(text)
                 for value, count in zip(*np.unique(np.round(weights, 1), return_counts=True), strict=True):
                     bins[float(value)] = bins.get(float(value), 0) + int(count)
                 best = max((s for s, _, _ in segments(weights)), default=0.0)
@@ -291,7 +322,7 @@ def calibrate(training: DataFrame, model: Model) -> Model:
         for batch in parts(batches):
             values = []
             for text in texts_of(batch, "text"):
-                weights = weigher.weights(text)
+                weights, _ = weigher.weights(text)
                 values.append(evidence(law, segments(weights), len(weights))[0])
             values = np.clip(np.round(np.array(values, float) * 4) / 4, -40, 40)
             yield pa.RecordBatch.from_arrays(
@@ -380,10 +411,10 @@ def clean_rows(
 
 
 def _scored(model: Model, weigher: Weigher, text: str) -> tuple[float, list]:
-    """A text's probability of being toxic, and its significant segments."""
-    weights = weigher.weights(text)
+    """A text's probability of being toxic, and its significant segments, in pieces between white space."""
+    weights, at = weigher.weights(text)
     value, significant = evidence(model, segments(weights), len(weights))
-    return probability(model, value), significant
+    return probability(model, value), [(s, int(at[first]), int(at[last - 1]) + 1) for s, first, last in significant]
 
 
 def score_toxicity(

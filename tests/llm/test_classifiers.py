@@ -101,6 +101,28 @@ def test_passages_and_awkward_rows(spark):
     assert kept == {r.doc_id for r in scored if not r.predicted}
 
 
+TOXIC_WORDS = {"vile": 3.0, "rotten": 3.0, "wretch": 3.0}
+
+
+def test_every_passage_counts():
+    model, weigher = Model(TOXIC_WORDS, 1.0, -4.0), toxicity.Weigher(TOXIC_WORDS, toxicity.DRIFT)
+    plain, passage = ["plain"] * 300, ["vile", "rotten", "wretch"]
+    early = [*plain, "vile", *plain, "rotten", *plain, "wretch", *plain]
+    _, found = toxicity._scored(model, weigher, " ".join([*early, *passage, *plain, *passage]))
+    assert sorted((f, p) for _, f, p in found) == [(1203, 1206), (1506, 1509)]
+    weights, _ = weigher.weights(" ".join(["vile"] * 20))
+    assert (weights > 0).tolist() == [True] + [False] * 19
+
+
+def test_joined_words_count_each():
+    weigher = toxicity.Weigher(TOXIC_WORDS, toxicity.DRIFT)
+    weights, at = weigher.weights("plain good/vile-rotten -- " + "x" * 70 + "/wretch")
+    assert at.tolist() == [0, 1, 1, 1, 2, 3, 3, 3]
+    assert (weights > 0).tolist() == [False, False, True, True, False, False, False, True]
+    _, found = toxicity._scored(Model(TOXIC_WORDS, 1.0, -4.0), weigher, "plain good/vile-rotten plain")
+    assert [(f, p) for _, f, p in found] == [(1, 2)]
+
+
 def test_held_out_labels_teach_nothing(spark):
     rows, labels = toxic_corpus()
     flipped = [(i, 1 - t if fold(i) == 0 else t) for i, t, _ in labels]
