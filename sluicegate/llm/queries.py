@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluicegate.llm.collocations import COLLOCATION_SQL, collocations
 from sluicegate.llm.decontamination import find_contamination
 from sluicegate.llm.language import identify
 from sluicegate.llm.neighbours import nearest
@@ -89,3 +90,12 @@ def op9_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth vector."""
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_debruijn_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of each language."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op13_debruijn_collocations"] = COLLOCATION_SQL

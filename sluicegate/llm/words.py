@@ -49,9 +49,15 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray, marks: bool = False) -> tu
     runs of bytes other than ASCII white space, and with ``marks`` other than ASCII marks; A-Z count
     as a-z.
     """
-    solid = ~(_GAP if marks else _SPACE)[data]
+    start, end, owner = word_spans(data, bounds, _GAP if marks else _SPACE)
+    return span_hashes(data, start, end), owner
+
+
+def word_spans(data: np.ndarray, bounds: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of every run of bytes that a table of 256 flags doesn't call a gap."""
+    solid = ~gap[data]
     if not solid.any():
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     first, last = solid.copy(), solid.copy()
     first[1:] &= ~solid[:-1]
     last[:-1] &= ~solid[1:]
@@ -61,11 +67,24 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray, marks: bool = False) -> tu
     edges = bounds[1:][full] - 1
     last[edges] = solid[edges]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return start, end, np.searchsorted(bounds[1:], start, side="right")
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray = _VALUE) -> np.ndarray:
+    """A 64-bit hash of every span of bytes, from a random number for each byte value."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
     up, down = _power(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUE[data] * up, out=sums[1:])
-    hashes = mix((sums[end] - sums[start]) * down[start])
-    return hashes, np.searchsorted(bounds[1:], start, side="right")
+    np.cumsum(values[data] * up, out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start])
+
+
+def byte_values(seed: int) -> np.ndarray:
+    """Random numbers for ``span_hashes``; A-Z have those of a-z."""
+    values = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
+    return values
 
 
 def gram_hashes(words: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
