@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import Any, TypeVar
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,6 +118,24 @@ def keep_rows(
     return map_batches(df, chosen, df.schema, judge.__module__)
 
 
+def bit_filter(places: DataFrame, bits: int) -> bytes:
+    """A bit for each of ``bits`` places, set where a row of ``place`` names it; joined in the tasks."""
+    words = (
+        places.groupBy(F.expr("shiftright(place, 6)").alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
+        .toArrow()
+    )
+    found = np.zeros(-(-bits // 64), np.int64)
+    found[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return found.tobytes()
+
+
+def chosen_by(bits: bytes, places: np.ndarray) -> np.ndarray:
+    """Which places a bit filter has."""
+    octets = np.frombuffer(bits, np.uint8)[places >> 3]
+    return octets >> (places & 7).astype(np.uint8) & 1 == 1
+
+
 class Scratch:
     """Tables of one query in the folder that all executors share.
 

@@ -16,6 +16,7 @@ from sluicegate.llm.secret_scan import digest, scan_secrets
 from sluicegate.llm.sharding import SHARD_SQL, shard
 from sluicegate.llm.token_counts import count_tokens
 from sluicegate.llm.toxicity import score_toxicity
+from sluicegate.llm.whitening import by_component, whiten
 from sluicegate.queries.registry import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -92,6 +93,12 @@ def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 32 directions of most variance, whitened."""
+    return by_component(whiten(table(spark, sf_dir, "embeddings")))
+
+
 @query
 def op13_debruijn_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 strongest phrases of each language."""
