@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluicegate.llm.common import Batches, Scratch, map_batches
+from sluicegate.llm.common import Batches, Scratch, bit_filter, chosen_by, map_batches
 from sluicegate.llm.words import byte_values, mix, span_hashes, text_slices, word_spans
 
 # In place of a word's number: a rare third word, all rare nodes of a word, the end of a piece.
@@ -182,11 +182,8 @@ def _edges(seed: int, shared):
     """Weighted edges of a chunk, the names of words that may be frequent, and words by language."""
 
     def run(batches: Batches) -> Batches:
-        bits = np.frombuffer(shared.value, np.uint8)
-
         def frequent(codes: np.ndarray) -> np.ndarray:
-            place = _bits(codes)
-            return bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1
+            return chosen_by(shared.value, _bits(codes))
 
         named = np.zeros(0, np.uint64)
         for chunk in _chunks(batches, seed):
@@ -281,14 +278,7 @@ class Graph:
     def _filter(self, seed: int) -> bytes:
         counted = map_batches(self.texts, _counted(seed, self.blocks), "block int, once binary, codes binary, counts binary")
         places = counted.groupBy("block").applyInArrow(_frequent(self.blocks, self.least), "place long")
-        words = (
-            places.groupBy(F.expr("shiftright(place, 6)").alias("word"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
-            .toArrow()
-        )
-        bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-        bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-        return bits.tobytes()
+        return bit_filter(places, 1 << FILTER_BITS)
 
     def unary(self) -> DataFrame:
         """Unary nodes ``x y`` with their one edge ``x y z``: the edge in, the edge out and the node count the same."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluicegate.llm.collocations import COLLOCATION_SQL, collocations
 from sluicegate.llm.decontamination import find_contamination
 from sluicegate.llm.language import identify
+from sluicegate.llm.minhash_forest import forest_duplicates
 from sluicegate.llm.neighbours import nearest
 from sluicegate.llm.ngram_join import near_duplicates
 from sluicegate.llm.packing import pack
@@ -93,6 +94,12 @@ def op10_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near duplicates of every document: four words, similarity 0.8."""
+    return forest_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the 32 directions of most variance, whitened."""
