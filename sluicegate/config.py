@@ -12,6 +12,14 @@ def quote(part: str) -> str:
     return "`" + part.replace("`", "``") + "`"
 
 
+@dataclass(frozen=True)
+class History:
+    """How long replaced versions of a table stay readable, and how many of them at most."""
+
+    keep: dt.timedelta = dt.timedelta(days=1)
+    most: int | None = None
+
+
 @dataclass(frozen=True)
 class TableRef:
     """A table in a namespace; ``str()`` gives the plain name, ``sql`` the quoted one."""
@@ -76,6 +84,12 @@ class IngestSettings:
         file_format, file_options, merge_schema: how landing files are read.
         table_schemas: schemas of some tables. Parquet files that have another one fail before they
             are read; CSV and JSON files are read with it, and without it Spark infers one.
+        footers: measure row counts, and ranges of dates, from the footers of parquet files; a file whose footer
+            does not state them is read.
+        bitmaps: count distinct ids that are whole numbers as bits, instead of shuffling them.
+        quarantine_path: directory that takes the broken lines of CSV and JSON files with a schema, in a folder
+            for each table and run; without it a broken line fails its table.
+        history: how long replaced bronze tables stay readable.
         parallel_tables: tables worked on at the same time; each stays a separate Spark job.
         archive_day: day stamped on archived files, today when not given.
     """
@@ -89,12 +103,18 @@ class IngestSettings:
     file_options: dict[str, str] = field(default_factory=dict)
     merge_schema: bool = False
     table_schemas: dict[str, StructType] = field(default_factory=dict)
+    footers: bool = False
+    bitmaps: bool = False
+    quarantine_path: str | None = None
+    history: History = History()
     parallel_tables: int = 4
     archive_day: dt.date | None = None
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "landing_path", _directory(self.landing_path))
         object.__setattr__(self, "archive_path", _directory(self.archive_path))
+        if self.quarantine_path is not None:
+            object.__setattr__(self, "quarantine_path", _directory(self.quarantine_path))
         if self.parallel_tables < 1:
             raise ValueError("parallel_tables must be at least 1")
 

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.config import Layout, TableRef
+from sluicegate.config import History, Layout, TableRef
 from sluicegate.sinks.runlog import RunLog
 from sluicegate.sinks.tables import replace_table
 from sluicegate.sources.catalog import resolve_prefix
@@ -23,6 +23,7 @@ def promote(
     transform: Transform | None = None,
     table_format: str = "parquet",
     log: RunLog | None = None,
+    history: History = History(),
 ) -> None:
     """Read a table, transform it (not at all by default) and replace the target with the result.
 
@@ -32,7 +33,7 @@ def promote(
     with _step(log, f"read_{_layer(source)}", f"{source} is the source", f"reading {source}"):
         rows = spark.table(source.sql)
     with _step(log, f"write_{_layer(target)}", f"{target} was replaced", f"replacing {target}"):
-        replace_table(transform(rows) if transform else rows, target, table_format)
+        replace_table(transform(rows) if transform else rows, target, table_format, history)
 
 
 def _layer(table: TableRef) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from sluicegate import (
 )
 from sluicegate.config import IngestSettings, TableRef
 from sluicegate.sinks import tables
-from sluicegate.sinks.tables import TRANSACTIONAL_FORMATS, restore_table
+from sluicegate.sinks.tables import TRANSACTIONAL_FORMATS, History, restore_table, table_as_of, table_versions
 from sluicegate.sources.catalog import PREFIX_VARIABLE
 from sluicegate.sources.files import SharedFiles
 
@@ -72,18 +74,64 @@ def versions(spark, target):
     return SharedFiles(spark).names(tables._folder(spark, target))
 
 
-def test_one_version_is_left(spark, layout):
+AT_ONCE = History(dt.timedelta(0))
+
+
+def test_one_version_is_left_without_history(spark, layout):
     target = layout.table("bronze", "t")
     for rows in (1, 2, 3):
-        replace_table(spark.range(rows), target)
+        replace_table(spark.range(rows), target, history=AT_ONCE)
     assert len(versions(spark, target)) == 1
 
 
+@pytest.mark.parametrize("same_schema", [True, False])
+def test_readers_keep_what_they_opened(spark, layout, same_schema):
+    target = layout.table("bronze", "t")
+    replace_table(spark.range(100), target)
+    reader = spark.table(target.sql).where("id % 2 = 0")
+    following = spark.range(3) if same_schema else spark.range(3).selectExpr("id", "'x' AS more")
+    replace_table(following, target)
+    replace_table(following, target)
+    assert reader.count() == 50
+    assert spark.table(target.sql).count() == 3
+
+
+def test_reading_as_of_a_moment(spark, layout):
+    target = layout.table("bronze", "t")
+    before = dt.datetime.now(dt.UTC)
+    moments = []
+    for rows, more, kind in ((1, "id", "parquet"), (2, "id, 'x' AS more", "parquet"), (3, "id", "orc")):
+        replace_table(spark.range(rows).selectExpr(*more.split(", ")), target, kind)
+        moments.append(dt.datetime.now(dt.UTC))
+    found = [table_as_of(spark, target, moment) for moment in moments]
+    assert [df.count() for df in found] == [1, 2, 3]
+    assert [df.columns for df in found] == [["id"], ["id", "more"], ["id"]]
+    assert table_as_of(spark, target, moments[0].replace(tzinfo=None)).count() == 1
+    with pytest.raises(LookupError):
+        table_as_of(spark, target, before)
+    listed = table_versions(spark, target).orderBy("written").collect()
+    assert [row.is_present for row in listed] == [False, False, True]
+    assert listed[0].replaced < listed[1].replaced and listed[2].replaced is None
+
+
+def test_history_is_bounded(spark, layout):
+    target = layout.table("bronze", "t")
+    for rows in range(1, 6):
+        replace_table(spark.range(rows), target, history=History(most=2))
+    assert table_versions(spark, target).count() == 3
+    folders = [name for name in versions(spark, target) if not name.startswith("_")]
+    assert len(folders) == 3 and len(versions(spark, target)) == 5  # and the marks of two
+    replace_table(spark.range(9), target, history=History(most=0))
+    assert len(versions(spark, target)) == 1
+    with pytest.raises(LookupError):
+        table_as_of(spark, layout.table("bronze", "no_such_table"), dt.datetime.now(dt.UTC))
+
+
 def test_leftovers_of_a_killed_writer_are_no_obstacle(spark, layout):
     target = layout.table("bronze", "t")
     replace_table(spark.range(1), target)
     SharedFiles(spark).make_dir(f"{tables._folder(spark, target)}/{'0' * 32}/_temporary/0")
-    replace_table(spark.range(4), target)
+    replace_table(spark.range(4), target, history=AT_ONCE)
     assert spark.table(target.sql).count() == 4
     assert len(versions(spark, target)) == 1
 
@@ -107,7 +155,7 @@ def test_a_crash_at_any_step_leaves_an_old_or_a_new_table(spark, layout, monkeyp
             pass
     restore_table(spark, target)
     assert spark.table(target.sql).count() in (5, 2)
-    replace_table(following, target)
+    replace_table(following, target, history=AT_ONCE)
     assert spark.table(target.sql).count() == 2
     assert len(versions(spark, target)) == 1
 
