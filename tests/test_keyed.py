@@ -1,0 +1,132 @@
+"""Keyed tables: what an upsert changes, what it leaves, and what it shuffles."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluicegate.sinks import keyed, tables
+from sluicegate.sinks.keyed import Keyed, create_keyed, drop_keyed, keyed_as_of, merge, upsert
+from sluicegate.sinks.tables import History
+from sluicegate.sources.files import SharedFiles
+
+LAYOUT = Keyed(("id",), buckets=4, shard="id div 100")
+
+
+def rows_of(spark, target):
+    return sorted(map(tuple, spark.table(target.sql).collect()))
+
+
+def numbered(spark, start, end, value):
+    return spark.range(start, end).select("id", F.lit(value).alias("v"))
+
+
+def files_of(spark, target):
+    return {row.f for row in spark.table(target.sql).select(F.input_file_name().alias("f")).distinct().collect()}
+
+
+def test_upsert_replaces_and_adds(spark, layout):
+    target = layout.table("silver", "People")
+    create_keyed(numbered(spark, 0, 400, "old"), target, LAYOUT)
+    before = files_of(spark, target)
+    done = upsert(numbered(spark, 350, 450, "new").select("v", "id"), target)
+    assert done == {"n_shards": 5, "n_rewritten": 2}
+    expected = [(i, "old") for i in range(350)] + [(i, "new") for i in range(350, 450)]
+    assert rows_of(spark, target) == expected
+    assert spark.table(target.sql).columns == ["id", "v"]
+    # The files of the shards without a delivered key are the same.
+    kept = {name for name in before if "_shard=3" not in name}
+    assert kept and kept <= files_of(spark, target)
+
+
+def test_random_upserts_equal_a_rebuild(spark, layout):
+    source = random.Random(4)
+    target, table = layout.table("silver", "t"), {}
+    shape = "a long, b string, v long"
+    division = Keyed(("a", "b"), buckets=3)
+    for step in range(4):
+        delivered = {(source.randrange(60), source.choice("xyz")): step * 1000 + i for i in range(40)}
+        rows = spark.createDataFrame([(*key, v) for key, v in delivered.items()], shape)
+        table |= delivered
+        create_keyed(rows, target, division) if step == 0 else upsert(rows, target)
+        assert rows_of(spark, target) == sorted((*key, v) for key, v in table.items())
+
+
+def test_the_stored_side_is_not_shuffled(spark, layout):
+    target = layout.table("silver", "t")
+    create_keyed(numbered(spark, 0, 400, "old"), target, LAYOUT)
+    state = keyed._present(spark, target)
+    stored = spark.table(keyed._entry(target, state).sql).where(F.col(keyed.SHARD).isin(1, 2)).select("id", "v")
+    plan = merge(stored, numbered(spark, 100, 104, "new"), LAYOUT)._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("FileScan") :].splitlines()[0]
+    assert "Bucketed: true" in scan and "PartitionFilters: [_shard" in scan.replace("cast(", "")
+    join = plan[plan.index("SortMergeJoin") : plan.index("FileScan")]
+    assert "Exchange" not in join
+
+
+def test_readers_keep_the_state_they_opened(spark, layout):
+    target = layout.table("silver", "t")
+    create_keyed(numbered(spark, 0, 300, "old"), target, LAYOUT)
+    reader, opened = spark.table(target.sql), dt.datetime.now(dt.UTC)
+    upsert(numbered(spark, 0, 10, "new"), target)
+    upsert(numbered(spark, 200, 210, "newer"), target)
+    assert {row.v for row in reader.collect()} == {"old"}
+    assert keyed_as_of(spark, target, opened).where("v <> 'old'").isEmpty()
+    assert spark.table(target.sql).where("v = 'old'").count() == 280
+    with pytest.raises(LookupError):
+        keyed_as_of(spark, target, opened - dt.timedelta(hours=1))
+
+
+def test_files_without_a_state_go(spark, layout):
+    target = layout.table("silver", "t")
+    at_once = History(dt.timedelta(0))
+    create_keyed(numbered(spark, 0, 300, "old"), target, LAYOUT)
+    for value in ("a", "b"):
+        upsert(numbered(spark, 0, 10, value), target, at_once)
+    assert len(keyed._states(spark, target)) == 1
+    folder = tables._folder(spark, target)
+    files = SharedFiles(spark)
+    held = sorted(name for state in files.names(folder) for name in files.names(f"{folder}/{state}") if name.startswith("_shard="))
+    assert held == ["_shard=0", "_shard=1", "_shard=2"]
+    assert spark.table(target.sql).count() == 300
+    drop_keyed(spark, target)
+    assert not files.exists(folder) and not spark.catalog.tableExists(target.sql)
+
+
+def test_a_crash_before_the_view_changes_nothing(spark, layout, monkeypatch):
+    target = layout.table("silver", "t")
+    create_keyed(numbered(spark, 0, 200, "old"), target, LAYOUT)
+
+    class Killed(BaseException):
+        pass
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_text", lambda value: (_ for _ in ()).throw(Killed()))
+        with pytest.raises(Killed):
+            upsert(numbered(spark, 0, 5, "lost"), target)
+    assert spark.table(target.sql).where("v = 'lost'").isEmpty()
+    upsert(numbered(spark, 0, 5, "new"), target)
+    assert spark.table(target.sql).where("v = 'new'").count() == 5
+    assert len(keyed._states(spark, target)) == 2
+
+
+def test_refused_deliveries(spark, layout):
+    target = layout.table("silver", "t")
+    with pytest.raises(LookupError):
+        upsert(numbered(spark, 0, 5, "x"), target)
+    create_keyed(numbered(spark, 0, 200, "old"), target, LAYOUT)
+    with pytest.raises(ValueError, match="null"):
+        upsert(spark.createDataFrame([(None, "x")], "id long, v string"), target)
+    assert upsert(numbered(spark, 0, 0, "x"), target) == {"n_shards": 2, "n_rewritten": 0}
+    assert spark.table(target.sql).count() == 200
+
+
+def test_an_empty_table_takes_rows(spark, layout):
+    target = layout.table("silver", "t")
+    create_keyed(numbered(spark, 0, 0, "x"), target, LAYOUT)
+    assert spark.table(target.sql).count() == 0
+    upsert(numbered(spark, 5, 8, "x"), target)
+    assert rows_of(spark, target) == [(5, "x"), (6, "x"), (7, "x")]
