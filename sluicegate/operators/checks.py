@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from sluicegate.config import quote
 from sluicegate.functions.parsing import as_moment, iso_midnight, moment_text, whole_number
+from sluicegate.sources.footers import states_range
 
 
 @dataclass(frozen=True)
@@ -83,12 +84,28 @@ def distinct_count(df: DataFrame, column: Column) -> DataFrame:
     return df.select(column).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
+def distinct_whole_numbers(df: DataFrame, column: Column) -> DataFrame:
+    """:func:`distinct_count` of whole numbers, without shuffling them.
+
+    A value is a bit of the bitmap of its 64 neighbours, which fits into one number. Map tasks join the bits, so
+    at most one row for 64 neighbouring values leaves a task, and one for a single value where there are gaps. Bitmaps of
+    32,768 values, 4 KB each, would have to be sorted together in the map tasks, and cost 4 KB for a single value.
+    """
+    ids = df.select(column.cast("bigint").alias("id"))
+    words = ids.selectExpr("shiftright(id, 6) AS word", "shiftleft(1L, cast(id & 63 AS int)) AS bit")
+    bits = words.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    counts = F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)) + F.count_if(F.col("word").isNull())
+    return bits.agg(counts.alias("n_distinct"))
+
+
 def measure(
     df: DataFrame,
     id_col: str | None = None,
     date_col: str | None = None,
     table: str | None = None,
     one_scan: bool = False,
+    footers: DataFrame | None = None,
+    bitmaps: bool = False,
 ) -> DataFrame:
     """Measure a table in one job: ``[table_name,] key, actual_count, actual_moment, actual_text``.
 
@@ -97,6 +114,9 @@ def measure(
     are shuffled by id; a date kept as text would otherwise force a sort of the whole table.
     ``one_scan`` joins the branches instead, for formats such as CSV where reading a column means
     parsing the whole file.
+    ``footers``, the same table as a :func:`footer_frame`, answers the row count without reading data, and the
+    date range too where footers state it. With ``bitmaps`` whole numbers are counted as bits and not
+    shuffled as ids.
     Minimum and maximum are taken on the column as it is, and converted afterwards.
     """
     label = F.lit(table).cast("string").alias("table_name")
@@ -110,20 +130,33 @@ def measure(
             per_id += [latest.alias("latest"), earliest.alias("earliest")]
         source = df.groupBy(identified[0].alias("id")).agg(*per_id)
         n_rows, latest, earliest = F.coalesce(F.sum("n_rows"), F.lit(0)), F.max("latest"), F.min("earliest")
-    totals = [label, n_rows.alias("n_rows"), F.lit(len(df.columns)).cast("bigint").alias("n_mbrs")]
+    totals = [n_rows.alias("n_rows"), F.lit(len(df.columns)).cast("bigint").alias("n_mbrs")]
     rows = [_row(key, count=key) for key in ("n_rows", "n_mbrs")]
+    ranges, range_rows = [], []
     if dated:
         for key, value in zip(DATE_CHECKS, (latest, earliest), strict=True):
-            totals += [as_moment(value, dated[1]).alias(key), value.cast("string").alias(f"{key}_text")]
-            rows.append(_row(key, moment=key, text=f"{key}_text"))
+            ranges += [as_moment(value, dated[1]).alias(key), value.cast("string").alias(f"{key}_text")]
+            range_rows.append(_row(key, moment=key, text=f"{key}_text"))
     id_row = _row("n_unique_id", count="n_distinct")
     if identified and one_scan:
         totals.append(F.count(F.lit(1)).alias("n_distinct"))
         rows.append(id_row)
-    measured = source.agg(*totals).selectExpr(f"inline(array({', '.join(rows)}))")
+    elif footers is not None:
+        source = footers
+    # A range that footers do not state is read from the data, in a branch of its own.
+    apart = bool(dated) and source is footers and not states_range(dated[1])
+    branches = [(source, totals, rows), (df, ranges, range_rows)] if apart else [(source, totals + ranges, rows + range_rows)]
     if identified and not one_scan:
-        ids = distinct_count(df, identified[0]).select("*", label)
-        measured = measured.union(ids.selectExpr(f"inline(array({id_row}))"))
+        whole = bitmaps and isinstance(identified[1], T.IntegralType)
+        count_ids = distinct_whole_numbers if whole else distinct_count
+        branches.append((count_ids(df, identified[0]), None, [id_row]))
+    measured = reduce(
+        DataFrame.union,
+        [
+            (frame.select("*", label) if figures is None else frame.agg(label, *figures)).selectExpr(f"inline(array({', '.join(shown)}))")
+            for frame, figures, shown in branches
+        ],
+    )
     return measured.drop("table_name") if table is None else measured
 
 
@@ -199,26 +232,33 @@ def check_tables(
     frames: dict[str, DataFrame],
     expectations: dict[str, dict[str, str | None]],
     one_scan: bool = False,
+    footers: dict[str, DataFrame] | None = None,
+    bitmaps: bool = False,
 ) -> DataFrame:
     """Report of every triggered check on every table, as one job.
 
-    Columns that no check asks for are not measured.
+    Columns that no check asks for are not measured. For ``footers`` and ``bitmaps`` see :func:`measure`.
     """
     measured = []
     for table, df in frames.items():
         known = expectations[table]
         id_col = known.get("id_col") if "n_unique_id" in known else None
         date_col = known.get("date_col") if any(key in known for key in DATE_CHECKS) else None
-        measured.append(measure(df, id_col, date_col, table, one_scan))
+        measured.append(measure(df, id_col, date_col, table, one_scan, (footers or {}).get(table), bitmaps))
     spark = next(iter(frames.values())).sparkSession
     return compare(reduce(DataFrame.union, measured), expected_frame(spark, expectations))
 
 
 def check_table(
-    df: DataFrame, table: str, known: dict[str, str | None], one_scan: bool = False
+    df: DataFrame,
+    table: str,
+    known: dict[str, str | None],
+    one_scan: bool = False,
+    footers: DataFrame | None = None,
+    bitmaps: bool = False,
 ) -> DataFrame:
     """Report of every triggered check on one table."""
-    return check_tables({table: df}, {table: known}, one_scan)
+    return check_tables({table: df}, {table: known}, one_scan, None if footers is None else {table: footers}, bitmaps)
 
 
 def report_line() -> Column:

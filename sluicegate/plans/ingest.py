@@ -9,8 +9,9 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sluicegate.config import IngestSettings
 from sluicegate.errors import GateFailure, LogWriteFailed, MetaUnreadable, NoDataFiles, StepFailed
@@ -20,7 +21,9 @@ from sluicegate.operators.schema import require_every_column, require_schema
 from sluicegate.sinks.runlog import RunLog
 from sluicegate.sinks.tables import replace_table, restore_table
 from sluicegate.sources.files import SharedFiles, run_each
+from sluicegate.sources.footers import footer_frame
 from sluicegate.sources.landing import Landing, dropped_columns, read_chunks
+from sluicegate.sources.quarantine import split_lines
 
 SUCCESS = "success"
 
@@ -79,6 +82,7 @@ class Ingest:
         self.landing = Landing(spark, settings.landing_path, shared)
         self.day = settings.archive_day or dt.date.today()
         self._log_errors: list[LogWriteFailed] = []
+        self._staged: dict[str, str] = {}  # lines of tables that are worked on
 
     def run(self, tables: list[str]) -> dict[str, str]:
         """Ingest the requested tables; gives ``success`` or the error text by table name.
@@ -181,6 +185,8 @@ class Ingest:
             self._note("failure", EXTRACT, f"'{table}' was not ingested: {error}")
             return str(error)
         finally:
+            if table in self._staged:
+                self.landing.shared.delete(self._staged.pop(table))
             self._flush(wait=False)
 
     def _ingest(self, work: TableWork) -> None:
@@ -200,7 +206,7 @@ class Ingest:
             df = self._read(work)
         self._gate(df, work)
         with self._step(WRITE, f"replacing {target}"):
-            replace_table(df, target, self.settings.table_format)
+            replace_table(df, target, self.settings.table_format, self.settings.history)
         self._note(SUCCESS, WRITE, f"{target} was replaced")
         with self._step(ARCHIVE, f"archiving files of '{table}'"):
             self.landing.shared.move_all(work.moves[:-1], work.moves[-1:])
@@ -209,6 +215,8 @@ class Ingest:
 
     def _read(self, work: TableWork) -> DataFrame:
         settings, schema = self.settings, self.settings.table_schemas.get(work.table)
+        if settings.quarantine_path and schema and settings.file_format in ("csv", "json"):
+            return self._read_lines(work, schema)
         typed = settings.file_format in COLUMNAR_FORMATS  # the files know their schema
         # With a schema to enforce, the columns of all footers count, whatever the order of files.
         df = read_chunks(
@@ -229,13 +237,23 @@ class Ingest:
                 self._note("warning", READ_CHUNKS, message)
         return df
 
+    def _read_lines(self, work: TableWork, schema: StructType) -> DataFrame:
+        """The lines that fit the schema; the others go to a folder of this run, and a warning counts them."""
+        settings = self.settings
+        run = f"{settings.quarantine_path}{work.table}/{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}"
+        self._staged[work.table] = f"{run}-lines"
+        split = split_lines(self.spark, work.paths, settings.file_format, schema, f"{run}-lines", settings.file_options)
+        if not split.broken.isEmpty():
+            split.broken.write.parquet(f"{run}-broken")
+            n_broken = self.spark.read.parquet(f"{run}-broken").count()
+            self._note("warning", READ_CHUNKS, f"'{work.table}': {n_broken} broken lines are in {run}-broken")
+        return split.good
+
     def _gate(self, df: DataFrame, work: TableWork) -> None:
         """Measure in one job, log every check, and raise unless all passed."""
         table = work.table
         with self._step(READ_CHUNKS, f"measuring chunks of '{table}'"):
-            one_scan = self.settings.file_format not in COLUMNAR_FORMATS
-            verdict = verdicts(check_table(df, table, work.known, one_scan))
-            [verdict] = verdict.select("*", report_text(F.lit(table)).alias("text")).collect()
+            verdict = self._verdict(df, work)
         n_rows = [row.actual for row in verdict.results if row.check_name == CHECKS[0].name]
         rows = f", {n_rows[0]} rows" if n_rows else ""
         self._note(SUCCESS, READ_CHUNKS, f"'{table}' was read: {len(work.paths)} chunks{rows}")
@@ -245,6 +263,23 @@ class Ingest:
             raise GateFailure(table, verdict.text, verdict.results)
         self._note(SUCCESS, VALIDATE, f"'{table}' passes {verdict.n_checks} checks")
 
+    def _verdict(self, df: DataFrame, work: TableWork) -> Row:
+        """The tally of a table's checks, from one job."""
+        settings = self.settings
+
+        def tally(footers: DataFrame | None) -> Row:
+            one_scan = settings.file_format not in COLUMNAR_FORMATS and not settings.quarantine_path
+            report = check_table(df, work.table, work.known, one_scan, footers, settings.bitmaps)
+            return verdicts(report).select("*", report_text(F.lit(work.table)).alias("text")).first()
+
+        if not settings.footers or settings.file_format != "parquet":
+            return tally(None)
+        try:
+            return tally(footer_frame(self.spark, work.paths, settings.merge_schema))
+        except Exception as error:  # noqa: BLE001 - footers without figures surface as any error
+            _logger.debug("footers of %s cannot be used", work.table, exc_info=error)
+            return tally(None)
+
     def _summary(self, results: dict[str, str]) -> None:
         n_failed = sum(outcome != SUCCESS for outcome in results.values())
         self._note(
@@ -254,9 +289,9 @@ class Ingest:
         )
 
     def _note(self, status: str, step: str, message: str) -> None:
-        """Log an event; a log that cannot be written must not make a table look failed."""
+        """Log an event, written when its table is done; a log that cannot be written must not make a table look failed."""
         try:
-            self.log.event(step, status, message)
+            self.log.event(step, status, message, durable=False)
         except LogWriteFailed as error:
             self._log_errors.append(error)
 

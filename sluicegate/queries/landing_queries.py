@@ -35,10 +35,12 @@ from sluicegate.queries.staging import (
     stage_landing,
     stage_meta,
     staged_landing,
+    true_expectations,
     workspace,
 )
 from sluicegate.sinks.runlog import RunLog
-from sluicegate.sources.landing import Landing, archive_plan
+from sluicegate.sources.footers import footer_frame
+from sluicegate.sources.landing import Landing, archive_plan, read_chunks
 
 ARCHIVE_DAY = dt.date(2026, 2, 10)
 
@@ -268,7 +270,7 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- checks ---------------------------------------------------------------------------------
 
 
-def _checked_twice(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
+def _checked_twice(spark: SparkSession, sf_dir: str, *keys: str, bitmaps: bool = False) -> DataFrame:
     """Both tables measured once, and compared with the staged expectations and with shifted ones."""
     landing = staged_landing(spark, sf_dir)
     frames = landing.frames(["orders", "lineitem"])
@@ -279,7 +281,7 @@ def _checked_twice(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
         expected[f"{name}_shifted"] = columns | {key: shifted(known[key], 1) for key in keys}
         id_col = columns["id_col"] if "n_unique_id" in keys else None
         date_col = columns["date_col"] if set(keys) & set(DATE_CHECKS) else None
-        measured.append(measure(frames[name], id_col, date_col, name))
+        measured.append(measure(frames[name], id_col, date_col, name, bitmaps=bitmaps))
     labels = F.array("table_name", F.concat("table_name", F.lit("_shifted")))
     twice = reduce(DataFrame.union, measured).withColumn("table_name", F.explode(labels))
     return compare(twice, expected_frame(spark, expected))
@@ -300,6 +302,12 @@ def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _checked_twice(spark, sf_dir, "n_unique_id")
 
 
+@query(_twice_sql("n_unique_id"))
+def check_unique_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts from bitmaps, without shuffling ids."""
+    return _checked_twice(spark, sf_dir, "n_unique_id", bitmaps=True)
+
+
 @query(_twice_sql("max_date"))
 def check_max_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _checked_twice(spark, sf_dir, "max_date")
@@ -330,6 +338,19 @@ def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged_report(spark, sf_dir)
 
 
+@query(" UNION ALL ".join(_check_sql("orders", key) for key in _keys_of("orders")))
+def check_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a table whose row count and days come from the footers of its chunks."""
+    landing = f"{workspace(spark)}/landing"
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    stage_chunks(orders, landing, "orders", F.col("o_orderdate"))
+    stage_meta(spark, landing, "orders", true_expectations(orders, *STAGED["orders"]))
+    delivered = Landing(spark, landing)
+    paths = delivered.paths(["orders"])["orders"]
+    frames, footers = {"orders": read_chunks(spark, paths)}, {"orders": footer_frame(spark, paths)}
+    return check_tables(frames, delivered.expectations(["orders"]), footers=footers, bitmaps=True)
+
+
 @query(f"""
     SELECT table_name, count(*) AS n_checks, count(*) FILTER (passed) AS n_passed,
            count(*) FILTER (NOT passed) AS n_failed, bool_and(passed) AS passed

@@ -93,8 +93,14 @@ class RunLog:
         self._buffer_lock = threading.Lock()
         self._write_lock = threading.Lock()
 
-    def event(self, step: str, status: str, message: str, source: str | None = None) -> None:
-        """Record one event; a full buffer is written out, and so is a failure with all before it."""
+    def event(
+        self, step: str, status: str, message: str, source: str | None = None, durable: bool = True
+    ) -> None:
+        """Record one event; a full buffer is written out, and so is a failure with all before it.
+
+        With ``durable=False`` a failure waits like any other event, for callers that flush soon: a table
+        that fails several checks costs one append instead of one for each.
+        """
         if not step or not message:
             raise ValueError("step and message must not be empty")
         if status not in STATUSES:
@@ -103,7 +109,7 @@ class RunLog:
         row = (now.date().isoformat(), now, self.user, self.domain, self.process, step)
         with self._buffer_lock:
             self._events.append((*row, source or self.source, status, message))
-            full = status == "failure" or len(self._events) >= self._buffer_size
+            full = (durable and status == "failure") or len(self._events) >= self._buffer_size
         if full:
             self.flush()
 

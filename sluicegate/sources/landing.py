@@ -223,6 +223,13 @@ class Landing:
         ``since`` and ``until`` skip chunks whose names put them outside that range of days. Plain
         files have no days in their names and are always read.
         """
+        paths = self.paths(tables, since, until)
+        return {table: read_chunks(self.spark, paths[table], **read_options) for table in tables}
+
+    def paths(
+        self, tables: list[str], since: dt.date | None = None, until: dt.date | None = None
+    ) -> dict[str, list[str]]:
+        """The files of each table, after one listing; a table without any is an error."""
         files = self.data_files().where(F.col("table_name").isin(*tables))
         if since:
             files = files.where(F.coalesce(F.col("chunk_end") >= f"{since:%Y%m%d}", F.lit(True)))
@@ -234,9 +241,7 @@ class Landing:
         absent = [table for table in tables if not paths[table]]
         if absent:
             raise StepFailed(f"no files of {', '.join(absent)} in {self.root}")
-        return {
-            table: read_chunks(self.spark, sorted(paths[table]), **read_options) for table in tables
-        }
+        return {table: sorted(found) for table, found in paths.items()}
 
     def chunks(self, table: str, **read_options) -> DataFrame:
         """Union of one table's chunks."""
