@@ -145,17 +145,18 @@ def reference_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parted(spark: SparkSession, landing: str, file_format: str, schema: T.StructType) -> DataFrame:
-    """The good rows of staged orders, and the broken lines."""
+    """The good rows of staged orders, and the broken lines, with -1 as their keys."""
     paths = Landing(spark, landing).paths(["orders"])["orders"]
     split = split_lines(spark, paths, file_format, schema, f"{workspace(spark)}/lines")
-    good = split.good.select("o_orderkey", "o_custkey")
-    return good.unionByName(split.broken.select("line"), allowMissingColumns=True)
+    good = split.good.select("o_orderkey", "o_custkey", F.lit(None).cast("string").alias("line"))
+    no_key = F.lit(-1).cast("long")
+    return good.unionByName(split.broken.select(no_key.alias("o_orderkey"), no_key.alias("o_custkey"), "line"))
 
 
 @query("""
     SELECT o_orderkey, o_custkey, NULL AS line FROM orders WHERE o_orderkey % 10 <> 0
     UNION ALL
-    SELECT NULL, NULL, 'x' || o_orderkey || ',' || o_custkey || ',' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000')
+    SELECT -1, -1, 'x' || o_orderkey || ',' || o_custkey || ',' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000')
     FROM orders WHERE o_orderkey % 10 = 0
 """)
 def quarantine_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +172,7 @@ def quarantine_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT o_orderkey, o_custkey, NULL AS line FROM orders WHERE o_orderkey % 10 <> 0
     UNION ALL
-    SELECT NULL, NULL, '{"o_orderkey":"x' || o_orderkey || '","o_custkey":' || o_custkey || '}'
+    SELECT -1, -1, '{"o_orderkey":"x' || o_orderkey || '","o_custkey":' || o_custkey || '}'
     FROM orders WHERE o_orderkey % 10 = 0
 """)
 def quarantine_json(spark: SparkSession, sf_dir: str) -> DataFrame:
