@@ -7,14 +7,17 @@ counted on their own:
 * a node occurs as often as its edges leave it, plus as often as it ends a piece;
 * a word occurs as often as the nodes that begin with it, plus as often as it ends a piece.
 
+So every node and word has one further row that takes its ends of pieces.
+
 A node whose one edge in, one edge out and own count all agree is unary: nothing starts, ends or branches
 there. Paths through unary nodes are compacted to one row. All nodes inside a path have its weight, so
 counts are looked up for the ends of paths only, and a node inside a path is never a result of its own.
 
-Phrases that cannot reach the least count are kept out of the graph: a first pass counts hashes of nodes
-and words, and a bit filter of fixed size tells the second pass which may be frequent. Occurrences of
-other nodes still count for the words they begin with, through one edge for each word to what is left.
-The filter lets rare phrases through by chance, never the other way round, so counts are exact.
+Phrases that cannot reach the least count are kept out of the graph: a first pass counts hashes of edges,
+nodes and words, and a bit filter of fixed size tells the second pass which may be frequent. Occurrences
+of other edges and nodes still count for the nodes and words they begin with, in the row of the ends.
+The filter lets rare phrases through by chance, never the other way round, so counts are
+exact.
 
 Words are numbers in the graph, hashes of language and word. Should two frequent words share a number,
 the graph is built again with other hashes.
@@ -32,17 +35,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluicegate.llm.common import Batches, Scratch, bit_filter, chosen_by, map_batches
+from sluicegate.llm.common import Batches, Scratch, bit_filter, chosen_by, give_back, map_batches
 from sluicegate.llm.words import byte_values, mix, span_hashes, text_slices, word_spans
 
-# In place of a word's number: a rare third word, all rare nodes of a word, the end of a piece.
-OTHER, REST, END = 0, 1, 2
-# Words counted in a task before their phrases are passed on.
-CHUNK_WORDS = 1 << 21
+# In place of a number: the end of a piece, or what is too rare to have an edge or a node of its own.
+REST = 0
+# Words that a task handles at once; a longer text is handled alone.
+CHUNK_WORDS = 1 << 18
+# Hashes, and edges, that a task adds up before it passes them on; edges wait for so many more until they are added.
+HELD_CODES, HELD_EDGES = 1 << 21, 3 << 19
+WAITING_EDGES = 1 << 19
+# Hashes are counted by their first bits: a bucket and a place in it, of four bytes beyond so much text.
+BUCKET_BITS = 20
+WIDE_BYTES = 1 << 36
 # Bits of the filter of phrases that may be frequent, 16 MiB in all.
 FILTER_BITS = 27
 # Bytes of text whose hashes one group of the first pass counts.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 # Word numbers that a task remembers having named.
 MOST_NAMED = 1 << 20
 # Rows that leave a task at once.
@@ -65,12 +74,15 @@ class _Chunk(NamedTuple):
     lang: np.ndarray
     spelled: list[tuple[bytes, np.ndarray, np.ndarray]]
 
-    def word(self, at: int) -> str:
-        for data, start, end in self.spelled:
-            if at < len(start):
-                return data[start[at] : end[at]].lower().decode()
-            at -= len(start)
-        raise IndexError(at)
+    def words(self, at: np.ndarray) -> list[str]:
+        """The words at some places, spelled."""
+        firsts = np.cumsum([0, *[len(start) for _, start, _ in self.spelled]])
+        found = []
+        for part, place in zip((np.searchsorted(firsts, at, side="right") - 1).tolist(), at.tolist(), strict=True):
+            data, start, end = self.spelled[part]
+            place -= int(firsts[part])
+            found.append(data[start[place] : end[place]].lower().decode())
+        return found
 
 
 def _chunks(batches: Batches, seed: int) -> Iterator[_Chunk]:
@@ -102,7 +114,7 @@ def _chunk(parts: list[tuple]) -> _Chunk:
     salts = [int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest()) for name in names]
     lang = np.concatenate([np.array([number[name] for name in part[2]], np.int32)[part[3]] for part in parts])
     ids = mix(np.concatenate([part[0] for part in parts]) + np.array(salts, np.uint64)[lang])
-    ids[ids <= END] += np.uint64(END + 1)
+    ids[ids == REST] = 1
     return _Chunk(ids, np.concatenate([part[1] for part in parts]), names, lang, [part[4] for part in parts])
 
 
@@ -110,121 +122,164 @@ def _node_codes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * _FACTORS[0] + second * _FACTORS[1])
 
 
+def _edge_codes(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    return mix(first * _FACTORS[0] + second * _FACTORS[1] + third * _FACTORS[2])
+
+
 def _word_codes(ids: np.ndarray) -> np.ndarray:
     return mix(ids ^ _WORD)
 
 
-def _bits(codes: np.ndarray) -> np.ndarray:
-    return (codes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def _steps(followed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of words that one more word, and two more words, follow in their piece."""
+    at = np.flatnonzero(followed)
+    return at, at[followed[at + 1]]
+
 
+class _Counting(NamedTuple):
+    """How hashes are counted: in blocks of buckets, with so many bits for the place in a bucket."""
 
-def _range(blocks: int) -> tuple[int, int]:
-    """Size of a block's range of codes, and how many low bits a code loses to fit into four bytes."""
-    size = (1 << 64) // blocks + 1
-    return size, max(0, size.bit_length() - 32)
+    seed: int
+    blocks: int
+    place_bits: int
 
+    @property
+    def buckets(self) -> int:
+        """Buckets of a block."""
+        return (1 << BUCKET_BITS) // self.blocks
 
-def _counted(seed: int, blocks: int):
-    """Codes of nodes and words by block: those that a chunk has once, and the others with their counts."""
-    size, shift = _range(blocks)
+    def places(self, codes: np.ndarray) -> np.ndarray:
+        """Bits of the filter, from hashes cut to what is counted."""
+        return (codes >> np.uint64(BUCKET_BITS + self.place_bits - FILTER_BITS)).astype(np.int64)
 
-    def low(codes: np.ndarray, block: int) -> bytes:
-        return ((codes - np.uint64(block * size)) >> np.uint64(shift)).astype(np.uint32).tobytes()
+    def cut(self, codes: np.ndarray) -> np.ndarray:
+        return codes >> np.uint64(64 - BUCKET_BITS - self.place_bits)
+
+
+def _counted(how: _Counting):
+    """By block: the number of hashes in each of its buckets, their places there, and their counts."""
+    kind = np.uint16 if how.place_bits == 16 else np.uint32
+
+    def blobs(held: list[tuple]) -> pa.RecordBatch:
+        codes, counts = _added(*map(np.concatenate, zip(*held, strict=True)))
+        sizes = np.bincount((codes >> np.uint64(how.place_bits)).astype(np.int64), minlength=1 << BUCKET_BITS)
+        ends = np.r_[0, np.cumsum(sizes)][:: how.buckets].tolist()
+        sizes, places, counts = sizes.astype(np.uint16), codes.astype(kind), counts.astype(np.uint32)
+        rows = [
+            (block, sizes[block * how.buckets : (block + 1) * how.buckets], places[start:end], counts[start:end])
+            for block, (start, end) in enumerate(zip(ends[:-1], ends[1:], strict=True))
+            if end > start
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([row[0] for row in rows], pa.int32())]
+            + [pa.array([row[i].tobytes() for row in rows], pa.binary()) for i in (1, 2, 3)],
+            names=["block", "sizes", "places", "counts"],
+        )
 
     def run(batches: Batches) -> Batches:
-        for chunk in _chunks(batches, seed):
-            at = np.flatnonzero(chunk.followed)
-            codes = np.concatenate([_node_codes(chunk.ids[at], chunk.ids[at + 1]), _word_codes(chunk.ids)])
-            codes.sort()
-            starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-            counts = np.diff(np.r_[starts, len(codes)]).astype(np.uint32)
-            codes = codes[starts]
-            ends = np.searchsorted(codes, np.array([size * (i + 1) for i in range(blocks - 1)], np.uint64))
-            rows = []
-            for block, (start, end) in enumerate(zip(np.r_[0, ends], np.r_[ends, len(codes)], strict=True)):
-                if end > start:
-                    part, many = codes[start:end], counts[start:end]
-                    again = many > 1
-                    rows.append((block, low(part[~again], block), low(part[again], block), many[again].tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row[i] for row in rows], pa.binary() if i else pa.int32()) for i in range(4)],
-                names=["block", "once", "codes", "counts"],
-            )
+        held, size = [], 0
+        for chunk in _chunks(batches, how.seed):
+            ids = chunk.ids
+            one, two = _steps(chunk.followed)
+            codes = [_edge_codes(ids[two], ids[two + 1], ids[two + 2]), _node_codes(ids[one], ids[one + 1]), _word_codes(ids)]
+            codes = how.cut(np.concatenate(codes))
+            held.append(_added(codes, np.ones(len(codes), np.uint32)))
+            size += len(held[-1][0])
+            if size >= HELD_CODES:
+                yield blobs(held)
+                held, size = [], 0
+                give_back()
+        if held:
+            yield blobs(held)
+            give_back()
 
     return run
 
 
-def _frequent(blocks: int, least: int):
-    """Places in the filter of a block's codes that occur ``least`` times or more, together with their like."""
-    size, shift = _range(blocks)
+def _added(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal hashes once, sorted, with the sum of their counts."""
+    order = np.argsort(codes)
+    codes, counts = codes[order], counts[order]
+    starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    return codes[starts], np.add.reduceat(counts, starts)
+
+
+def _frequent(how: _Counting, least: int):
+    """Bits of the filter of a block's hashes that occur ``least`` times or more, together with their like."""
+    kind = np.uint16 if how.place_bits == 16 else np.uint32
+    numbers = np.arange(how.buckets, dtype=np.uint64) << np.uint64(how.place_bits)
 
     def run(key: tuple, part: pa.Table) -> pa.Table:
-        def joined(name: str) -> np.ndarray:
-            return np.concatenate([np.frombuffer(b, np.uint32) for b in part.column(name).to_pylist()])
-
-        once = joined("once")
-        low = np.concatenate([once, joined("codes")])
-        counts = np.concatenate([np.ones(len(once), np.int64), joined("counts").astype(np.int64)])
-        order = np.argsort(low, kind="stable")
-        low, counts = low[order], counts[order]
-        starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
-        often = low[starts[np.add.reduceat(counts, starts) >= least]] if len(low) else low
-        # All codes that share the kept bits lie in one or two places of the filter.
-        first = (often.astype(np.uint64) << np.uint64(shift)) + np.uint64(key[0].as_py() * size)
-        last = first + np.uint64((1 << shift) - 1)
-        places = np.unique(np.concatenate([_bits(first), _bits(np.maximum(first, last))]))
-        return pa.table({"place": pa.array(places, pa.int64())})
+        codes, counts = [], []
+        for row in part.select(["sizes", "places", "counts"]).to_pylist():
+            bucket = np.repeat(numbers, np.frombuffer(row["sizes"], np.uint16))
+            codes.append(bucket | np.frombuffer(row["places"], kind).astype(np.uint64))
+            counts.append(np.frombuffer(row["counts"], np.uint32))
+        added, sums = _added(np.concatenate(codes), np.concatenate(counts).astype(np.int64))
+        first = np.uint64(key[0].as_py() * how.buckets << how.place_bits)
+        return pa.table({"place": pa.array(np.unique(how.places(added[sums >= least] + first)), pa.int64())})
 
     return run
 
 
-def _edges(seed: int, shared):
-    """Weighted edges of a chunk, the names of words that may be frequent, and words by language."""
+def _edges(how: _Counting, shared):
+    """Weighted edges, the names of words that may be frequent, and words by language."""
 
     def run(batches: Batches) -> Batches:
         def frequent(codes: np.ndarray) -> np.ndarray:
-            return chosen_by(shared.value, _bits(codes))
+            return chosen_by(shared.value, how.places(how.cut(codes)))
 
-        named = np.zeros(0, np.uint64)
-        for chunk in _chunks(batches, seed):
-            ids, followed = chunk.ids, chunk.followed
+        named, sums, waiting, size = np.zeros(0, np.uint64), None, [], 0
+        for chunk in _chunks(batches, how.seed):
+            ids = chunk.ids
             known = frequent(_word_codes(ids))
-            second = np.full(len(ids), END, np.uint64)
-            third = second.copy()
-            at = np.flatnonzero(followed)
-            second[at] = ids[at + 1]
-            third[at] = second[at + 1]
-            kept = frequent(_node_codes(ids[at], ids[at + 1]))
-            second[at[~kept]] = REST
-            # The third word is the one after next, even where the next node is rare.
-            after = at[followed[at + 1]] if len(at) else at
-            third[after] = np.where(known[after + 2], ids[after + 2], np.uint64(OTHER))
-            third[~followed] = OTHER
-            third[at[~kept]] = OTHER
-            a, b, c, weight = _summed(ids[known], second[known], third[known])
-            for start in range(0, len(a), OUT_ROWS):
-                part = slice(start, start + OUT_ROWS)
-                yield _rows(a[part], b[part], c[part], weight[part])
+            one, two = _steps(chunk.followed)
+            second, third = np.full((2, len(ids)), REST, np.uint64)
+            node = one[frequent(_node_codes(ids[one], ids[one + 1]))]
+            second[node] = ids[node + 1]
+            edge = two[frequent(_edge_codes(ids[two], ids[two + 1], ids[two + 2]))]
+            third[edge] = np.where(second[edge] == REST, np.uint64(REST), ids[edge + 2])
+            waiting.append(_summed(ids[known], second[known], third[known], np.ones(known.sum(), np.int64)))
+            size += len(waiting[-1][0])
+            if size >= WAITING_EDGES:
+                sums, waiting, size = _joined(sums, waiting), [], 0
+                if len(sums[0]) >= HELD_EDGES:
+                    yield from _edge_rows(sums)
+                    sums = None
+                give_back()
             numbers, first = np.unique(ids[known], return_index=True)
             fresh = ~np.isin(numbers, named, assume_unique=True)
             numbers, first = numbers[fresh], np.flatnonzero(known)[first[fresh]]
             named = np.union1d(named, numbers) if len(named) < MOST_NAMED else numbers
-            words = [chunk.word(i) for i in first.tolist()]
-            yield _rows(numbers, langs=[chunk.langs[i] for i in chunk.lang[first]], words=words)
+            yield _rows(numbers, langs=[chunk.langs[i] for i in chunk.lang[first]], words=chunk.words(first))
             totals = np.bincount(chunk.lang, minlength=len(chunk.langs))
             yield _rows(weight=totals, langs=chunk.langs)
+        yield from _edge_rows(_joined(sums, waiting))
+        give_back()
 
     return run
 
 
-def _summed(a: np.ndarray, b: np.ndarray, c: np.ndarray):
-    """Equal triples once, with their number."""
-    order = np.argsort(mix(a * _FACTORS[0] + b * _FACTORS[1] + c * _FACTORS[2]))
-    a, b, c = a[order], b[order], c[order]
+def _joined(sums: tuple | None, waiting: list[tuple]) -> tuple:
+    parts = waiting if sums is None else [sums, *waiting]
+    return _summed(*map(np.concatenate, zip(*parts, strict=True))) if parts else (np.zeros(0, np.uint64),) * 4
+
+
+def _edge_rows(sums: tuple) -> Iterator[pa.RecordBatch]:
+    a, b, c, weight = sums
+    for start in range(0, len(a), OUT_ROWS):
+        part = slice(start, start + OUT_ROWS)
+        yield _rows(a[part], b[part], c[part], weight[part])
+
+
+def _summed(a: np.ndarray, b: np.ndarray, c: np.ndarray, weight: np.ndarray):
+    """Equal triples once, with the sum of their weights."""
+    order = np.argsort(_edge_codes(a, b, c))
+    a, b, c, weight = a[order], b[order], c[order], weight[order]
     if not len(a):
-        return a, b, c, a
+        return a, b, c, weight
     starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])])
-    return a[starts], b[starts], c[starts], np.diff(np.r_[starts, len(a)])
+    return a[starts], b[starts], c[starts], np.add.reduceat(weight, starts)
 
 
 _ROWS = "a long, b long, c long, weight long, lang string, word string"
@@ -247,15 +302,16 @@ class Graph:
         self.texts = df.select(df[text_col].alias("text"), lang.alias("lang"))
         self.scratch = Scratch(self.spark)
         size = self.texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        self.blocks = max(2 * int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
-        seed = 1
-        while not self._build(seed):
-            seed += 1
+        wanted = max(2 * int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
+        how = _Counting(1, 1 << min(BUCKET_BITS, (wanted - 1).bit_length()), 16 if size < WIDE_BYTES else 32)
+        while not self._build(how):
+            how = how._replace(seed=how.seed + 1)
 
-    def _build(self, seed: int) -> bool:
+    def _build(self, how: _Counting) -> bool:
         """Whether every frequent word got a number of its own."""
-        shared = self.spark.sparkContext.broadcast(self._filter(seed))
-        rows = map_batches(self.texts, _edges(seed, shared), _ROWS)
+        seed = how.seed
+        shared = self.spark.sparkContext.broadcast(self._filter(how))
+        rows = map_batches(self.texts, _edges(how, shared), _ROWS)
         summed = rows.groupBy("a", "b", "c", "lang", "word").agg(F.sum("weight").alias("weight"))
         graph = self.scratch.table(summed, f"graph_{seed}")
         shared.unpersist()
@@ -263,7 +319,7 @@ class Graph:
         names = graph.where("word IS NOT NULL").select("a", "lang", "word")
         flows = graph.where("a IS NOT NULL AND word IS NULL").select("a", "b", "c", "weight")
         # Node flow: what leaves a node and what ends there; a word's nodes and what ends with it.
-        nodes = flows.where(f"b NOT IN ({REST}, {END})").groupBy("a", "b").agg(F.sum("weight").alias("f"))
+        nodes = flows.where(f"b <> {REST}").groupBy("a", "b").agg(F.sum("weight").alias("f"))
         words = flows.groupBy("a").agg(F.sum("weight").alias("f"))
         frequent = words.where(F.col("f") >= self.least).join(names, "a")
         self.words = self.scratch.table(frequent.withColumnRenamed("a", "id"), f"words_{seed}")
@@ -271,13 +327,12 @@ class Graph:
             self.scratch.drop(*list(self.scratch.names))
             return False
         self.nodes = self.scratch.table(nodes.where(F.col("f") >= self.least), "nodes")
-        real = f"c NOT IN ({OTHER}, {END}) AND b NOT IN ({REST}, {END})"
-        self.edges = self.scratch.table(flows.where(real).where(F.col("weight") >= self.least), "edges")
+        self.edges = self.scratch.table(flows.where(f"c <> {REST}").where(F.col("weight") >= self.least), "edges")
         return True
 
-    def _filter(self, seed: int) -> bytes:
-        counted = map_batches(self.texts, _counted(seed, self.blocks), "block int, once binary, codes binary, counts binary")
-        places = counted.groupBy("block").applyInArrow(_frequent(self.blocks, self.least), "place long")
+    def _filter(self, how: _Counting) -> bytes:
+        counted = map_batches(self.texts, _counted(how), "block int, sizes binary, places binary, counts binary")
+        places = counted.groupBy("block").applyInArrow(_frequent(how, self.least), "place long")
         return bit_filter(places, 1 << FILTER_BITS)
 
     def unary(self) -> DataFrame:

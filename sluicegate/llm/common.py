@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluicegate.llm import words
 from sluicegate.queries.staging import workspace
 from sluicegate.sources.files import SharedFiles
 
@@ -81,9 +84,28 @@ def kept(make: Callable[..., Kept], *arguments: Any) -> Kept:
     return _kept[key]
 
 
+_ran = ""
+
+
 def forget_others(module: str) -> None:
+    """Give back what another module's tasks left in this worker: its tables, and memory that is free."""
+    global _ran
+    if _ran == module:
+        return
+    _ran = module
     if any(key[0] != module for key in _kept):
         _kept.clear()
+    words.forget()
+    gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system. The C library keeps it unless asked; only glibc has such a call."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def parts(batches: Batches, rows: int = 1024) -> Batches:

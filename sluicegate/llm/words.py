@@ -42,6 +42,11 @@ def _power(count: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:count], _powers["down"]
 
 
+def forget() -> None:
+    """Drop the powers; they are made again when needed."""
+    _powers.clear()
+
+
 def word_hashes(data: np.ndarray, bounds: np.ndarray, marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of every word, in order.
 

@@ -75,9 +75,12 @@ def test_equals_counting_phrases(spark, least, percent, top):
     assert sorted(map(tuple, found.collect())) == sorted(expected(rows, least, percent, top))
 
 
-def test_small_chunks_give_the_same(spark, monkeypatch):
+@pytest.mark.parametrize("wide", [False, True])
+def test_many_blocks_and_wide_places_give_the_same(spark, monkeypatch, wide):
     rows = some_rows(9)
     monkeypatch.setattr(module, "BLOCK_BYTES", 64)
+    if wide:
+        monkeypatch.setattr(module, "WIDE_BYTES", 0)
     found = collocations(frame(spark, rows), 3)
     assert sorted(map(tuple, found.collect())) == sorted(expected(rows, 3, 50, 2000))
 
@@ -125,3 +128,45 @@ def test_shared_numbers_are_noticed(spark, monkeypatch):
     assert len(set(next(module._chunks(iter([batch]), 1)).ids.tolist())) == 1
     assert len(set(next(module._chunks(iter([batch]), 2)).ids.tolist())) == 2
     assert tried == [1, 2]
+
+
+def test_passing_rows_on_early_gives_the_same(monkeypatch):
+    """What tasks hold changes how often edges come, not their sum."""
+    texts = {"text": [row[1] for row in some_rows(5)], "lang": [row[2] or "und" for row in some_rows(5)]}
+    batch = pa.RecordBatch.from_pydict(texts)
+
+    class Everything:
+        value = b"\xff" * (1 << (module.FILTER_BITS - 3))
+
+    found = []
+    for chunk, held in ((1 << 20, 1 << 20), (50, 30), (1, 1)):
+        monkeypatch.setattr(module, "CHUNK_WORDS", chunk)
+        monkeypatch.setattr(module, "HELD_EDGES", held)
+        monkeypatch.setattr(module, "WAITING_EDGES", held // 2)
+        sums = Counter()
+        for rows in module._edges(module._Counting(1, 4, 16), Everything)(iter([batch.slice(0, 70), batch.slice(70)])):
+            for row in rows.to_pylist():
+                if row["word"] is None:
+                    sums[row["a"], row["b"], row["c"], row["lang"]] += row["weight"]
+        found.append(sums)
+    assert found[0] == found[1] == found[2]
+
+
+def test_counted_hashes_come_back(monkeypatch):
+    monkeypatch.setattr(module, "HELD_CODES", 100)
+    batch = pa.RecordBatch.from_pydict({"text": [row[1] for row in some_rows(6)], "lang": ["en"] * 120})
+    how = module._Counting(1, 8, 16)
+    rows = pa.Table.from_batches(list(module._counted(how)(iter([batch]))))
+    blocks = rows.column("block").to_numpy()
+    places = set()
+    for block in set(blocks.tolist()):
+        part = rows.filter(pa.array(blocks == block))
+        places |= set(module._frequent(how, 5)((pa.scalar(block),), part).column("place").to_pylist())
+    chunk = next(module._chunks(iter([batch]), 1))
+    one, two = module._steps(chunk.followed)
+    ids = chunk.ids
+    codes = np.concatenate(
+        [module._edge_codes(ids[two], ids[two + 1], ids[two + 2]), module._node_codes(ids[one], ids[one + 1]), module._word_codes(ids)]
+    )
+    cut, counts = np.unique(how.cut(codes), return_counts=True)
+    assert places == set(how.places(cut[counts >= 5]).tolist())
