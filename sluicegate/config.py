@@ -86,7 +86,7 @@ class IngestSettings:
             are read; CSV and JSON files are read with it, and without it Spark infers one.
         footers: measure row counts, and ranges of dates, from the footers of parquet files; a file whose footer
             does not state them is read.
-        bitmaps: count distinct ids that are whole numbers as bits, instead of shuffling them.
+        bitmaps: count distinct ids that are whole numbers as bits; without it they are shuffled.
         quarantine_path: directory that takes the broken lines of CSV and JSON files with a schema, in a folder
             for each table and run; without it a broken line fails its table.
         history: how long replaced bronze tables stay readable.
@@ -104,7 +104,7 @@ class IngestSettings:
     merge_schema: bool = False
     table_schemas: dict[str, StructType] = field(default_factory=dict)
     footers: bool = False
-    bitmaps: bool = False
+    bitmaps: bool = True
     quarantine_path: str | None = None
     history: History = History()
     parallel_tables: int = 4

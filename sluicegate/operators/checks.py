@@ -105,7 +105,7 @@ def measure(
     table: str | None = None,
     one_scan: bool = False,
     footers: DataFrame | None = None,
-    bitmaps: bool = False,
+    bitmaps: bool = True,
 ) -> DataFrame:
     """Measure a table in one job: ``[table_name,] key, actual_count, actual_moment, actual_text``.
 
@@ -115,8 +115,8 @@ def measure(
     ``one_scan`` joins the branches instead, for formats such as CSV where reading a column means
     parsing the whole file.
     ``footers``, the same table as a :func:`footer_frame`, answers the row count without reading data, and the
-    date range too where footers state it. With ``bitmaps`` whole numbers are counted as bits and not
-    shuffled as ids.
+    date range too where footers state it. Without ``bitmaps`` whole numbers are shuffled as ids of other
+    types are, instead of being counted as bits.
     Minimum and maximum are taken on the column as it is, and converted afterwards.
     """
     label = F.lit(table).cast("string").alias("table_name")
@@ -233,7 +233,7 @@ def check_tables(
     expectations: dict[str, dict[str, str | None]],
     one_scan: bool = False,
     footers: dict[str, DataFrame] | None = None,
-    bitmaps: bool = False,
+    bitmaps: bool = True,
 ) -> DataFrame:
     """Report of every triggered check on every table, as one job.
 
@@ -255,7 +255,7 @@ def check_table(
     known: dict[str, str | None],
     one_scan: bool = False,
     footers: DataFrame | None = None,
-    bitmaps: bool = False,
+    bitmaps: bool = True,
 ) -> DataFrame:
     """Report of every triggered check on one table."""
     return check_tables({table: df}, {table: known}, one_scan, None if footers is None else {table: footers}, bitmaps)

@@ -270,7 +270,7 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- checks ---------------------------------------------------------------------------------
 
 
-def _checked_twice(spark: SparkSession, sf_dir: str, *keys: str, bitmaps: bool = False) -> DataFrame:
+def _checked_twice(spark: SparkSession, sf_dir: str, *keys: str, bitmaps: bool = True) -> DataFrame:
     """Both tables measured once, and compared with the staged expectations and with shifted ones."""
     landing = staged_landing(spark, sf_dir)
     frames = landing.frames(["orders", "lineitem"])
@@ -299,13 +299,14 @@ def check_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_twice_sql("n_unique_id"))
 def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _checked_twice(spark, sf_dir, "n_unique_id")
+    """Ids counted as any type of id is, by shuffling distinct ones."""
+    return _checked_twice(spark, sf_dir, "n_unique_id", bitmaps=False)
 
 
 @query(_twice_sql("n_unique_id"))
 def check_unique_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same counts from bitmaps, without shuffling ids."""
-    return _checked_twice(spark, sf_dir, "n_unique_id", bitmaps=True)
+    """The same counts from bitmaps, without shuffling ids: the usual way for whole numbers."""
+    return _checked_twice(spark, sf_dir, "n_unique_id")
 
 
 @query(_twice_sql("max_date"))
@@ -348,7 +349,7 @@ def check_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivered = Landing(spark, landing)
     paths = delivered.paths(["orders"])["orders"]
     frames, footers = {"orders": read_chunks(spark, paths)}, {"orders": footer_frame(spark, paths)}
-    return check_tables(frames, delivered.expectations(["orders"]), footers=footers, bitmaps=True)
+    return check_tables(frames, delivered.expectations(["orders"]), footers=footers)
 
 
 @query(f"""
