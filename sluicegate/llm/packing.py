@@ -18,16 +18,50 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sluicegate.llm.common import Batches, fields, kept, map_batches, texts_of
+from sluicegate.llm.common import Batches, fields, kept, map_batches, slices, texts_of
 from sluicegate.llm.token_counts import byte_symbols
 
-# Encodings a process remembers of pieces between spaces; it starts anew when full.
-REMEMBERED = 700_000
+# Bytes of encodings a process remembers, of pieces between spaces and of words in them.
+PIECE_BYTES, WORD_BYTES = 48 << 20, 24 << 20
 LONGEST_REMEMBERED = 40
+# Characters encoded at once; a longer text is encoded alone.
+ENCODED_CHARS = 1 << 18
 MARKS = ".,;:!?*#$%&()-"
 _ID = 4  # bytes of a token id
 
 
+class Remembered:
+    """Encodings by text, within a number of bytes: those that were used lately.
+
+    New ones go to a young table. When that holds half of the bytes it becomes the old table, whose
+    entries come back when they are used again, and are forgotten with the next change.
+    """
+
+    ENTRY = 250  # bytes of an entry beside its texts
+
+    def __init__(self, most_bytes: int):
+        self.most = most_bytes // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def get(self, text: str) -> bytes | None:
+        found = self.young.get(text)
+        if found is None and text in self.old:
+            found = self.old[text]
+            self.put(text, found)
+        return found
+
+    def put(self, text: str, ids: bytes) -> None:
+        self.young[text] = ids
+        self.held += len(text) + len(ids) + self.ENTRY
+
+    def forget(self) -> None:
+        """Keep to the bound; between batches, so that a batch finds all of its own."""
+        if self.held > self.most:
+            self.old, self.young, self.held = self.young, {}, 0
+
+
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers.
 
@@ -47,52 +81,60 @@ class Encoder:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.symbols = str.maketrans(dict(enumerate(byte_symbols())))
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered(WORD_BYTES)
         self.marks: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {"": b""}
+        self.pieces = Remembered(PIECE_BYTES)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = self.pieces
-        if len(pieces) > REMEMBERED:
-            pieces.clear()
-            pieces[""] = b""
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
+        joined = []
+        for start, end in slices(texts, ENCODED_CHARS):
+            joined += self._encode(texts[start:end])
+            self.pieces.forget()
+            self.words.forget()
+        return joined
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        missing = set().union(*split).difference(pieces)
+        pieces = self.pieces
+        # What is too long to be remembered is known for this batch only.
+        now: dict[str, bytes] = {"": b""}
         other = []
-        for piece in missing:
+        for piece in set().union(*split).difference(pieces.young, now):
+            if pieces.get(piece) is not None:
+                continue
             word = piece.lower().rstrip(MARKS)
-            ids = self.words.get(word)
-            if ids is None and self.PLAIN(word):
-                ids = self._word(word)
+            ids = self._word(word)
             if ids is None:
                 other.append(piece)
             else:
                 mark = piece[len(word) :]
-                pieces[piece] = ids + (self.marks[mark] if mark in self.marks else self._mark(mark))
+                self._keep(now, piece, ids + (self.marks[mark] if mark in self.marks else self._mark(mark)))
         for start in range(0, len(other), 4096):
             part = other[start : start + 4096]
             encodings = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
             for piece, encoding in zip(part, encodings, strict=True):
-                pieces[piece] = self._bytes(encoding.ids)
-        joined = [b"".join([pieces[piece] for piece in parts]) for parts in split]
-        for piece in missing:
-            if len(piece) > LONGEST_REMEMBERED:
-                del pieces[piece]
-        return joined
-
-    def _word(self, word: str) -> bytes:
+                self._keep(now, piece, self._bytes(encoding.ids))
+        young = pieces.young
+        return [b"".join([young[piece] if piece in young else now[piece] for piece in parts]) for parts in split]
+
+    def _keep(self, now: dict[str, bytes], piece: str, ids: bytes) -> None:
+        if len(piece) > LONGEST_REMEMBERED:
+            now[piece] = ids
+        else:
+            self.pieces.put(piece, ids)
+
+    def _word(self, word: str) -> bytes | None:
+        """A plain word's ids; None for other pieces."""
         ids = self.words.get(word)
-        if ids is None:
+        if ids is None and self.PLAIN(word):
             ids = self._encoded(word)
             if len(word) <= LONGEST_REMEMBERED:
-                self.words[word] = ids
+                self.words.put(word, ids)
         return ids
 
     def _mark(self, mark: str) -> bytes:
         ids = self._bytes(self.tokenizer.encode(mark, add_special_tokens=False).ids)
-        if len(mark) <= 4:
+        if len(mark) <= 2:
             self.marks[mark] = ids
         return ids
 
