@@ -14,7 +14,7 @@ from sluicegate.llm.ngram_join import near_duplicates
 from sluicegate.llm.packing import pack
 from sluicegate.llm.pages import main_text
 from sluicegate.llm.secret_scan import digest, scan_secrets
-from sluicegate.llm.sharding import SHARD_SQL, shard
+from sluicegate.llm.sharding import QUERY_BYTES, SHARD_SQL, shard
 from sluicegate.llm.token_counts import count_tokens
 from sluicegate.llm.toxicity import score_toxicity
 from sluicegate.llm.whitening import by_component, whiten
@@ -69,8 +69,8 @@ def op6_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_extendible_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shard of every document, at most 32 MiB of text each."""
-    return shard(table(spark, sf_dir, "documents"))
+    """The shard of every document, at most 256 KiB of text each."""
+    return shard(table(spark, sf_dir, "documents"), QUERY_BYTES)
 
 
 ORACLE_SQL["op7_extendible_hash_shards"] = SHARD_SQL
