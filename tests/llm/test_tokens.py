@@ -12,7 +12,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from sluicegate.llm.packing import Encoder, pack
+from sluicegate.llm import packing
+from sluicegate.llm.packing import Encoder, Remembered, pack
 from sluicegate.llm.token_counts import Counter, count_tokens
 from tests.llm.cases import awkward, document, frame, prose
 
@@ -134,3 +135,17 @@ def test_packed_ids(spark):
     assert np.frombuffer(piece.ids, "<u4").tolist() == expected
     with pytest.raises(ValueError, match="power of two"):
         pack(frame(spark, [row]), context=1000)
+
+
+def test_remembered_encodings_keep_to_their_bytes(monkeypatch):
+    """Ids stay those of the library while encodings are forgotten again and again."""
+    monkeypatch.setattr(packing, "ENCODED_CHARS", 500)
+    name = "word_bpe_49k.json"
+    encoder = Encoder(vocabulary(name))
+    encoder.pieces, encoder.words = Remembered(20_000), Remembered(10_000)
+    texts = [" ".join(prose(seed, 60)) + f" Ünï {seed}, end. " + "long" * 30 for seed in range(60)] * 2
+    for text, encoded in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(encoded, "<u4").tolist() == ids(name, text)
+    for table, most in ((encoder.pieces, 20_000), (encoder.words, 10_000)):
+        held = sum(len(k) + len(v) + table.ENTRY for part in (table.young, table.old) for k, v in part.items())
+        assert 0 < held <= most + 70 * 300
