@@ -4,14 +4,15 @@ Documents with the same set of n-grams form a class with one signature: 128 func
 values one byte each is kept. A tree of the forest is a permutation of the signature, kept as a sorted order
 of all classes: those that share a prefix, a region of the tree, lie next to each other.
 
-* Neighbours in an order whose longest common prefix is deep enough are candidates. Every class is first
-  confirmed with the candidate it agrees with most, then the candidates that are not connected by that.
-* A region can hold classes that are not neighbours. Where a region still joins several components, all
-  its classes are compared with those outside its largest component, by whole signatures. A dense region is
-  divided at its next byte, as long as the chance to miss a link at that depth stays small; what is then
-  still dense is compared in blocks, so no class is left out and no task holds a whole region.
-* Candidates whose signatures agree too little are dropped (six standard deviations below what a link is
-  expected to have); all others are confirmed on their whole sets.
+* Neighbours in an order whose longest common prefix is deep enough are candidates. Every class is confirmed
+  with the neighbour it agrees with most.
+* A region can hold classes that are not neighbours. Its classes are confirmed with one central class as
+  well: copies of one text connect through those with few changes. A dense region is first divided at its next
+  byte, as long as the chance to miss a link at that depth stays small.
+* Where regions still join several components after that, their classes form clusters. All classes of a cluster are compared with those
+  outside its largest component, block by block: by their signatures, and if those agree enough (six
+  standard deviations below what a link is expected to have) by their whole sets. A block gives only links that
+  connect something, so what leaves a task grows with its rows, not with their pairs.
 
 Depths follow from the asked similarity: two sets that just link share no region of the least depth in any
 order with a chance of 1e-8, none of the greatest depth with 1e-5.
@@ -36,11 +37,10 @@ from sluicegate.llm.words import gram_sets, mix
 HASHES, ORDERS, LABEL = 128, 64, 16
 # Regions are told apart by the first number of a label.
 MOST_DEPTH = 8
-# A region with more comparisons is divided, or else cut into blocks of so many rows.
+# A region with more comparisons is divided, as far as depths allow.
 REGION_PAIRS = 1 << 18
-BLOCK_ROWS = 512
-# Signatures compared in one group.
-GROUP_ROWS = 1 << 14
+# Bytes of sets of one block of a cluster, and of one group.
+BLOCK_BYTES = 8 << 20
 # N-grams that a task holds at once; a longer text is held alone.
 GROUP_GRAMS = 1 << 20
 # Bits of a filter for each document it lets through, and at most.
@@ -222,34 +222,63 @@ def _compared(batches: Batches) -> Batches:
 
 
 def _within(percent: int, least: int):
-    """Pairs of a group's regions, of one row outside the region's largest component and any other row."""
+    """Links of a group's blocks, between a row outside its cluster's largest component and any other row.
+
+    Only those that connect what the block did not know to be connected.
+    """
 
     def run(key: tuple, part: pa.Table) -> pa.Table:
-        part = part.sort_by([("region", "ascending")])
-        region, keys, roots, sizes = (part.column(c).to_numpy() for c in ("region", "class", "root", "n"))
+        part = part.sort_by([("block", "ascending"), ("class", "ascending")]).combine_chunks()
+        block, keys, roots = (part.column(c).to_numpy() for c in ("block", "class", "root"))
         minor, any_row = (part.column(c).to_numpy() for c in ("minor", "any"))
         signed = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
-        bounds = np.flatnonzero(np.r_[True, region[1:] != region[:-1], True])
-        a, b, agreeing = [], [], []
+        grams = part.column("grams").combine_chunks()
+        ends = grams.offsets.to_numpy()
+        values, ends = grams.values.to_numpy().view(np.uint64), ends.astype(np.int64)
+        sizes = np.diff(ends)
+        found = []
+        bounds = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
         for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+            joined: dict[int, int] = {}
             others = np.arange(start, end)[any_row[start:end]]
-            for at in np.arange(start, end)[minor[start:end]]:
+            for at in np.arange(start, end)[minor[start:end]].tolist():
                 may = others[
                     (roots[others] != roots[at])
                     & (sizes[others] * 100 >= sizes[at] * percent)
                     & (sizes[at] * 100 >= sizes[others] * percent)
                 ]
-                same = _agreeing(signed[may], signed[at])
-                enough = same >= least
-                a.append(np.minimum(keys[may[enough]], keys[at]))
-                b.append(np.maximum(keys[may[enough]], keys[at]))
-                agreeing.append(same[enough])
-        columns = [np.concatenate(c) if c else np.zeros(0) for c in (a, b, agreeing)]
-        return pa.table([pa.array(c.astype(np.int64)) for c in columns], names=["a", "b", "agreeing"])
+                may = may[_agreeing(signed[may], signed[at]) >= least]
+                may = may[[_root(joined, r) != _root(joined, roots[at].item()) for r in roots[may].tolist()]] if len(joined) else may
+                if not len(may):
+                    continue
+                overlap = _overlaps(values, ends, at, may)
+                for other in may[overlap * 100 >= (sizes[at] + sizes[may] - overlap) * percent].tolist():
+                    one, two = _root(joined, roots[at].item()), _root(joined, roots[other].item())
+                    if one != two:
+                        joined[one] = two
+                        found.append(sorted((keys[at].item(), keys[other].item())))
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
+def _root(joined: dict[int, int], root: int) -> int:
+    while root in joined:
+        root = joined[root]
+    return root
+
+
+def _overlaps(values: np.ndarray, ends: np.ndarray, at: int, others: np.ndarray) -> np.ndarray:
+    """How many of one sorted set's values some others have."""
+    own = values[ends[at] : ends[at + 1]]
+    sizes = ends[others + 1] - ends[others]
+    first = np.cumsum(sizes) - sizes
+    theirs = values[np.repeat(ends[others] - first, sizes) + np.arange(sizes.sum())]
+    place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+    return np.add.reduceat((own[place] == theirs).astype(np.int64), first)
+
+
 def _sets_of(size: int, shared):
     """Sets of the documents that a filter lets through, each class once per task."""
 
@@ -282,7 +311,6 @@ class _Forest:
         self.depth = depth_for(percent / 100, 1e-8)
         self.deepest = depth_for(percent / 100, 1e-5)
         self.links: DataFrame | None = None
-        self.tested: DataFrame | None = None
         self.known: DataFrame | None = None
 
     def sign(self) -> None:
@@ -313,13 +341,13 @@ class _Forest:
         )
         return self._pairs(pairs.where("class <> before").select(
             F.least("class", "before").alias("a"), F.greatest("class", "before").alias("b")
-        ).distinct())
+        ).distinct(), "neighbours")
 
     @staticmethod
     def _prefix(depth: int) -> str:
         return f"shiftright(high, {64 - 8 * depth})"
 
-    def _pairs(self, pairs: DataFrame) -> DataFrame:
+    def _pairs(self, pairs: DataFrame, name: str) -> DataFrame:
         """Pairs whose sizes and signatures allow a link, with the number of functions they agree in."""
         p = self.percent
         left, right = (
@@ -327,23 +355,21 @@ class _Forest:
         )
         sized = pairs.join(left, "a").join(right, "b").where(f"na * 100 >= nb * {p} AND nb * 100 >= na * {p}")
         compared = map_batches(sized.select("a", "b", "sa", "sb"), _compared, "a long, b long, agreeing long")
-        return self.scratch.table(compared.where(F.col("agreeing") >= self.least), "pairs")
+        return self.scratch.table(compared.where(F.col("agreeing") >= self.least), name)
 
-    def confirm(self, pairs: DataFrame, name: str) -> None:
+    def confirm(self, pairs: DataFrame) -> None:
         """Confirm pairs on whole sets, and connect those that link."""
-        pairs = self.scratch.table(pairs, f"{name}_pairs")
+        pairs = self.scratch.table(pairs, "first_pairs")
         if pairs.isEmpty():
             return
-        sets = self._sets(pairs.select("a").union(pairs.select("b")).distinct(), name)
+        sets = self._sets(pairs.select("a").union(pairs.select("b")).distinct(), "pair")
         left = sets.select(F.col("class").alias("a"), F.col("grams").alias("ga"))
         right = sets.select(F.col("class").alias("b"), F.col("grams").alias("gb"))
         both = pairs.join(left, "a").join(right, "b").withColumn("overlap", F.size(F.array_intersect("ga", "gb")))
         union = F.size("ga") + F.size("gb") - F.col("overlap")
-        links = self.scratch.table(both.where(F.col("overlap") * 100 >= union * self.percent).select("a", "b"), f"{name}_links")
-        self.links = links if self.links is None else self.links.unionByName(links)
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        self.known = components(self.links, self.scratch, f"{name}_components")
-        self.scratch.drop(f"{name}_sets", f"{name}_first")
+        self.links = self.scratch.table(both.where(F.col("overlap") * 100 >= union * self.percent).select("a", "b"), "first_links")
+        self.known = components(self.links, self.scratch, "first_components")
+        self.scratch.drop("pair_sets", "pair_first")
 
     def _sets(self, wanted: DataFrame, name: str) -> DataFrame:
         """Whole sets of classes, read again from the text of each one's first document.
@@ -369,79 +395,93 @@ class _Forest:
         roots = self.known.select(F.col("node").alias("class"), "root")
         return rows.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
-    def unconnected(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of different components that were not tested yet."""
-        for side in "ab" if self.known is not None else "":
-            roots = self.known.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-            pairs = pairs.join(roots, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
-        if self.known is not None:
-            pairs = pairs.where("root_a <> root_b").select("a", "b", "agreeing")
-        return pairs if self.tested is None else pairs.join(self.tested.select("a", "b"), ["a", "b"], "left_anti")
-
-    def open_regions(self) -> DataFrame | None:
-        """Pairs within regions that join several components, one row of which lies outside the largest."""
+    def open_regions(self) -> DataFrame:
+        """``region, class, root`` of regions that join several components, dense ones divided."""
         rows = self.rooted(self.regions.select("tree", "high", "class").distinct())
         found = None
         for depth in range(self.depth, self.deepest + 1):
             rows = rows.withColumn("region", F.xxhash64("tree", F.expr(self._prefix(depth))))
             by_root = rows.groupBy("region", "root").agg(F.count("*").alias("count"))
-            largest = by_root.groupBy("region").agg(
-                F.max_by("root", F.struct("count", "root")).alias("main"),
-                F.max("count").alias("most"),
-                F.sum("count").alias("total"),
-            )
-            # Two rows are neighbours, and were compared as such.
-            joined = largest.where("most < total AND total > 2")
-            rows = self.scratch.table(rows.join(joined, "region"), f"open_{depth}")
-            if rows.isEmpty():
-                break
+            sizes = by_root.groupBy("region").agg(F.max("count").alias("most"), F.sum("count").alias("total"))
+            rows = rows.join(sizes.where("most < total"), "region")
             dense = F.lit(depth < self.deepest) & ((F.col("total") - F.col("most")) * F.col("total") > REGION_PAIRS)
-            near = self._regions(rows.where(~dense), depth)
-            found = near if found is None else found.unionByName(near)
+            taken = rows.where(~dense).select("region", "class", "root")
+            found = taken if found is None else found.unionByName(taken)
             rows = rows.where(dense).select("tree", "high", "class", "root")
         return found
 
-    def _regions(self, rows: DataFrame, depth: int) -> DataFrame:
-        """Each row of a block of a region meets the rows of every block that are outside the largest component."""
+    def centres(self) -> DataFrame:
+        """Pairs of a region's classes with its central one, the class that shares the most regions."""
+        rows = self.open_regions().select("region", "class")
+        degrees = rows.groupBy("class").agg(F.count("*").alias("degree"))
+        weighed = self.scratch.table(rows.join(degrees, "class"), "weighed")
+        centre = weighed.groupBy("region").agg(F.max_by("class", F.struct("degree", "class")).alias("centre"))
+        pairs = weighed.join(centre, "region").where("class <> centre")
+        return pairs.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
+
+    def clusters(self) -> None:
+        """Confirm what open regions may still join, cluster by cluster."""
+        rows = self.scratch.table(self.open_regions(), "open")
+        if rows.isEmpty():
+            return
+        # Classes of one region are one cluster, and so are regions with a class in common.
+        least = rows.groupBy("region").agg(F.min("class").alias("least"))
+        tied = rows.join(least, "region").select(F.col("class").alias("a"), F.col("least").alias("b")).distinct()
+        cluster = components(tied, self.scratch, "clusters").select(F.col("node").alias("class"), F.col("root").alias("cluster"))
+        rows = rows.select("class", "root").distinct().join(cluster, "class")
+        rows = self.scratch.table(rows.join(self.classes.select("class", "n", "signature"), "class"), "clustered")
+        weight = F.sum(8 * F.col("n") + HASHES).alias("bytes")
+        by_root = rows.groupBy("cluster", "root").agg(weight)
+        largest = by_root.groupBy("cluster").agg(
+            F.max_by("root", F.struct("bytes", "root")).alias("main"), F.max("bytes").alias("most"), F.sum("bytes").alias("bytes")
+        )
+        placed = self._placed(rows.join(largest, "cluster"))
+        sets = self._sets(rows.select("class"), "cluster")
+        placed = self.scratch.table(placed.join(sets, "class"), "placed")
+        groups = placed.agg(F.sum(8 * F.size("grams") + HASHES)).first()[0] // BLOCK_BYTES + 1
+        groups = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), groups)
+        bucket = F.pmod("block", F.lit(groups)).alias("bucket")
+        links = placed.groupBy(bucket).applyInArrow(_within(self.percent, self.least), "a long, b long")
+        links = self.scratch.table(links, "cluster_links")
+        if not links.isEmpty():
+            links = links if self.links is None else self.links.unionByName(links)
+            self.known = components(links, self.scratch, "all_components")
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        """A row of a cluster goes to each block that its own block of rows forms with a block of minor rows."""
         minor = F.col("root") != F.col("main")
-        blocks = rows.select(
-            "region", "class", "root", minor.alias("minor"),
-            F.ceil((F.col("total") - F.col("most")) / BLOCK_ROWS).cast("int").alias("minor_blocks"),
-            F.ceil(F.col("total") / BLOCK_ROWS).cast("int").alias("blocks"),
-        ).join(self.classes.select("class", "n", "signature"), "class")
-        block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-        minor_block = F.pmod(F.xxhash64("class", F.lit(1)), F.col("minor_blocks")).cast("int")
-        as_any = F.transform(
-            F.sequence(F.lit(0), F.col("minor_blocks") - 1),
-            lambda i: F.struct(i.alias("i"), block.alias("j"), (F.col("minor") & (minor_block == i)).alias("minor"), F.lit(True).alias("any")),
+        rows = rows.withColumns(
+            {
+                "is_minor": minor,
+                "minor_blocks": F.ceil((F.col("bytes") - F.col("most")) / BLOCK_BYTES).cast("int"),
+                "blocks": F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int"),
+            }
         )
-        as_minor = F.transform(
-            F.sequence(F.lit(0), F.col("blocks") - 1),
-            lambda j: F.struct(minor_block.alias("i"), j.alias("j"), F.lit(True).alias("minor"), F.lit(False).alias("any")),
+        own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+        own_minor = F.pmod(F.xxhash64("class", F.lit(1)), F.col("minor_blocks")).cast("int")
+
+        def place(i, j, is_minor, is_any):
+            return F.struct(i.alias("i"), j.alias("j"), is_minor.alias("minor"), F.lit(is_any).alias("any"))
+
+        as_any = F.transform(
+            F.sequence(F.lit(0), F.col("minor_blocks") - 1), lambda i: place(i, own, F.col("is_minor") & (own_minor == i), True)
         )
-        # A minor row is in its own block already.
-        as_minor = F.filter(as_minor, lambda s: F.col("minor") & (s["j"] != block))
-        placed = blocks.withColumn("place", F.explode(F.concat(as_any, as_minor))).select(
-            F.xxhash64("region", "place.i", "place.j").alias("region"), "class", "root", "n", "signature", "place.minor", "place.any"
+        # A minor row is in the block of its own rows already.
+        as_minor = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: place(own_minor, j, F.lit(True), False))
+        as_minor = F.filter(as_minor, lambda s: F.col("is_minor") & (s["j"] != own))
+        return rows.withColumn("place", F.explode(F.concat(as_any, as_minor))).select(
+            F.xxhash64("cluster", "place.i", "place.j").alias("block"), "class", "root", "signature", "place.minor", "place.any"
         )
-        placed = self.scratch.table(placed, f"placed_{depth}")
-        groups = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-placed.count() // GROUP_ROWS))
-        key = F.pmod("region", F.lit(groups)).alias("bucket")
-        near = placed.groupBy(key).applyInArrow(_within(self.percent, self.least), "a long, b long, agreeing long")
-        return self.scratch.table(near.distinct(), f"near_{depth}")
 
     def run(self) -> DataFrame:
         self.sign()
-        pairs = self.order()
-        # Each class with the one it agrees with most; then what that left unconnected.
-        best = pairs.select("a", "b", "agreeing").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agreeing"))
-        best = best.groupBy("a").agg(F.max_by("b", F.struct("agreeing", "b")).alias("b"), F.max("agreeing").alias("agreeing"))
-        best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "agreeing").distinct()
-        self.confirm(best, "best")
-        self.confirm(self.unconnected(pairs), "others")
-        near = self.open_regions()
-        if near is not None:
-            self.confirm(self.unconnected(near), "regions")
+        near = self.order()
+        both = near.select("a", "b", "agreeing").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "agreeing"))
+        best = both.groupBy("a").agg(F.max_by("b", F.struct("agreeing", "b")).alias("b"))
+        best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        central = self._pairs(self.centres(), "central").select("a", "b")
+        self.confirm(best.union(central).distinct())
+        self.clusters()
         return self._result()
 
     def _result(self) -> DataFrame:

@@ -116,8 +116,7 @@ def test_unconnected_rows_around_a_shared_passage(spark):
 def test_dense_regions_are_divided_and_cut(spark, monkeypatch):
     """The same with regions so small that every one is divided, and cut into blocks."""
     monkeypatch.setattr(module, "REGION_PAIRS", 20)
-    monkeypatch.setattr(module, "BLOCK_ROWS", 5)
-    monkeypatch.setattr(module, "GROUP_ROWS", 300)
+    monkeypatch.setattr(module, "BLOCK_BYTES", 10_000)
     source = random.Random(12)
     passage = prose(2, 200)
     rows = []
@@ -152,6 +151,37 @@ def test_signatures_agree_as_sets_are_similar():
         assert np.std(shares) < 1.5 * np.sqrt(jaccard * (1 - jaccard) / module.HASHES)
 
 
+def test_links_of_a_block():
+    """Exact links that connect all that can be connected, and no more of them than that takes."""
+    source = np.random.default_rng(8)
+    base = source.integers(0, 1 << 63, 100, dtype=np.uint64)
+    sets = [np.unique(np.r_[base[: 100 - 3 * k], source.integers(0, 1 << 63, 3 * k, dtype=np.uint64)]) for k in source.integers(0, 12, 60)]
+    rows = {
+        "block": [1] * 60, "class": list(range(60)), "root": [0 if i < 3 else i for i in range(60)],
+        "minor": [i >= 3 for i in range(60)], "any": [True] * 60,
+        "signature": [row.tobytes() for row in module.signatures(sets)],
+        "grams": [g.view(np.int64).tolist() for g in sets],
+    }
+    found = module._within(80, module.least_agreeing(0.8))((None,), pa.table(rows)).to_pylist()
+
+    def jaccard(a, b):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        return both / (len(sets[a]) + len(sets[b]) - both)
+
+    assert all(jaccard(r["a"], r["b"]) >= 0.8 for r in found)
+
+    def groups(pairs):
+        root = {i: rows["root"][i] for i in range(60)}
+        for a, b in pairs:
+            old, new = root[a], root[b]
+            root = {k: new if v == old else v for k, v in root.items()}
+        return {frozenset(k for k in root if root[k] == v) for v in set(root.values())}
+
+    true = [(a, b) for a in range(60) for b in range(a) if jaccard(a, b) >= 0.8 and rows["root"][a] != rows["root"][b]]
+    assert groups((r["a"], r["b"]) for r in found) == groups(true)
+    assert len(found) == 58 - len(groups(true)) < len(true)
+
+
 def test_depths():
     for similarity in (0.5, 0.8, 0.9):
         for chance in (1e-8, 1e-5):
