@@ -15,8 +15,9 @@ from sluicegate.config import quote
 BIN_DAYS = 512
 # 0001-01-01 and 9999-12-31 as days since 1970.
 FIRST_DAY, LAST_DAY = -719_162, 2_932_896
-# Halvings of the range of all days, until one day is left.
-LEVELS = (LAST_DAY - FIRST_DAY).bit_length()
+# Sizes of the periods that points and spans meet in, as powers of two: 64, 4,096 and 262,144 days.
+STEP = 6
+LEVELS = (STEP, 2 * STEP, 3 * STEP)
 
 
 def _days(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
@@ -46,7 +47,9 @@ def merge_spans(df: DataFrame, keys: list[str], start: str, end: str, gap_days:
     placed = spans.withColumn("before", before).join(reach, ["key", "bin"])
     until = F.greatest("before", "carried")
     placed = placed.withColumn("begins", (until.isNull() | (F.col("s") > until + (1 + gap_days))).cast("long"))
-    number = F.sum("begins").over(in_bin.rowsBetween(Window.unboundedPreceding, 0))
+    # Of equal spans the one that begins a run comes first, whatever order they had in the window before.
+    again = Window.partitionBy("key", "bin").orderBy("s", "e", F.desc("begins"))
+    number = F.sum("begins").over(again.rowsBetween(Window.unboundedPreceding, 0))
     runs = placed.withColumn("number", number).groupBy("key", "bin", "number").agg(
         F.min("s").alias("s"), F.max("e").alias("e"), F.count(F.lit(1)).alias("n"), F.max("begins").alias("begins")
     )
@@ -74,47 +77,79 @@ def spans_at(
     """The rows of ``points`` whose day lies in a span of the same keys, with ``start`` and ``end`` of that span.
 
     A point comes once for every span that holds its day; points without a span, a day or all keys do not
-    come. The range of days is halved again and again. A span is cut into the few halves that it fills, two
-    of a size at most, and a day lies in one half of each size; so points meet spans by equality, whatever the
-    lengths of spans, and a key with many rows is spread over its halves. Only sizes that some span has are used.
+    come. Days are cut into periods of 64, these into periods of 64 times the size, and so on. A span is cut into
+    the large periods that it fills and, at its ends, the small ones that it touches, 126 of a size at most; a
+    day lies in one period of each size. So points meet spans by equality, a key with many rows is spread over its
+    periods, and within 64 days the days decide. Only sizes that some span has are used: a point is sent once, unless spans
+    fill whole periods of 4,096 days.
     """
     given = {name.lower() for name in points.columns}
     clash = [name for name in (start, end) if name.lower() in given]
     if clash:
         raise ValueError(f"points have columns named {', '.join(clash)}")
-    halves = F.explode(_halves(F.col("s") - FIRST_DAY, F.col("e") - FIRST_DAY)).alias("half")
-    cut = _days(spans, keys, start, end).select("key", "s", "e", halves)
-    levels = sorted(row.level for row in cut.select("half.level").distinct().collect())
-    at = F.unix_date(F.col(quote(day)).cast("date")) - FIRST_DAY
-    sizes = F.array(*[F.lit(level) for level in levels]).cast("array<int>")
-    own = F.transform(sizes, lambda level: F.struct(level.alias("level"), F.call_function("shiftright", at, level).alias("place")))
-    key = F.struct(*[F.col(quote(name)) for name in keys])
-    present = [F.col(quote(name)).isNotNull() for name in (*keys, day)]
-    for test in present:
-        points = points.where(test)
-    columns = points.columns
-    row = F.struct(*[F.col(quote(name)) for name in columns]).alias("row")
-    met = points.select(row, key.alias("key"), F.explode(own).alias("half")).join(cut, ["key", "half"])
-    return met.select(
-        *[F.col("row")[name].alias(name) for name in columns],
-        F.date_from_unix_date("s").alias(start),
-        F.when(F.col("e") < LAST_DAY, F.date_from_unix_date("e")).alias(end),
+    # Names no column of the points has.
+    mark = "_" * (1 + max(map(len, points.columns)))
+    found = _days(spans, keys, start, end)
+    periods = F.explode(_periods(F.col("s") - FIRST_DAY, F.col("e") - FIRST_DAY)).alias("period")
+    cut = found.select("key", "s", "e", periods)
+    levels = sorted(row.level for row in cut.select("period.level").distinct().collect())
+    cut = cut.select(
+        *[F.col("key")[name].alias(f"{mark}key{i}") for i, name in enumerate(keys)],
+        *[F.col(name).alias(f"{mark}{name}") for name in "se"],
+        _number(F.col("period.level"), F.col("period.place")).alias(f"{mark}period"),
+    )
+    at = F.unix_date(F.col(quote(day)).cast("date"))
+    own = [_number(F.lit(level), F.call_function("shiftright", at - FIRST_DAY, F.lit(level))) for level in levels]
+    for name in (*keys, day):
+        points = points.where(F.col(quote(name)).isNotNull())
+    columns = [F.col(quote(name)) for name in points.columns]
+    sent = points.select(
+        *columns,
+        *[F.col(quote(name)).alias(f"{mark}own{i}") for i, name in enumerate(keys)],
+        at.alias(f"{mark}at"),
+        F.explode(F.array(*own).cast("array<int>")).alias(f"{mark}in"),
+    )
+    meets = F.expr(f"{mark}at BETWEEN {mark}s AND {mark}e AND {mark}in = {mark}period")
+    for i in range(len(keys)):
+        meets &= F.col(f"{mark}own{i}") == F.col(f"{mark}key{i}")
+    return sent.join(cut, meets).select(
+        *columns,
+        F.date_from_unix_date(f"{mark}s").alias(start),
+        F.when(F.col(f"{mark}e") < LAST_DAY, F.date_from_unix_date(f"{mark}e")).alias(end),
     )
 
 
-def _halves(first: Column, last: Column) -> Column:
-    """The largest halves that fill a range of numbers, as ``level`` and ``place``.
+def _number(level: Column, place: Column) -> Column:
+    """A period as one number."""
+    return place * 32 + level
 
-    At each level those count that lie within the range and whose double does not: at most the leftmost, if
-    odd, and the rightmost, if even.
-    """
 
-    def at(level: Column) -> Column:
-        size = F.call_function("shiftleft", F.lit(1), level)
-        left = F.call_function("shiftright", first + size - 1, level)
-        right = F.call_function("shiftright", last + 1, level) - 1
-        some = left <= right
-        places = F.array(F.when(some & (left % 2 == 1), left), F.when(some & (right % 2 == 0), right))
-        return F.transform(F.array_compact(places), lambda place: F.struct(level.alias("level"), place.alias("place")))
+def _periods(first: Column, last: Column) -> Column:
+    """The periods that stand for a range of numbers, as ``level`` and ``place``.
+
+    Of the smallest size those that the range touches, of the others those that it fills; without those that a
+    larger one holds.
+    """
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at))
+    def bounds(level: int) -> tuple[Column, Column]:
+        size = F.lit(level)
+        if level == STEP:
+            return F.call_function("shiftright", first, size), F.call_function("shiftright", last, size)
+        filled = F.call_function("shiftright", first + ((1 << level) - 1), size)
+        return filled, F.call_function("shiftright", last + 1, size) - 1
+
+    def places(level: int, left: Column, right: Column) -> Column:
+        held = F.transform(F.sequence(left, right), lambda place: F.struct(F.lit(level).alias("level"), place.alias("place")))
+        return F.when(left <= right, held).otherwise(F.array().cast("array<struct<level: int, place: int>>"))
+
+    found = []
+    for level in LEVELS:
+        left, right = bounds(level)
+        if level == LEVELS[-1]:
+            found.append(places(level, left, right))
+            continue
+        above, below = bounds(level + STEP)
+        larger = above <= below
+        found.append(places(level, left, F.when(larger, above * (1 << STEP) - 1).otherwise(right)))
+        found.append(places(level, F.when(larger, (below + 1) * (1 << STEP)).otherwise(right + 1), right))
+    return F.concat(*found)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicegate import Ingest
-from sluicegate.operators import checks, references
+from sluicegate.operators import checks, references, spans
 from sluicegate.operators.references import orphan_rows, orphans, reference_report
 from sluicegate.operators.spans import merge_spans, spans_at
 from sluicegate.plans.rollup import Metric, Rollup
@@ -94,6 +94,26 @@ def test_spans_at_a_day(spark):
     assert spans_at(rows, frame(spark, []), ["k", "n"], "d", "a", "b").count() == 0
 
 
+def test_a_point_meets_short_spans_in_one_period(spark):
+    """Spans of a third of a year stand in few periods of one size, long ones in a bounded number."""
+    found = spark.sql("SELECT 1000 AS a, 1099 AS b UNION ALL SELECT 0, 3652058 UNION ALL SELECT 4095, 8192")
+    found = found.select("a", "b", spans._periods(F.col("a"), F.col("b")).alias("p")).collect()
+    by_start = {row.a: [tuple(place) for place in row.p] for row in found}
+    assert by_start[1000] == [(6, 15), (6, 16), (6, 17)]
+    assert by_start[4095] == [(6, 63), (6, 128), (12, 1)]
+    assert len(by_start[0]) < 14 + 2 * 64
+    for start, last in ((0, 3652058), (4095, 8192)):
+        days = [range(place << level, (place + 1) << level) for level, place in by_start[start]]
+        for at in (start, start + 1, 5000, 8191, last):
+            assert sum(at in own for own in days) == 1
+
+
+def test_equal_spans_are_one_run(spark):
+    rows = [(k, 0, i % 5 * 10, i % 5 * 10 + 4) for k in "abcdefgh" for i in range(100)]
+    found = merge_spans(frame(spark, rows).repartition(7), ["k"], "a", "b")
+    assert sorted((r.k, r.span_start, r.n_spans) for r in found.collect()) == [(k, day(i * 10), 20) for k in "abcdefgh" for i in range(5)]
+
+
 def test_days_at_the_ends_of_the_calendar(spark):
     far = spark.createDataFrame([("x", dt.date(1, 1, 1), dt.date(9999, 12, 31))], "k string, a date, b date")
     points = spark.createDataFrame([("x", dt.date(1, 1, 1)), ("x", dt.date(9999, 12, 31))], "k string, d date")
