@@ -22,7 +22,7 @@ from sluicegate.llm.common import Batches, fields, kept, map_batches, slices, te
 from sluicegate.llm.token_counts import byte_symbols
 
 # Bytes of encodings a process remembers, of pieces between spaces and of words in them.
-PIECE_BYTES, WORD_BYTES = 48 << 20, 24 << 20
+PIECE_BYTES, WORD_BYTES = 192 << 20, 96 << 20
 LONGEST_REMEMBERED = 40
 # Characters encoded at once; a longer text is encoded alone.
 ENCODED_CHARS = 1 << 18
@@ -95,33 +95,39 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        pieces = self.pieces
+        young, old, plain = self.pieces.young, self.pieces.old, self.words.young
+        young[""] = b""
         # What is too long to be remembered is known for this batch only.
-        now: dict[str, bytes] = {"": b""}
-        other = []
-        for piece in set().union(*split).difference(pieces.young, now):
-            if pieces.get(piece) is not None:
-                continue
-            word = piece.lower().rstrip(MARKS)
-            ids = self._word(word)
+        long, other = [], []
+        held, entry = 0, Remembered.ENTRY
+        for piece in set().union(*split).difference(young):
+            ids = old.get(piece)
             if ids is None:
-                other.append(piece)
-            else:
-                mark = piece[len(word) :]
-                self._keep(now, piece, ids + (self.marks[mark] if mark in self.marks else self._mark(mark)))
+                word = piece.lower().rstrip(MARKS)
+                ids = plain.get(word)
+                if ids is None and (ids := self._word(word)) is None:
+                    other.append(piece)
+                    continue
+                if mark := piece[len(word) :]:
+                    ids += self.marks[mark] if mark in self.marks else self._mark(mark)
+            young[piece] = ids
+            held += len(piece) + len(ids) + entry
+            if len(piece) > LONGEST_REMEMBERED:
+                long.append(piece)
         for start in range(0, len(other), 4096):
             part = other[start : start + 4096]
             encodings = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
             for piece, encoding in zip(part, encodings, strict=True):
-                self._keep(now, piece, self._bytes(encoding.ids))
-        young = pieces.young
-        return [b"".join([young[piece] if piece in young else now[piece] for piece in parts]) for parts in split]
-
-    def _keep(self, now: dict[str, bytes], piece: str, ids: bytes) -> None:
-        if len(piece) > LONGEST_REMEMBERED:
-            now[piece] = ids
-        else:
-            self.pieces.put(piece, ids)
+                young[piece] = ids = self._bytes(encoding.ids)
+                held += len(piece) + len(ids) + entry
+                if len(piece) > LONGEST_REMEMBERED:
+                    long.append(piece)
+        ids_of = young.__getitem__
+        joined = [b"".join(map(ids_of, parts)) for parts in split]
+        for piece in long:
+            held -= len(piece) + len(young.pop(piece)) + entry
+        self.pieces.held += held
+        return joined
 
     def _word(self, word: str) -> bytes | None:
         """A plain word's ids; None for other pieces."""
@@ -139,7 +145,8 @@ class Encoder:
         return ids
 
     def _encoded(self, word: str) -> bytes:
-        symbols = word.encode().decode("latin-1").translate(self.symbols)
+        # Printable bytes of ASCII stand for themselves.
+        symbols = word if word.isascii() else word.encode().decode("latin-1").translate(self.symbols)
         return self._bytes([token.id for token in self.model.tokenize(symbols)])
 
     @staticmethod

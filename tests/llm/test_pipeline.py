@@ -20,7 +20,7 @@ SOME = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_names():
-    assert [n.partition("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.partition("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= entry_module.queries().keys()
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "ngram_jaccard_join", "benchmark_decontamination", "secret_scans", "packing",
