@@ -25,9 +25,11 @@ from sluicegate.llm.token_counts import byte_symbols
 PIECE_BYTES, WORD_BYTES = 192 << 20, 96 << 20
 LONGEST_REMEMBERED = 40
 # Characters encoded at once; a longer text is encoded alone.
-ENCODED_CHARS = 1 << 18
+ENCODED_CHARS = 1 << 19
 MARKS = ".,;:!?*#$%&()-"
 _ID = 4  # bytes of a token id
+# How few ids become bytes, by their number.
+_PACKED = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
 
 class Remembered:
@@ -151,6 +153,8 @@ class Encoder:
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
+        if len(ids) < len(_PACKED):
+            return _PACKED[len(ids)](*ids)
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
