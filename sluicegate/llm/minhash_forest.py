@@ -5,7 +5,7 @@ values one byte each is kept. A tree of the forest is a permutation of the signa
 of all classes: those that share a prefix, a region of the tree, lie next to each other.
 
 * Neighbours in an order whose longest common prefix is deep enough are candidates. Every class is confirmed
-  with the neighbour it agrees with most.
+  with the neighbour it shares most bytes of prefixes with, over all orders.
 * A region can hold classes that are not neighbours. Its classes are confirmed with one central class as
   well: copies of one text connect through those with few changes. A dense region is first divided at its next
   byte, as long as the chance to miss a link at that depth stays small.
@@ -158,7 +158,7 @@ def _leading(x: np.ndarray) -> np.ndarray:
 
 
 def _neighbours(depth: int):
-    """Of sorted rows those that share a region with a row beside them, with the class before them.
+    """Of sorted rows those that share a region with a row beside them, with the class before them and the bytes shared.
 
     The first and last row of a task are always given, with ``edge`` 0 and 1: their neighbours are elsewhere.
     """
@@ -196,10 +196,11 @@ def _near(rows: pa.Table, depth: int, number: int, at_start: int | None, at_end:
         [pa.array(c[at]) for c in (tree, high, low, keys)]
         + [
             pa.array(before, pa.int64(), mask=~deep[at]),
+            pa.array(shared[at].astype(np.int32), pa.int32(), mask=~deep[at]),
             pa.array(edge[at].astype(np.int32), pa.int32(), mask=edge[at] < 0),
             pa.array(np.full(len(at), number, np.int32)),
         ],
-        names=["tree", "high", "low", "class", "before", "edge", "part"],
+        names=["tree", "high", "low", "class", "before", "shared", "edge", "part"],
     )
 
 
@@ -310,7 +311,6 @@ class _Forest:
         self.least = least_agreeing(percent / 100)
         self.depth = depth_for(percent / 100, 1e-8)
         self.deepest = depth_for(percent / 100, 1e-5)
-        self.links: DataFrame | None = None
         self.known: DataFrame | None = None
 
     def sign(self) -> None:
@@ -323,11 +323,14 @@ class _Forest:
         self.classes = self.scratch.table(classes.select("class", "one.*"), "classes")
 
     def order(self) -> DataFrame:
-        """Rows that share a region with a neighbour in an order; returns the pairs of neighbours."""
+        """Rows that share a region with a neighbour in an order; returns each class with its best neighbour.
+
+        Neighbours are weighed by the bytes they share, so that one pair for each class goes on, not one for each order.
+        """
         labelled = map_batches(self.classes.select("class", "signature"), _labelled, "tree int, high long, low long, class long")
         by = ["tree", "high", "low", "class"]
         ordered = labelled.repartitionByRange(*by).sortWithinPartitions(*by)
-        schema = "tree int, high long, low long, class long, before long, edge int, part int"
+        schema = "tree int, high long, low long, class long, before long, shared int, edge int, part int"
         self.regions = self.scratch.table(map_batches(ordered, _neighbours(self.depth), schema), "regions")
         # The last row of a task and the first of the next: two rows for each task, whatever the data.
         edges = self.regions.where("edge IS NOT NULL")
@@ -336,30 +339,32 @@ class _Forest:
             F.lag(c).over(along).alias(f"{c}_before") for c in ("class", "tree")
         ], F.lag(F.expr(self._prefix(self.depth))).over(along).alias("prefix_before"))
         seams = seams.where("edge = 0 AND tree = tree_before AND prefix = prefix_before")
-        pairs = self.regions.where("before IS NOT NULL").select("class", "before").unionByName(
-            seams.select("class", F.col("class_before").alias("before"))
+        pairs = self.regions.where("before IS NOT NULL").select("class", "before", "shared").unionByName(
+            seams.select("class", F.col("class_before").alias("before"), F.lit(self.depth).alias("shared"))
         )
-        return self._pairs(pairs.where("class <> before").select(
-            F.least("class", "before").alias("a"), F.greatest("class", "before").alias("b")
-        ).distinct(), "neighbours")
+        pair = F.least("class", "before").alias("a"), F.greatest("class", "before").alias("b")
+        weighed = pairs.where("class <> before").groupBy(*pair).agg(F.sum("shared").alias("shared"))
+        both = weighed.unionByName(weighed.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
+        best = both.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+        return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     @staticmethod
     def _prefix(depth: int) -> str:
         return f"shiftright(high, {64 - 8 * depth})"
 
     def _pairs(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs whose sizes and signatures allow a link, with the number of functions they agree in."""
+        """Pairs whose sizes and signatures allow a link."""
         p = self.percent
         left, right = (
             self.classes.select(F.col("class").alias(s), F.col("signature").alias(f"s{s}"), F.col("n").alias(f"n{s}")) for s in "ab"
         )
         sized = pairs.join(left, "a").join(right, "b").where(f"na * 100 >= nb * {p} AND nb * 100 >= na * {p}")
         compared = map_batches(sized.select("a", "b", "sa", "sb"), _compared, "a long, b long, agreeing long")
-        return self.scratch.table(compared.where(F.col("agreeing") >= self.least), name)
+        return self.scratch.table(compared.where(F.col("agreeing") >= self.least).select("a", "b"), name)
 
     def confirm(self, pairs: DataFrame) -> None:
-        """Confirm pairs on whole sets, and connect those that link."""
-        pairs = self.scratch.table(pairs, "first_pairs")
+        """Confirm those of the pairs that may link on whole sets, and connect those that do."""
+        pairs = self._pairs(pairs, "first_pairs")
         if pairs.isEmpty():
             return
         sets = self._sets(pairs.select("a").union(pairs.select("b")).distinct(), "pair")
@@ -367,8 +372,8 @@ class _Forest:
         right = sets.select(F.col("class").alias("b"), F.col("grams").alias("gb"))
         both = pairs.join(left, "a").join(right, "b").withColumn("overlap", F.size(F.array_intersect("ga", "gb")))
         union = F.size("ga") + F.size("gb") - F.col("overlap")
-        self.links = self.scratch.table(both.where(F.col("overlap") * 100 >= union * self.percent).select("a", "b"), "first_links")
-        self.known = components(self.links, self.scratch, "first_components")
+        links = self.scratch.table(both.where(F.col("overlap") * 100 >= union * self.percent).select("a", "b"), "first_links")
+        self.known = components(links, self.scratch, "first_components")
         self.scratch.drop("pair_sets", "pair_first")
 
     def _sets(self, wanted: DataFrame, name: str) -> DataFrame:
@@ -424,10 +429,7 @@ class _Forest:
         rows = self.scratch.table(self.open_regions(), "open")
         if rows.isEmpty():
             return
-        # Classes of one region are one cluster, and so are regions with a class in common.
-        least = rows.groupBy("region").agg(F.min("class").alias("least"))
-        tied = rows.join(least, "region").select(F.col("class").alias("a"), F.col("least").alias("b")).distinct()
-        cluster = components(tied, self.scratch, "clusters").select(F.col("node").alias("class"), F.col("root").alias("cluster"))
+        cluster = components(self._tied(rows), self.scratch, "clusters").select(F.col("node").alias("class"), F.col("root").alias("cluster"))
         rows = rows.select("class", "root").distinct().join(cluster, "class")
         rows = self.scratch.table(rows.join(self.classes.select("class", "n", "signature"), "class"), "clustered")
         weight = F.sum(8 * F.col("n") + HASHES).alias("bytes")
@@ -444,9 +446,22 @@ class _Forest:
         links = placed.groupBy(bucket).applyInArrow(_within(self.percent, self.least), "a long, b long")
         links = self.scratch.table(links, "cluster_links")
         if not links.isEmpty():
-            links = links if self.links is None else self.links.unionByName(links)
+            if self.known is not None:
+                links = links.unionByName(self.known.select(F.col("node").alias("a"), F.col("root").alias("b")))
             self.known = components(links, self.scratch, "all_components")
 
+    def _tied(self, rows: DataFrame) -> DataFrame:
+        """Edges that make classes of one region one cluster, and regions with a class in common.
+
+        A class is tied to the least class it meets, and so are the least classes of its regions: many classes
+        have the same, so that edges are not much more than classes, however many regions each is in.
+        """
+        least = rows.groupBy("region").agg(F.min("class").alias("least"))
+        met = rows.join(least, "region").select("class", "least").distinct()
+        met = self.scratch.table(met.withColumn("b", F.min("least").over(Window.partitionBy("class"))), "met")
+        tied = met.select(F.col("class").alias("a"), "b").unionByName(met.select(F.col("least").alias("a"), "b"))
+        return tied.where("a <> b").distinct()
+
     def _placed(self, rows: DataFrame) -> DataFrame:
         """A row of a cluster goes to each block that its own block of rows forms with a block of minor rows."""
         minor = F.col("root") != F.col("main")
@@ -475,12 +490,8 @@ class _Forest:
 
     def run(self) -> DataFrame:
         self.sign()
-        near = self.order()
-        both = near.select("a", "b", "agreeing").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "agreeing"))
-        best = both.groupBy("a").agg(F.max_by("b", F.struct("agreeing", "b")).alias("b"))
-        best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        central = self._pairs(self.centres(), "central").select("a", "b")
-        self.confirm(best.union(central).distinct())
+        best = self.order()
+        self.confirm(best.unionByName(self.centres()).distinct())
         self.clusters()
         return self._result()
 

@@ -137,6 +137,47 @@ def test_one_group_holds_most_rows(spark):
     check(spark, rows, parts=16)
 
 
+def copies_of_one_text(count):
+    source = random.Random(14)
+    words = prose(4, 300)
+    return [document(i, " ".join(changed(words, source, 8))) for i in range(count)]
+
+
+def test_pairs_do_not_outnumber_classes(spark):
+    """In a group of near copies every class goes on with one neighbour, not with one for each order."""
+    for count in (100, 200):
+        forest = module._Forest(frame(spark, copies_of_one_text(count)).repartition(5), 4, 80, "doc_id", "text")
+        forest.sign()
+        best = [tuple(r) for r in forest.order().collect()]
+        assert len(best) == len(set(best)) <= count
+        assert all(a < b for a, b in best)
+        assert {c for pair in best for c in pair} == {r["class"] for r in forest.classes.collect()}
+
+
+def test_few_edges_tie_clusters(spark):
+    """Classes in many regions of one group: all are tied to each other, by few edges."""
+    source = random.Random(15)
+    rows = [(64 * g + region, 1000 * g + c, c) for g in range(3) for region in range(60) for c in source.sample(range(200), 25)]
+    regions = spark.createDataFrame(rows, "region long, class long, root long")
+    forest = module._Forest(frame(spark, []), 4, 80, "doc_id", "text")
+    edges = [tuple(r) for r in forest._tied(regions).collect()]
+    classes = {c for _, c, _ in rows}
+    assert len(edges) == len(set(edges)) < 1.5 * len(classes)
+    root = {c: c for c in classes}
+
+    def find(c):
+        while root[c] != c:
+            c = root[c]
+        return c
+
+    for a, b in edges:
+        root[find(a)] = find(b)
+    found, true = {c: find(c) for c in classes}, {c: min(k for k in classes if k // 1000 == c // 1000) for c in classes}
+    assert {frozenset(c for c in classes if found[c] == r) for r in found.values()} == {
+        frozenset(c for c in classes if true[c] == r) for r in true.values()
+    }
+
+
 def test_signatures_agree_as_sets_are_similar():
     source = np.random.default_rng(5)
     for size, common in ((60, 48), (1000, 800), (5, 4)):
