@@ -20,7 +20,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -228,7 +228,7 @@ def learn_weights(training: DataFrame, scratch: Scratch) -> dict[str, float]:
     total = counts.agg(F.sum("t").alias("t"), F.sum("c").alias("c")).first()
     if not total.t or not total.c:
         return {}
-    base = total.t / (total.t + total.c)
+    base = F.struct(*(F.lit(total[kind] / (total.t + total.c)).alias(kind) for kind in ("t", "c")))
     parts, shares = [], None
     for number, length in enumerate(PREFIXES):
         own = (
@@ -241,24 +241,24 @@ def learn_weights(training: DataFrame, scratch: Scratch) -> dict[str, float]:
             up = shares.select(F.col("stem").alias("parent"), F.col("share").alias("prior"))
             own = own.join(up, F.substring("stem", 1, PREFIXES[number - 1]) == F.col("parent"), "left")
         else:
-            own = own.withColumn("prior", F.lit(base))
-        shares = scratch.table(_shrunk(own, base).select("stem", "share", "prior", "n"), f"toxic_stems_{length}")
+            own = own.withColumn("prior", base)
+        shares = scratch.table(_shrunk(own, base), f"toxic_stems_{length}")
         parts.append(shares.withColumn("stem", F.concat("stem", F.lit("*"))))
     words = counts.where(F.col("t") + F.col("c") >= LEAST_COUNT).withColumnRenamed("word", "stem")
-    prior = F.lit(None).cast("double")
+    prior = F.lit(None).cast("struct<t: double, c: double>")
     for length, stems in zip(PREFIXES, parts, strict=True):
         up = stems.select(F.col("stem").alias(f"p{length}"), F.col("share").alias(f"s{length}"))
         key = F.when(F.length("stem") >= length, F.concat(F.substring("stem", 1, length), F.lit("*")))
         words = words.join(up, key == F.col(f"p{length}"), "left")
         prior = F.coalesce(F.col(f"s{length}"), prior)
-    parts.append(_shrunk(words.withColumn("prior", prior), base).select("stem", "share", "prior", "n"))
+    parts.append(_shrunk(words.withColumn("prior", prior), base))
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    odds = F.log(F.col("share") / (1 - F.col("share"))) - math.log(base / (1 - base))
-    gain = F.abs(F.log(F.col("share") / (1 - F.col("share"))) - F.log(F.col("prior") / (1 - F.col("prior"))))
+    odds = _odds(F.col("share"))
+    gain = F.abs(odds - _odds(F.col("prior")))
     kept = (
-        every.select("stem", odds.alias("weight"), gain.alias("gain"), "n")
+        every.select("stem", (odds - math.log(total.t / total.c)).alias("weight"), gain.alias("gain"), "n")
         .where(F.col("gain") >= LEAST_GAIN)
         .orderBy(F.desc(F.col("gain") * F.sqrt("n")), "stem")
         .limit(MOST_WEIGHTS)
@@ -268,13 +268,20 @@ def learn_weights(training: DataFrame, scratch: Scratch) -> dict[str, float]:
     return dict(zip(kept.column("stem").to_pylist(), kept.column("weight").to_pylist(), strict=True))
 
 
-def _shrunk(counts: DataFrame, base: float) -> DataFrame:
-    """Share of toxic occurrences, drawn towards the prior share by pseudo-occurrences."""
+def _shrunk(counts: DataFrame, base: Column) -> DataFrame:
+    """Shares of toxic and of clean occurrences, drawn towards the prior shares by pseudo-occurrences.
+
+    Neither is the other one taken from 1: a share may come so close to 1 that this leaves nothing.
+    """
     n = F.col("t") + F.col("c")
-    prior = F.coalesce(F.col("prior"), F.lit(base))
-    return counts.withColumn("prior", prior).withColumn("n", n).withColumn(
-        "share", (F.col("t") + PRIOR * F.col("prior")) / (n + PRIOR)
-    )
+    prior = F.coalesce(F.col("prior"), base)
+    share = F.struct(*(((F.col(kind) + PRIOR * prior[kind]) / (n + PRIOR)).alias(kind) for kind in ("t", "c")))
+    return counts.select("stem", share.alias("share"), prior.alias("prior"), n.alias("n"))
+
+
+def _odds(share: Column) -> Column:
+    """Log-odds of toxic against clean."""
+    return F.log(share["t"] / share["c"])
 
 
 def calibrate(training: DataFrame, model: Model) -> Model:

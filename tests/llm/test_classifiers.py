@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sluicegate.llm import language, toxicity
+from sluicegate.llm.common import Scratch
 from sluicegate.llm.language import RunVectors, identify
 from sluicegate.llm.toxicity import Model, clean_rows, score_toxicity, segments
 from sluicegate.queries.registry import table
@@ -141,6 +145,33 @@ def test_toxicity_without_labels(spark):
     assert Model({}).to_json()
 
 
+def test_words_of_one_kind_of_text_only(spark):
+    """In exact fractions: a word and its prefixes, all in thousands of toxic texts and in no clean one, and the reverse."""
+    counts = {"wretchedly": (9_000, 0), "cheerfulness": (0, 90_000), "rest": (300, 700)}
+    texts = spark.createDataFrame([(w, t, n) for w, c in counts.items() for t, n in zip((True, False), c)], "text string, toxic boolean, n int")
+    texts = texts.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n")))).where("i < n").select("text", "toxic")
+    scratch = Scratch(spark)
+    weights = toxicity.learn_weights(texts, scratch)
+    toxic, clean = (sum(c[i] for c in counts.values()) for i in (0, 1))
+    for word in ("wretchedly", "cheerfulness"):
+        share = [Fraction(toxic, toxic + clean), Fraction(clean, toxic + clean)]
+        for stem in (*(word[:length] + "*" for length in toxicity.PREFIXES), word):
+            share = [(n + 5 * p) / (sum(counts[word]) + 5) for n, p in zip(counts[word], share)]
+            expected = math.log(share[0] / share[1]) - math.log(toxic / clean)
+            assert weights[stem] == pytest.approx(expected, rel=1e-12)
+        assert max(map(float, share)) == 1.0
+
+
+def test_toxic_word_of_many_texts(spark):
+    texts = spark.range(12_000).selectExpr(
+        "id AS doc_id", "id % 2 AS toxic",
+        "concat_ws(' ', 'common', concat('word', id % 7), if(id % 2 = 1, 'wretchedly', 'friendly'), concat('at', id % 11)) AS text",
+    )
+    scored = score_toxicity(texts.drop("toxic"), texts.drop("text"))
+    assert {(r.toxic, r.predicted) for r in scored.join(texts, "doc_id").select("toxic", "predicted").distinct().collect()} == {(0, 0), (1, 1)}
+    assert [r.asDict() for r in clean_rows(texts, texts.drop("text")).groupBy("toxic").count().collect()] == [{"toxic": 0, "count": 6_000}]
+
+
 def test_run_vectors_follow_their_definition():
     vectors = RunVectors(64, 3, 1)
     a, b, space = (vectors._letter_vector(p) for p in (ord("a"), ord("b"), 0))
